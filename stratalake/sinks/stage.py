@@ -72,7 +72,7 @@ def purge_stage(
     if not path_exists(spark, path):
         return Purge(0, 0)
     read = None if loaded is None else {_same_form(name) for name in loaded}
-    names = list_files(spark, path).select("path")
+    names = list_files(spark, path, recursive=True).select("path")
     done = kept = 0
     for row in names.toLocalIterator():
         if read is None or _same_form(row["path"]) in read:

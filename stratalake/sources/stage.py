@@ -108,11 +108,11 @@ def add_load_date(df: DataFrame, load_date: str) -> DataFrame:
     return df.withColumn(LOAD_DATE, F.lit(load_date))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files below a folder: ``path``, ``length``, ``modificationTime``. Contents are not read."""
+def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """Files of a folder: ``path``, ``length``, ``modificationTime``. Contents are not read."""
     return (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", recursive)
         .load(path)
         .select("path", "length", "modificationTime")
     )
