@@ -35,19 +35,16 @@ from stratalake.streaming.arrival import ARRIVAL, arrival_ingest, arrival_table
 from stratalake.workspace import new_folder
 
 
-def sources_of(spark, sf_dir, load_date: str):
-    """The three exports of a load date."""
-    dated = views.dated_acquisitions(spark, sf_dir)
-    return {
-        "clientes": views.customers(spark, sf_dir),
-        "produtos": views.products(spark, sf_dir),
-        "clientesxprod": slice_of(dated, load_date).drop(LOAD_DATE),
-    }
+def land_masters(spark, sf_dir, lake, load_date: str) -> None:
+    """Land the exports of customers and products."""
+    land_snapshot(views.customers(spark, sf_dir), lake.stage_root, "clientes", load_date)
+    land_snapshot(views.products(spark, sf_dir), lake.stage_root, "produtos", load_date)
 
 
-def land_sources(spark, sf_dir, lake, load_date: str) -> None:
-    for name, rows in sources_of(spark, sf_dir, load_date).items():
-        land_snapshot(rows, lake.stage_root, name, load_date)
+def land_exports(spark, sf_dir, lake) -> None:
+    """Land the three whole exports under one load date."""
+    land_masters(spark, sf_dir, lake, FIRST)
+    land_snapshot(views.acquisitions(spark, sf_dir), lake.stage_root, "clientesxprod", FIRST)
 
 
 # Counts of files and checks
@@ -158,7 +155,7 @@ def _run_all_loads(spark, sf_dir):
     """Land and ingest the three sources of one date; the documents of the runs."""
     lake = views.new_lake(spark)
     create_lake(spark, lake)
-    land_sources(spark, sf_dir, lake, FIRST)
+    land_exports(spark, sf_dir, lake)
     for load in BRONZE_LOADS.values():
         bronze_ingest(spark, lake, load, FIRST)
     document = F.get_json_object("document", "$.metrics")
@@ -174,7 +171,7 @@ def _run_all_loads(spark, sf_dir):
         for name, columns, source in (
             ("clientes", 22, "clientes"),
             ("produtos", 17, "produtos"),
-            ("clientesxprod", 6, f"vendas WHERE {LOAD_DATE} = '{FIRST}'"),
+            ("clientesxprod", 6, "vendas"),
         )
     ),
 )
@@ -199,7 +196,7 @@ def run_metrics(spark, sf_dir):
         for name, source in (
             ("clientes", "clientes"),
             ("produtos", "produtos"),
-            ("clientesxprod", f"vendas WHERE {LOAD_DATE} = '{FIRST}'"),
+            ("clientesxprod", "vendas"),
         )
     ),
 )
@@ -224,7 +221,7 @@ def complete_metrics(spark, sf_dir):
     """One load fails, since a column it requires has nulls; its metrics are kept, incomplete."""
     lake = views.new_lake(spark)
     create_lake(spark, lake)
-    land_sources(spark, sf_dir, lake, FIRST)
+    land_exports(spark, sf_dir, lake)
     strict = replace(BRONZE_LOADS["clientes"], required=("nome", "cargo"))
     for load in (strict, BRONZE_LOADS["produtos"]):
         try:
@@ -252,13 +249,13 @@ def complete_metrics(spark, sf_dir):
     " UNION ALL SELECT 'produtos', 'b_cad', 'produto_id,nome,descricao,categoria', count(*)"
     " FROM produtos"
     " UNION ALL SELECT 'clientesxprod', 'b_vend', 'cliente_id,produto_id', count(*)"
-    f" FROM vendas WHERE {LOAD_DATE} = '{FIRST}'",
+    " FROM vendas",
 )
 def configured_loads(spark, sf_dir):
     """Every configured source, loaded as configured."""
     lake = views.new_lake(spark)
     create_lake(spark, lake)
-    land_sources(spark, sf_dir, lake, FIRST)
+    land_exports(spark, sf_dir, lake)
     parts = []
     for load in BRONZE_LOADS.values():
         bronze_ingest(spark, lake, load, FIRST)
@@ -273,18 +270,15 @@ def configured_loads(spark, sf_dir):
     return union(parts)
 
 
-@query(
-    "bronze_ingest",
-    f"SELECT * FROM clientes_datas WHERE {LOAD_DATE} <> '{THIRD}'",
-)
+@query("bronze_ingest", "SELECT * FROM clientes_datas")
 def ingested(spark, sf_dir):
-    """Two dates loaded from CSV, the second one twice."""
+    """All dates loaded from CSV, the second one twice."""
     lake = views.new_lake(spark)
     create_lake(spark, lake)
     customers = views.customers(spark, sf_dir)
-    for load_date in (FIRST, SECOND):
+    for load_date in LOAD_DATES:
         land_snapshot(customers, lake.stage_root, "clientes", load_date)
-    for load_date in (FIRST, SECOND, SECOND):
+    for load_date in (*LOAD_DATES, SECOND):
         bronze_ingest(spark, lake, BRONZE_LOADS["clientes"], load_date)
     return scan_table(spark, lake, config.CUSTOMERS)
 
@@ -324,12 +318,13 @@ def gold(spark, sf_dir):
     return scan_table(spark, lake, config.PRODUCT_TOTALS)
 
 
-@query("run_layers", f"SELECT * FROM ({SQL_GOLD}) WHERE {LOAD_DATE} <> '{THIRD}'")
+@query("run_layers", SQL_GOLD)
 def all_layers(spark, sf_dir):
-    """Two dates landed, and each taken from the stage to gold."""
+    """All dates landed, and each taken from the stage to gold."""
     lake = views.new_lake(spark)
-    for load_date in (FIRST, SECOND):
-        land_sources(spark, sf_dir, lake, load_date)
+    land_by_date(spark, sf_dir, lake)
+    for load_date in LOAD_DATES:
+        land_masters(spark, sf_dir, lake, load_date)
         run_layers(spark, lake, load_date)
     return scan_table(spark, lake, config.PRODUCT_TOTALS)
 

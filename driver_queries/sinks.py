@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from driver_queries import views
 from driver_queries.registry import query
 from driver_queries.sources import union
-from driver_queries.views import CUSTOMER_NAMES, FIRST, LOAD_DATES, SECOND, THIRD
+from driver_queries.views import CUSTOMER_NAMES, FIRST, LOAD_DATES, SECOND
 from stratalake import config, schemas
 from stratalake.config import BRONZE_LOADS, WRITE_MODES
 from stratalake.errors import AlreadyLanded
@@ -260,16 +260,16 @@ def headers(spark, sf_dir):
     "purge_stage",
     f"SELECT 'clientesxprod' AS table_name, {LOAD_DATE}, count(*) AS n_rows,"
     f" {LOAD_DATE} <> '{FIRST}' AS folder_gone, {LOAD_DATE} = '{FIRST}' AS late_file_kept"
-    f" FROM vendas WHERE {LOAD_DATE} <> '{THIRD}' GROUP BY {LOAD_DATE}",
+    f" FROM vendas GROUP BY {LOAD_DATE}",
 )
 def purged(spark, sf_dir):
-    """Two dates are loaded and purged; a file that comes late for the first is kept."""
+    """All dates are loaded and purged; files that come late for the first are kept."""
     lake = views.new_lake(spark)
     create_lake(spark, lake)
     dated = views.dated_acquisitions(spark, sf_dir)
     load = BRONZE_LOADS["clientesxprod"]
     parts = []
-    for load_date in (FIRST, SECOND):
+    for load_date in LOAD_DATES:
         rows = slice_of(dated, load_date).drop(LOAD_DATE)
         path = land_snapshot(rows, lake.stage_root, "clientesxprod", load_date)
         done = bronze_ingest(spark, lake, load, load_date)

@@ -102,11 +102,15 @@ def add_columns(spark, sf_dir):
 
 @query(
     "replace_column",
-    "SELECT client_id, CAST(data_nascimento AS DATE) AS data_nascimento FROM clientes",
+    "SELECT client_id, CAST(year(CAST(data_nascimento AS DATE)) AS BIGINT) AS data_nascimento FROM clientes",
 )
 def replace_column(spark, sf_dir):
-    customers = views.customers(spark, sf_dir)
-    replaced = customers.withColumn("data_nascimento", F.col("data_nascimento").try_cast("date"))
+    birth = F.col("data_nascimento").try_cast("date")
+    replaced = (
+        views.customers(spark, sf_dir)
+        .withColumn("data_nascimento", birth)
+        .withColumn("data_nascimento", F.year("data_nascimento").cast("long"))
+    )
     return replaced.select("client_id", "data_nascimento")
 
 
@@ -342,17 +346,18 @@ def fn_floor(spark, sf_dir):
 @query(
     "fn_cast",
     "SELECT id, TRY_CAST(produto_id AS INTEGER) AS produto_id,"
-    " TRY_CAST(data_aquisicao AS DATE) AS data_aquisicao,"
+    " CAST(TRY_CAST(data_aquisicao AS DATE) AS VARCHAR) AS data_aquisicao,"
     " TRY_CAST(valor_aquisicao AS DOUBLE) AS valor_aquisicao,"
-    " TRY_CAST(valor_aquisicao AS DECIMAL(28,2)) AS exact_amount FROM clientesxprod",
+    " CAST(TRY_CAST(valor_aquisicao AS DECIMAL(28,2)) AS VARCHAR) AS exact_amount"
+    " FROM clientesxprod",
 )
 def fn_cast(spark, sf_dir):
     return views.acquisitions(spark, sf_dir).select(
         "id",
         F.col("produto_id").try_cast("int").alias("produto_id"),
-        F.col("data_aquisicao").try_cast("date").alias("data_aquisicao"),
+        F.col("data_aquisicao").try_cast("date").cast("string").alias("data_aquisicao"),
         F.col("valor_aquisicao").try_cast("double").alias("valor_aquisicao"),
-        amount(F.col("valor_aquisicao")).alias("exact_amount"),
+        amount(F.col("valor_aquisicao")).cast("string").alias("exact_amount"),
     )
 
 

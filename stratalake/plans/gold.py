@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratalake import config
 from stratalake.config import Lake
 from stratalake.errors import JobFailed
-from stratalake.operators.profile import data_size, megabytes
+from stratalake.operators.profile import megabytes, row_chars
 from stratalake.operators.totals import product_totals
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.runlog import RunLog, metrics_sink
@@ -33,10 +33,22 @@ def gold_product_totals(
     try:
         with run.timed("load_total_time"):
             sales = slice_scan(spark, lake, source, load_date)
-        run.set(data_size_mb_formatted=megabytes(data_size(sales).first()["chars"]))
-        totals = product_totals(sales, extra_keys).withColumn(LOAD_DATE, F.lit(load_date))
+        # The text size of the input rides along with the sums, so the slice is read once.
+        totals = product_totals(
+            sales, extra_keys, F.sum(row_chars(sales.schema)).alias("__chars")
+        )
         with run.timed("write_total_time"):
-            written = write_slices(spark, lake, table, totals, [load_date], mode)
+            found = write_slices(
+                spark,
+                lake,
+                table,
+                totals.withColumn(LOAD_DATE, F.lit(load_date)),
+                [load_date],
+                mode,
+                totals={"chars": F.coalesce(F.sum("__chars"), F.lit(0))},
+            )
+        written = found["rows"]
+        run.set(data_size_mb_formatted=megabytes(found["chars"]))
         audit = audit_slice(spark, lake, table, load_date)
         run.set(
             qtd_total_rows_insert=written,

@@ -176,7 +176,7 @@ def silver_credit_customers(
                 rows.withColumn(LOAD_DATE, F.lit(load_date)),
                 [load_date],
                 mode,
-            )
+            )["rows"]
         audit = audit_slice(spark, lake, table, load_date)
         run.set(
             qtd_total_rows_insert=written,

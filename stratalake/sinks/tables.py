@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,33 +92,38 @@ def write_slices(
     mode: str = "replace_slice",
     *,
     within: Mapping[str, str] | None = None,
+    totals: Mapping[str, Column] | None = None,
     rows_per_file: int = 0,
     rebalance: bool = False,
-) -> int:
-    """Write the slices of ``load_dates`` and return the rows written.
+) -> dict[str, object]:
+    """Write the slices of ``load_dates``; returns ``rows`` written and the ``totals`` asked for.
 
     ``df`` holds these load dates and no others. A table with further partition columns takes the
     one value of each in ``within``.
 
     ``append`` adds to the slices, ``replace_slice`` replaces them, ``overwrite_table`` replaces
     them and drops all others. A replaced slice stays readable until the new files are committed,
-    and a second run gives the same table. ``rows_per_file`` caps the size of a file;
-    ``rebalance`` lets AQE merge small ones, for the price of a shuffle.
+    and a second run gives the same table. ``totals`` are aggregates of ``df`` taken while it is
+    written; columns whose names start with two underscores are for them and are not stored.
+    ``rows_per_file`` caps the size of a file; ``rebalance`` lets AQE merge small ones, for the
+    price of a shuffle.
     """
     check_mode(mode)
     create_table(spark, lake, table)
-    evolve_table(spark, lake, table, df)
+    kept = df.drop(*[c for c in df.columns if c.startswith("__")])
+    evolve_table(spark, lake, table, kept)
     stored = {f.name.lower(): f for f in spark.table(table.full_name(lake)).schema.fields}
     columns = [
         quoted(c).cast(stored[c.lower()].dataType).alias(stored[c.lower()].name)
-        for c in df.columns
+        for c in kept.columns
     ]
     if rebalance:
         df = df.hint("rebalance")
-    # Next to the write, so that its counter is in the tasks that commit files and a map task
-    # that runs again cannot add to it.
+    # Next to the write, so that the counters are in the tasks that commit files and a map task
+    # that runs again cannot add to them.
     written = Observation()
-    out = df.select(*columns).observe(written, F.count(F.lit(1)).alias("rows"))
+    extra = [total.alias(name) for name, total in (totals or {}).items()]
+    out = df.observe(written, F.count(F.lit(1)).alias("rows"), *extra).select(*columns)
     writer = out.write.format(lake.table_format).partitionBy(*table.partition_by)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
@@ -127,15 +132,15 @@ def write_slices(
     else:
         # On a path the option is honoured; insertInto would ignore it and clear the table.
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(table.path(lake))
-    rows = written.get["rows"]
-    if mode != "append" and not rows and not within:
+    found = written.get
+    if mode != "append" and not found["rows"] and not within:
         for load_date in load_dates:
             drop_slice(spark, lake, table, load_date)
     _register(spark, lake, table, load_dates, within or {})
     if mode == "overwrite_table":
         for other in set(slices(spark, lake, table)) - set(load_dates):
             drop_slice(spark, lake, table, other)
-    return rows
+    return found
 
 
 def _register(

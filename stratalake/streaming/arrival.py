@@ -90,7 +90,7 @@ def ingest_batch(
         [row[LOAD_DATE] for row in by_date],
         "replace_slice",
         within={ARRIVAL: batch},
-    )
+    )["rows"]
 
 
 def arrival_ingest(
