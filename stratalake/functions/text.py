@@ -10,9 +10,24 @@ from pyspark.sql import functions as F
 from stratalake.errors import BadInput
 
 
-def null_marker_to_null(value: Column, markers: Sequence[str] = ("NULL", "null")) -> Column:
-    """Null when the trimmed text is one of the markers, otherwise the text as it was."""
-    return F.when(F.trim(value).isin(*markers), F.lit(None)).otherwise(value)
+def sql_name(name: str) -> str:
+    """A column name as it stands in SQL, dots and spaces included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(text: str) -> str:
+    """A single-quoted SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def null_marker_to_null(name: str, markers: Sequence[str] = ("NULL", "null")) -> Column:
+    """Null when the trimmed text of a column is one of the markers, otherwise the text as it was.
+
+    Written as one SQL expression, since wide tables build it for each of their columns.
+    """
+    column, listed = sql_name(name), ", ".join(map(sql_text, markers))
+    return F.expr(f"CASE WHEN trim({column}) IN ({listed}) THEN NULL ELSE {column} END")
 
 
 def trimmed_names(names: Sequence[str]) -> list[str]:
@@ -27,9 +42,3 @@ def trimmed_names(names: Sequence[str]) -> list[str]:
         if other is not before:
             raise BadInput(f"columns {other!r} and {before!r} have the same name once trimmed")
     return trimmed
-
-
-def data_literal(text: str) -> str:
-    """A single-quoted SQL literal."""
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"

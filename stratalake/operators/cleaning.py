@@ -8,42 +8,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.functions.text import null_marker_to_null, trimmed_names
+from stratalake.functions.text import null_marker_to_null, sql_name, trimmed_names
 
 
-def quoted(name: str) -> Column:
-    """Column by its literal name, dots and spaces included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def _cleaned(field: T.StructField, markers: Sequence[str]) -> Column:
+    if isinstance(field.dataType, T.StringType):
+        return null_marker_to_null(field.name, markers)
+    return F.col(sql_name(field.name))
 
 
 def cleaned_columns(
     df: DataFrame, markers: Sequence[str] = ("NULL", "null")
-) -> list[Column]:
-    """All columns under trimmed names, null markers of text columns made null."""
-    cleaned = []
-    for field, name in zip(df.schema.fields, trimmed_names(df.columns)):
-        value = quoted(field.name)
-        if isinstance(field.dataType, T.StringType):
-            value = null_marker_to_null(value, markers)
-        cleaned.append(value.alias(name))
-    return cleaned
+) -> dict[str, Column]:
+    """All columns by their trimmed names, null markers of text columns made null."""
+    names = trimmed_names(df.columns)
+    return {name: _cleaned(field, markers) for name, field in zip(names, df.schema.fields)}
 
 
 def clean(df: DataFrame, markers: Sequence[str] = ("NULL", "null")) -> DataFrame:
     """Null markers and column names in one projection."""
-    return df.select(*cleaned_columns(df, markers))
+    return df.select(*[c.alias(name) for name, c in cleaned_columns(df, markers).items()])
 
 
 def null_markers_to_null(
     df: DataFrame, markers: Sequence[str] = ("NULL", "null")
 ) -> DataFrame:
     """Null markers of text columns made null, names kept."""
-    return df.select(*[
-        null_marker_to_null(quoted(f.name), markers).alias(f.name)
-        if isinstance(f.dataType, T.StringType)
-        else quoted(f.name)
-        for f in df.schema.fields
-    ])
+    return df.select(*[_cleaned(f, markers).alias(f.name) for f in df.schema.fields])
 
 
 def trim_column_names(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import ceil
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,11 +56,14 @@ def find_hot_keys(df: DataFrame, key: str, rows_per_task: int) -> list[HotKey]:
 
 
 def _hot_table(df: DataFrame, key: str, hot: list[HotKey]) -> DataFrame:
-    kind = df.schema[key].dataType
-    rows = df.sparkSession.createDataFrame(
-        [(h.value, h.salts) for h in hot if h.value is not None], f"hot_key string, {_SALTS} int"
-    )
-    return F.broadcast(rows.select(F.col("hot_key").cast(kind).alias(key), _SALTS))
+    """The hot keys as a table; at most ``MAX_HOT_KEYS`` rows, so it may be broadcast."""
+    known = [h for h in hot if h.value is not None]
+    table = pa.table({
+        key: pa.array([h.value for h in known], pa.string()),
+        _SALTS: pa.array([h.salts for h in known], pa.int32()),
+    })
+    rows = df.sparkSession.createDataFrame(table)
+    return F.broadcast(rows.select(F.col(key).cast(df.schema[key].dataType), _SALTS))
 
 
 def salted(facts: DataFrame, lookup: DataFrame, key: str, hot: list[HotKey]):

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.operators.cleaning import cleaned_columns, quoted
+from stratalake.functions.text import sql_name
+from stratalake.operators.cleaning import cleaned_columns
 from stratalake.schemas import LOAD_DATE
 
 MEGABYTE = 1024 * 1024
@@ -23,17 +24,15 @@ def row_chars(schema: T.StructType) -> Column:
 
     Characters that such a text would escape count once.
     """
-    fixed = len("Row()") + len(", ") * (len(schema.fields) - 1)
-    fixed += sum(len(f.name) + len("=") for f in schema.fields)
-    total = F.lit(fixed)
+    chars = len("Row()") + len(", ") * (len(schema.fields) - 1)
+    chars += sum(len(f.name) + len("=") for f in schema.fields)
+    terms = [str(chars)]
     for f in schema.fields:
-        value = quoted(f.name)
+        length = f"length(CAST({sql_name(f.name)} AS STRING))"
         if isinstance(f.dataType, T.StringType):
-            chars = F.length(value) + len("''")
-        else:
-            chars = F.length(value.cast("string"))
-        total = total + F.coalesce(chars, F.lit(len("None")))
-    return total
+            length += f" + {len(repr(''))}"
+        terms.append(f"coalesce({length}, {len('None')})")
+    return F.expr(" + ".join(terms))
 
 
 def megabytes(chars: int) -> float:
@@ -51,8 +50,9 @@ def data_size(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """``column_name``, ``nulls`` for every column, from one aggregate."""
-    counts = df.agg(*[F.count_if(quoted(c).isNull()).alias(c) for c in df.columns])
-    return counts.unpivot([], [quoted(c) for c in df.columns], "column_name", "nulls")
+    names = [sql_name(c) for c in df.columns]
+    counts = df.agg(*[F.expr(f"count_if({n} IS NULL) AS {n}") for n in names])
+    return counts.unpivot([], names, "column_name", "nulls")
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -94,23 +94,20 @@ def profile_load(
     shuffled is one row per file and task.
     """
     dated = T.StructType([*scan.schema.fields, T.StructField(LOAD_DATE, T.StringType())])
-    rows = scan.select(
-        "*",
-        F.lit(load_date).alias(LOAD_DATE),
-        F.col("_metadata.file_path").alias(_SOURCE_FILE),
-    )
     cleaned = cleaned_columns(scan, markers)
-    names = scan.select(*cleaned).columns
-    measured = rows.select(
+    # One projection from the scan: the file, the size of the raw row, the cleaned columns.
+    measured = scan.select(
+        "*", F.lit(load_date).alias(LOAD_DATE), F.col("_metadata.file_path").alias(_SOURCE_FILE)
+    ).select(
+        _SOURCE_FILE,
         row_chars(dated).alias(_ROW_CHARS),
-        F.col(_SOURCE_FILE),
-        *[c.isNull().alias(f"n{i}") for i, c in enumerate(cleaned)],
+        *[column.alias(f"c{i}") for i, column in enumerate(cleaned.values())],
     )
     row = measured.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(_ROW_CHARS), F.lit(0)).alias("chars"),
         F.count_distinct(_SOURCE_FILE).alias("files"),
-        *[F.count_if(f"n{i}").alias(f"n{i}") for i in range(len(names))],
+        *[F.expr(f"count_if(c{i} IS NULL) AS n{i}") for i in range(len(cleaned))],
     ).first()
-    nulls = {name: row[f"n{i}"] for i, name in enumerate(names)}
+    nulls = {name: row[f"n{i}"] for i, name in enumerate(cleaned)}
     return LoadProfile(row["rows"], row["chars"], row["files"], nulls)

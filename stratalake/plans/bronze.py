@@ -13,7 +13,7 @@ from stratalake.operators.profile import LoadProfile, profile_load
 from stratalake.operators.quality import required_columns, required_not_null
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, table_exists, write_slices
-from stratalake.sources.stage import add_load_date, scan_stage, stage_path
+from stratalake.sources.stage import scan_stage, stage_path
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,7 @@ def bronze_ingest(
                 spark,
                 lake,
                 table,
-                add_load_date(cleaned, load_date),
+                cleaned,
                 [load_date],
                 mode or load.mode,
                 rows_per_file=profile.rows_per_file(lake.target_file_bytes),

@@ -12,7 +12,6 @@ from stratalake.config import Lake
 from stratalake.errors import JobFailed
 from stratalake.operators.profile import megabytes, row_chars
 from stratalake.operators.totals import product_totals
-from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, write_slices
 from stratalake.sources.tables import slice_scan
@@ -42,7 +41,7 @@ def gold_product_totals(
                 spark,
                 lake,
                 table,
-                totals.withColumn(LOAD_DATE, F.lit(load_date)),
+                totals,
                 [load_date],
                 mode,
                 totals={"chars": F.coalesce(F.sum("__chars"), F.lit(0))},

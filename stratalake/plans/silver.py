@@ -20,7 +20,7 @@ from stratalake.functions.customer import (
 )
 from stratalake.operators.joins import HotKey, frequent_keys, hot_keys, lookup_join
 from stratalake.operators.profile import megabytes, row_chars
-from stratalake.schemas import LOAD_DATE, SILVER_COLUMNS
+from stratalake.schemas import SILVER_COLUMNS
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, write_slices
 from stratalake.sources.tables import slice_scan
@@ -169,14 +169,7 @@ def silver_credit_customers(
             acquisitions, customers, products, as_of or load_day(load_date), found.joins
         )
         with run.timed("write_total_time"):
-            written = write_slices(
-                spark,
-                lake,
-                table,
-                rows.withColumn(LOAD_DATE, F.lit(load_date)),
-                [load_date],
-                mode,
-            )["rows"]
+            written = write_slices(spark, lake, table, rows, [load_date], mode)["rows"]
         audit = audit_slice(spark, lake, table, load_date)
         run.set(
             qtd_total_rows_insert=written,

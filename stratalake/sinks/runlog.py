@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
@@ -72,19 +74,11 @@ class RunLog:
 
     def metrics_row(self, spark: SparkSession) -> DataFrame:
         """The metrics as one row."""
-        return spark.createDataFrame(
-            [tuple(self.metrics[name] for name in self.schema.names)], self.schema
-        )
+        return self._row(spark).select("metrics.*")
 
     def document_row(self, spark: SparkSession) -> DataFrame:
         """The metrics and log entries as one JSON document, with the columns to find it by."""
-        columns = T.StructType([
-            T.StructField("metrics", self.schema),
-            T.StructField("logs", T.ArrayType(schemas.LOG_ENTRY)),
-        ])
-        metrics = tuple(self.metrics[name] for name in self.schema.names)
-        row = spark.createDataFrame([(metrics, self.entries)], columns)
-        return row.select(
+        return self._row(spark).select(
             F.lit(self.layer).alias("layer"),
             F.col("metrics.table_name").alias("table_name"),
             F.col("metrics.dat_carga").alias("dat_carga"),
@@ -92,16 +86,32 @@ class RunLog:
             F.to_json(F.struct("logs", "metrics")).alias("document"),
         )
 
+    def _row(self, spark: SparkSession) -> DataFrame:
+        columns = T.StructType([
+            T.StructField("metrics", self.schema),
+            T.StructField("logs", T.ArrayType(schemas.LOG_ENTRY)),
+        ])
+        logs = [dict(zip(schemas.LOG_ENTRY.names, entry)) for entry in self.entries]
+        text = json.dumps({"metrics": self.metrics, "logs": logs})
+        parsed = F.from_json(F.lit(text), columns).alias("run")
+        return spark.range(1).coalesce(1).select(parsed).select("run.*")
+
 
 def run_log_path(lake: Lake) -> str:
     return f"{lake.root}/ops/run_log"
 
 
 def metrics_sink(spark: SparkSession, lake: Lake, run: RunLog) -> None:
-    """Append the document of a run to the ops table."""
-    run.document_row(spark).write.mode("append").parquet(run_log_path(lake))
+    """Add the document of a run to the ops table.
+
+    Each run writes a folder of its own: loads run side by side, and two jobs that append to one
+    folder share, and clear, one folder of temporary files.
+    """
+    folder = f"{run_log_path(lake)}/{run.layer}/{uuid.uuid4().hex}"
+    run.document_row(spark).write.mode("errorifexists").parquet(folder)
 
 
 def run_log(spark: SparkSession, lake: Lake) -> DataFrame:
     """All runs so far."""
-    return spark.read.schema(RUN_DOCUMENT).parquet(run_log_path(lake))
+    rows = spark.read.schema(RUN_DOCUMENT).option("recursiveFileLookup", True)
+    return rows.parquet(run_log_path(lake))

@@ -10,22 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.config import ALL_TABLES, DATABASES, WRITE_MODES, Lake, LakeTable
-from stratalake.functions.text import data_literal
-from stratalake.operators.cleaning import quoted
+from stratalake.functions.text import sql_name, sql_text
 from stratalake.schemas import LOAD_DATE
 from stratalake.workspace import delete_path, path_exists
 
 
 def create_database(spark: SparkSession, lake: Lake, name: str) -> None:
     database = lake.database(name)
-    location = data_literal(f"{lake.root}/{database}")
+    location = sql_text(f"{lake.root}/{database}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {location}")
 
 
 def _column_ddl(field: T.StructField) -> str:
     ddl = f"`{field.name}` {field.dataType.simpleString()}"
     comment = field.metadata.get("comment")
-    return f"{ddl} COMMENT {data_literal(comment)}" if comment else ddl
+    return f"{ddl} COMMENT {sql_text(comment)}" if comment else ddl
 
 
 def create_table(spark: SparkSession, lake: Lake, table: LakeTable) -> None:
@@ -41,7 +40,7 @@ def create_table(spark: SparkSession, lake: Lake, table: LakeTable) -> None:
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.full_name(lake)} ({columns}) "
         f"USING {lake.table_format} PARTITIONED BY ({', '.join(table.partition_by)}) "
-        f"LOCATION {data_literal(table.path(lake))}"
+        f"LOCATION {sql_text(table.path(lake))}"
     )
     if has_data and _tracks_partitions(lake):
         spark.catalog.recoverPartitions(table.full_name(lake))
@@ -77,6 +76,12 @@ def evolve_table(spark: SparkSession, lake: Lake, table: LakeTable, df: DataFram
     return [f.name for f in new]
 
 
+def _stored_as(name: str, field: T.StructField) -> Column:
+    """A column under the name and type it has in the table."""
+    kind = field.dataType.simpleString()
+    return F.expr(f"CAST({sql_name(name)} AS {kind}) AS {sql_name(field.name)}")
+
+
 def check_mode(mode: str) -> str:
     if mode not in WRITE_MODES:
         raise ValueError(f"write mode {mode!r} is not one of {', '.join(WRITE_MODES)}")
@@ -98,8 +103,8 @@ def write_slices(
 ) -> dict[str, object]:
     """Write the slices of ``load_dates``; returns ``rows`` written and the ``totals`` asked for.
 
-    ``df`` holds these load dates and no others. A table with further partition columns takes the
-    one value of each in ``within``.
+    ``df`` holds these load dates and no others; with one load date it needs no such column. A
+    table with further partition columns takes the one value of each in ``within``.
 
     ``append`` adds to the slices, ``replace_slice`` replaces them, ``overwrite_table`` replaces
     them and drops all others. A replaced slice stays readable until the new files are committed,
@@ -112,30 +117,42 @@ def write_slices(
     create_table(spark, lake, table)
     kept = df.drop(*[c for c in df.columns if c.startswith("__")])
     evolve_table(spark, lake, table, kept)
+    fixed = dict(within or {})
+    if len(load_dates) == 1:
+        fixed[LOAD_DATE] = load_dates[0]
     stored = {f.name.lower(): f for f in spark.table(table.full_name(lake)).schema.fields}
     columns = [
-        quoted(c).cast(stored[c.lower()].dataType).alias(stored[c.lower()].name)
-        for c in kept.columns
+        _stored_as(c, stored[c.lower()]) for c in kept.columns if c not in fixed
     ]
+    # A partition column with one value is a literal of the last projection: Spark then knows the
+    # rows are ordered by it and need no sort before the write.
+    columns += [F.lit(value).alias(name) for name, value in fixed.items()]
     if rebalance:
         df = df.hint("rebalance")
     # Next to the write, so that the counters are in the tasks that commit files and a map task
     # that runs again cannot add to them.
     written = Observation()
     extra = [total.alias(name) for name, total in (totals or {}).items()]
+    if len(load_dates) > 1:
+        extra += [F.count_if(F.col(LOAD_DATE) == d).alias(f"rows_{d}") for d in load_dates]
     out = df.observe(written, F.count(F.lit(1)).alias("rows"), *extra).select(*columns)
-    writer = out.write.format(lake.table_format).partitionBy(*table.partition_by)
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    if mode == "append":
-        writer.mode("append").save(table.path(lake))
+    options = {"maxRecordsPerFile": rows_per_file} if rows_per_file else {}
+    writer = out.write.format(lake.table_format).options(**options)
+    if mode == "append" and len(fixed) == len(table.partition_by) and _tracks_partitions(lake):
+        # Straight into the slice, so that appends to other slices can run at the same time.
+        rows = out.drop(*fixed).write.format(lake.table_format).options(**options)
+        rows.mode("append").save(slice_path(lake, table, load_dates[0], within))
+    elif mode == "append":
+        writer.mode("append").partitionBy(*table.partition_by).save(table.path(lake))
     else:
         # On a path the option is honoured; insertInto would ignore it and clear the table.
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(table.path(lake))
+        writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+        writer.partitionBy(*table.partition_by).save(table.path(lake))
     found = written.get
-    if mode != "append" and not found["rows"] and not within:
+    if mode != "append" and not within:
         for load_date in load_dates:
-            drop_slice(spark, lake, table, load_date)
+            if not found.get(f"rows_{load_date}", found["rows"]):
+                drop_slice(spark, lake, table, load_date)
     _register(spark, lake, table, load_dates, within or {})
     if mode == "overwrite_table":
         for other in set(slices(spark, lake, table)) - set(load_dates):
@@ -153,20 +170,23 @@ def _register(
     """Tell the catalog about the partitions of a write."""
     name = table.full_name(lake)
     if _tracks_partitions(lake):
-        deeper = "".join(f", {c} = {data_literal(v)}" for c, v in within.items())
-        folder = "".join(f"/{c}={v}" for c, v in within.items())
+        deeper = "".join(f", {c} = {sql_text(v)}" for c, v in within.items())
         specs = [
-            f"PARTITION ({LOAD_DATE} = {data_literal(d)}{deeper})"
+            f"PARTITION ({LOAD_DATE} = {sql_text(d)}{deeper})"
             for d in load_dates
-            if path_exists(spark, slice_path(lake, table, d) + folder)
+            if path_exists(spark, slice_path(lake, table, d, within))
         ]
         if specs:
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
     spark.catalog.refreshTable(name)
 
 
-def slice_path(lake: Lake, table: LakeTable, load_date: str) -> str:
-    return f"{table.path(lake)}/{LOAD_DATE}={load_date}"
+def slice_path(
+    lake: Lake, table: LakeTable, load_date: str, within: Mapping[str, str] | None = None
+) -> str:
+    """Folder of a load date, or of one further partition of it."""
+    deeper = "".join(f"/{name}={value}" for name, value in (within or {}).items())
+    return f"{table.path(lake)}/{LOAD_DATE}={load_date}{deeper}"
 
 
 def slices(spark: SparkSession, lake: Lake, table: LakeTable) -> list[str]:
@@ -180,7 +200,7 @@ def slices(spark: SparkSession, lake: Lake, table: LakeTable) -> list[str]:
 
 def drop_slice(spark: SparkSession, lake: Lake, table: LakeTable, load_date: str) -> None:
     """Remove one load date."""
-    value = data_literal(load_date)
+    value = sql_text(load_date)
     name = table.full_name(lake)
     if not _tracks_partitions(lake):
         spark.sql(f"DELETE FROM {name} WHERE {LOAD_DATE} = {value}")

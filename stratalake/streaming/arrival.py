@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from stratalake.config import BronzeLoad, Lake, LakeTable
 from stratalake.errors import BadInput
 from stratalake.functions.dates import load_date_of_path
-from stratalake.operators.cleaning import cleaned_columns, quoted
+from stratalake.functions.text import sql_name
+from stratalake.operators.cleaning import cleaned_columns
 from stratalake.operators.quality import required_not_null
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.tables import create_database, write_slices
@@ -59,7 +60,8 @@ def read_arrivals(
     else:
         rows = reader.format(load.file_type).load(path)
     dated = load_date_of_path(F.col("_metadata.file_path")).alias(LOAD_DATE)
-    return rows.select(*cleaned_columns(rows, load.null_markers), dated)
+    cleaned = cleaned_columns(rows, load.null_markers)
+    return rows.select(*[c.alias(name) for name, c in cleaned.items()], dated)
 
 
 def ingest_batch(
@@ -74,7 +76,7 @@ def ingest_batch(
     names = [c for c in rows.columns if c != LOAD_DATE]
     by_date = (
         rows.groupBy(LOAD_DATE)
-        .agg(*[F.count_if(quoted(c).isNull()).alias(c) for c in names])
+        .agg(*[F.expr(f"count_if({sql_name(c)} IS NULL) AS {sql_name(c)}") for c in names])
         .collect()
     )  # one row for each load date among the new files
     if not by_date:
@@ -86,7 +88,7 @@ def ingest_batch(
         spark,
         lake,
         table,
-        rows.withColumn(ARRIVAL, F.lit(batch)),
+        rows,
         [row[LOAD_DATE] for row in by_date],
         "replace_slice",
         within={ARRIVAL: batch},
