@@ -68,7 +68,7 @@ def files_read(spark, sf_dir):
 @query(
     "required_columns",
     "SELECT 'nome,cpf' AS required, 'ok' AS outcome, count(*) AS n_rows FROM clientes"
-    " UNION ALL SELECT 'nome,documento', 'rejected', CAST(NULL AS BIGINT)",
+    " UNION ALL SELECT 'nome,documento', 'rejected', CAST(0 AS BIGINT)",
 )
 def required(spark, sf_dir):
     customers = views.customers(spark, sf_dir)
@@ -78,7 +78,7 @@ def required(spark, sf_dir):
             required_columns(customers.columns, names)
             counted = row_count(customers).select(F.lit("ok").alias("outcome"), "rows")
         except QualityError:
-            counted = inline_rows(spark, [("rejected", None)], "outcome string, rows bigint")
+            counted = inline_rows(spark, [("rejected", 0)], "outcome string, rows bigint")
         parts.append(
             counted.select(
                 F.lit(",".join(names)).alias("required"),

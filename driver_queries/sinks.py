@@ -125,7 +125,7 @@ def append_twice(spark, sf_dir):
     f" UNION ALL SELECT 'replace_slice', '{FIRST}', count(*) FROM produtos"
     f" UNION ALL SELECT 'replace_slice', '{SECOND}', count(*) FROM produtos"
     f" UNION ALL SELECT 'overwrite_table', '{FIRST}', count(*) FROM produtos"
-    " UNION ALL SELECT 'upsert', 'rejected', CAST(NULL AS BIGINT)",
+    " UNION ALL SELECT 'upsert', 'rejected', CAST(0 AS BIGINT)",
 )
 def write_modes(spark, sf_dir):
     """Two slices, then the first once more in each mode."""
@@ -143,7 +143,7 @@ def write_modes(spark, sf_dir):
             stored = scan_table(spark, lake, config.PRODUCTS)
             counted = stored.groupBy(LOAD_DATE).agg(F.count(F.lit(1)).alias("n_rows"))
         except ValueError:
-            counted = inline_rows(spark, [("rejected", None)], f"{LOAD_DATE} string, n_rows bigint")
+            counted = inline_rows(spark, [("rejected", 0)], f"{LOAD_DATE} string, n_rows bigint")
         parts.append(counted.withColumn("mode", F.lit(mode)))
     return union(parts)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from driver_queries import views
 from driver_queries.registry import query
 from driver_queries.views import FIRST, LOAD_DATES, PRODUCT_NAMES, SECOND
 from stratalake import config
-from stratalake.errors import BadInput, UnsupportedFormat
+from stratalake.errors import BadInput, MissingPackage, UnsupportedFormat
 from stratalake.functions.dates import load_date_of_path
 from stratalake.operators.profile import row_count
 from stratalake.plans.silver import CUSTOMER_INPUT
@@ -21,6 +22,8 @@ from stratalake.sources.stage import (
     add_load_date,
     inline_rows,
     list_files,
+    sample_rows,
+    scan_avro,
     scan_stage,
     stage_path,
     with_input_file,
@@ -67,8 +70,8 @@ def scan_parquet(spark, sf_dir):
     "reject_format",
     "SELECT 'csv' AS file_type, 'accepted' AS outcome, count(*) AS n_rows FROM produtos"
     " UNION ALL SELECT 'txt', 'accepted', count(*) FROM produtos"
-    " UNION ALL SELECT 'json', 'rejected', CAST(NULL AS BIGINT)"
-    " UNION ALL SELECT 'orc', 'rejected', CAST(NULL AS BIGINT)",
+    " UNION ALL SELECT 'json', 'rejected', CAST(0 AS BIGINT)"
+    " UNION ALL SELECT 'orc', 'rejected', CAST(0 AS BIGINT)",
 )
 def reject_format(spark, sf_dir):
     lake = views.new_lake(spark)
@@ -79,7 +82,7 @@ def reject_format(spark, sf_dir):
             counted = row_count(scan_stage(spark, path, file_type))
             outcome = counted.select(F.lit("accepted").alias("outcome"), "rows")
         except UnsupportedFormat:
-            outcome = inline_rows(spark, [("rejected", None)], "outcome string, rows bigint")
+            outcome = inline_rows(spark, [("rejected", 0)], "outcome string, rows bigint")
         parts.append(
             outcome.select(
                 F.lit(file_type).alias("file_type"), "outcome", F.col("rows").alias("n_rows")
@@ -88,6 +91,43 @@ def reject_format(spark, sf_dir):
     return union(parts)
 
 
+@query("scan_avro")
+def scan_avro_files(spark, sf_dir):
+    """The products through Avro files; without Spark's Avro package, that it is missing."""
+    path = stage_path(views.new_lake(spark).stage_root, "produtos", FIRST)
+    products = views.products(spark, sf_dir)
+    try:
+        scan_avro(spark, path)
+    except MissingPackage:
+        return row_count(products).select(
+            F.lit("package missing").alias("outcome"), F.col("rows").alias("n_rows")
+        )
+    except AnalysisException:
+        pass  # the folder is not written yet
+    products.write.format("avro").save(path)
+    return row_count(scan_stage(spark, path, "avro")).select(
+        F.lit("read").alias("outcome"), F.col("rows").alias("n_rows")
+    )
+
+
+@query(
+    "sample_rows",
+    "SELECT CAST(3 AS BIGINT) AS sampled, true AS all_in_table, count(*) AS n_rows"
+    " FROM clientesxprod",
+)
+def sampled_rows(spark, sf_dir):
+    """A few rows for a message, all of them rows of the table."""
+    acquisitions = views.stored(views.acquisitions(spark, sf_dir))
+    sample = views.stored(sample_rows(acquisitions, 3).select("id"))
+    ids = sample.distinct().withColumn("hit", F.col("id"))
+    found = acquisitions.join(F.broadcast(ids), "id", "left")  # three rows at most
+    return found.agg(
+        F.lit(sample.count()).alias("sampled"),
+        (F.count_distinct("hit") == F.lit(ids.count())).alias("all_in_table"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+
+
 @query("stage_path", f"SELECT {LOAD_DATE}, count(*) AS n_rows FROM vendas GROUP BY {LOAD_DATE}")
 def stage_paths(spark, sf_dir):
     lake = views.new_lake(spark)
@@ -102,7 +142,7 @@ def stage_paths(spark, sf_dir):
 
 @query(
     "column_guard",
-    "SELECT ',' AS sep, 'rejected' AS outcome, CAST(NULL AS BIGINT) AS n_rows"
+    "SELECT ',' AS sep, 'rejected' AS outcome, CAST(0 AS BIGINT) AS n_rows"
     " UNION ALL SELECT ';', 'accepted', count(*) FROM clientesxprod",
 )
 def column_guard(spark, sf_dir):
@@ -115,7 +155,7 @@ def column_guard(spark, sf_dir):
             counted = row_count(scan_stage(spark, path, "csv", sep=sep))
             outcome = counted.select(F.lit("accepted").alias("outcome"), "rows")
         except BadInput:
-            outcome = inline_rows(spark, [("rejected", None)], "outcome string, rows bigint")
+            outcome = inline_rows(spark, [("rejected", 0)], "outcome string, rows bigint")
         parts.append(
             outcome.select(F.lit(sep).alias("sep"), "outcome", F.col("rows").alias("n_rows"))
         )

@@ -68,7 +68,7 @@ SQL_TOTALS = (
 
 def silver_rows(spark, sf_dir):
     """The silver rows of the whole export, joined as a profile of the inputs decides."""
-    acquisitions = views.acquisitions(spark, sf_dir)
+    acquisitions = views.stored(views.acquisitions(spark, sf_dir))
     customers = views.clean_customers(spark, sf_dir).select(CUSTOMER_INPUT)
     products = views.clean_products(spark, sf_dir).select(PRODUCT_INPUT)
     found = profile_inputs(_LAKE, acquisitions, customers, products)
@@ -185,7 +185,7 @@ def left_join_customer(spark, sf_dir):
     """Shuffled by customer, with the customers of many rows found first and salted."""
     acquisitions = views.acquisitions(spark, sf_dir).withColumnRenamed("cliente_id", "client_id")
     customers = views.clean_customers(spark, sf_dir).select("client_id", "cpf", "estado", "renda")
-    facts = acquisitions.select("id", "client_id")
+    facts = views.stored(acquisitions.select("id", "client_id"))
     hot = find_hot_keys(facts, "client_id", _LAKE.rows_per_task)
     return lookup_join(facts, customers, "client_id", hot=hot)
 
@@ -200,7 +200,10 @@ def _left_join_product(spark, sf_dir):
     products = views.clean_products(spark, sf_dir).select(PRODUCT_INPUT)
     facts = views.acquisitions(spark, sf_dir).select("id", "produto_id")
     small = data_size(products).first()["chars"] <= _LAKE.broadcast_chars
-    hot = [] if small else find_hot_keys(facts, "produto_id", _LAKE.rows_per_task)
+    hot = []
+    if not small:
+        facts = views.stored(facts)
+        hot = find_hot_keys(facts, "produto_id", _LAKE.rows_per_task)
     return lookup_join(facts, products, "produto_id", hot=hot, broadcast_lookup=small)
 
 

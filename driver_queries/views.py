@@ -165,6 +165,13 @@ def on_each_date(df: DataFrame) -> DataFrame:
     return df.withColumn(LOAD_DATE, F.explode(dates))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written out and read back, for queries that pass over a derived view twice."""
+    path = new_folder(df.sparkSession, "view")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_lake(spark: SparkSession) -> Lake:
     """An empty lake in a folder and databases of its own."""
     root = new_folder(spark, "lake")

@@ -105,10 +105,18 @@ def credit_customers(
 
 @dataclass(frozen=True)
 class InputProfile:
-    """Text size of the silver inputs, and the join plan that follows from it."""
+    """Text size of the silver inputs, and the join plan that follows from it.
+
+    ``row_chars`` is the mean text of one row of each input together, about a row of the result.
+    """
 
     chars: int
     joins: JoinPlan
+    row_chars: float
+
+    def rows_per_file(self, target_bytes: int) -> int:
+        """Rows of the result that fill a file of the target size."""
+        return max(1, int(target_bytes / self.row_chars))
 
 
 def profile_inputs(
@@ -120,6 +128,7 @@ def profile_inputs(
     def totals(df: DataFrame, name: str, customer_key=no_keys, product_key=no_keys) -> DataFrame:
         return df.agg(
             F.lit(name).alias("input"),
+            F.count(F.lit(1)).alias("n"),
             F.coalesce(F.sum(row_chars(df.schema)), F.lit(0)).alias("chars"),
             customer_key.alias("customers"),
             product_key.alias("products"),
@@ -144,6 +153,7 @@ def profile_inputs(
             hot_customers=hot_keys(facts["customers"], lake.rows_per_task),
             hot_products=hot_keys(facts["products"], lake.rows_per_task),
         ),
+        sum(row["chars"] / max(row["n"], 1) for row in rows.values()) + 1,
     )
 
 
@@ -169,7 +179,15 @@ def silver_credit_customers(
             acquisitions, customers, products, as_of or load_day(load_date), found.joins
         )
         with run.timed("write_total_time"):
-            written = write_slices(spark, lake, table, rows, [load_date], mode)["rows"]
+            written = write_slices(
+                spark,
+                lake,
+                table,
+                rows,
+                [load_date],
+                mode,
+                rows_per_file=found.rows_per_file(lake.target_file_bytes),
+            )["rows"]
         audit = audit_slice(spark, lake, table, load_date)
         run.set(
             qtd_total_rows_insert=written,

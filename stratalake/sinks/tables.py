@@ -82,6 +82,15 @@ def _stored_as(name: str, field: T.StructField) -> Column:
     return F.expr(f"CAST({sql_name(name)} AS {kind}) AS {sql_name(field.name)}")
 
 
+def _counted(df: DataFrame, load_dates: Sequence[str]) -> Column:
+    """Aggregate: the rows. Fails, before anything is committed, on a row of no known load date."""
+    if LOAD_DATE not in df.columns:
+        return F.count(F.lit(1)).alias("rows")
+    message = f"a row has another load date than {', '.join(load_dates)}"
+    known = F.col(LOAD_DATE).isin(*load_dates)
+    return F.count(F.when(known, 1).otherwise(F.raise_error(message))).alias("rows")
+
+
 def check_mode(mode: str) -> str:
     if mode not in WRITE_MODES:
         raise ValueError(f"write mode {mode!r} is not one of {', '.join(WRITE_MODES)}")
@@ -103,8 +112,9 @@ def write_slices(
 ) -> dict[str, object]:
     """Write the slices of ``load_dates``; returns ``rows`` written and the ``totals`` asked for.
 
-    ``df`` holds these load dates and no others; with one load date it needs no such column. A
-    table with further partition columns takes the one value of each in ``within``.
+    With one load date ``df`` needs no such column; where it has one, a row of another load date
+    fails the write. A table with further partition columns takes the one value of each in
+    ``within``.
 
     ``append`` adds to the slices, ``replace_slice`` replaces them, ``overwrite_table`` replaces
     them and drops all others. A replaced slice stays readable until the new files are committed,
@@ -135,7 +145,7 @@ def write_slices(
     extra = [total.alias(name) for name, total in (totals or {}).items()]
     if len(load_dates) > 1:
         extra += [F.count_if(F.col(LOAD_DATE) == d).alias(f"rows_{d}") for d in load_dates]
-    out = df.observe(written, F.count(F.lit(1)).alias("rows"), *extra).select(*columns)
+    out = df.observe(written, _counted(df, load_dates), *extra).select(*columns)
     options = {"maxRecordsPerFile": rows_per_file} if rows_per_file else {}
     writer = out.write.format(lake.table_format).options(**options)
     if mode == "append" and len(fixed) == len(table.partition_by) and _tracks_partitions(lake):

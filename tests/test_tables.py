@@ -80,6 +80,17 @@ def test_several_slices_of_which_one_is_empty(spark, lake):
     assert stored(spark, lake) == [("a", D2), ("b", D3)]
 
 
+@pytest.mark.parametrize("dates", [[D1], [D1, D2]])
+def test_a_row_of_another_date_fails_the_write(spark, lake, dates):
+    write_slices(spark, lake, PRODUCTS, products(spark, "old"), [D1])
+    rows = products(spark, "a", "b").withColumn(
+        LOAD_DATE, F.when(F.col("nome") == "a", D1).otherwise(D3)
+    )
+    with pytest.raises(Exception, match="another load date"):
+        write_slices(spark, lake, PRODUCTS, rows, dates)
+    assert stored(spark, lake) == [("old", D1)]
+
+
 def test_unknown_mode(spark, lake):
     with pytest.raises(ValueError, match="upsert"):
         write_slices(spark, lake, PRODUCTS, products(spark, "a"), [D1], "upsert")
