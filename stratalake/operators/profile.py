@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -84,30 +84,48 @@ class LoadProfile:
         return max(1, int(target_bytes * self.rows / max(self.chars, 1)))
 
 
-def profile_load(
+def measured(
     scan: DataFrame, load_date: str, markers: Sequence[str] = ("NULL", "null")
-) -> LoadProfile:
-    """Rows, text size, files and nulls of a file scan, in one job of one row.
+) -> DataFrame:
+    """The cleaned columns of a file scan, with the size of each raw row and a hash of its file.
 
-    The size is that of the rows as read plus the load date. Nulls are counted after cleaning.
-    The distinct count of files is exact: Spark first groups by file inside each task, so what is
-    shuffled is one row per file and task.
+    The size is that of the row as read plus the load date. The two helper columns are for
+    ``profile_totals``; a write leaves them out.
     """
     dated = T.StructType([*scan.schema.fields, T.StructField(LOAD_DATE, T.StringType())])
-    cleaned = cleaned_columns(scan, markers)
-    # One projection from the scan: the file, the size of the raw row, the cleaned columns.
-    measured = scan.select(
-        "*", F.lit(load_date).alias(LOAD_DATE), F.col("_metadata.file_path").alias(_SOURCE_FILE)
-    ).select(
-        _SOURCE_FILE,
+    return scan.select("*", F.lit(load_date).alias(LOAD_DATE)).select(
+        *[c.alias(name) for name, c in cleaned_columns(scan, markers).items()],
         row_chars(dated).alias(_ROW_CHARS),
-        *[column.alias(f"c{i}") for i, column in enumerate(cleaned.values())],
+        F.xxhash64("_metadata.file_path").alias(_SOURCE_FILE),
     )
-    row = measured.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(_ROW_CHARS), F.lit(0)).alias("chars"),
-        F.count_distinct(_SOURCE_FILE).alias("files"),
-        *[F.expr(f"count_if(c{i} IS NULL) AS n{i}") for i in range(len(cleaned))],
-    ).first()
-    nulls = {name: row[f"n{i}"] for i, name in enumerate(cleaned)}
-    return LoadProfile(row["rows"], row["chars"], row["files"], nulls)
+
+
+def profile_totals(columns: Sequence[str]) -> dict[str, Column]:
+    """Aggregates of a measured load: text size, files, and the nulls of each column.
+
+    The files are a set of hashes, eight bytes for each file the driver has listed for the scan.
+    """
+    totals = {
+        "chars": F.coalesce(F.sum(_ROW_CHARS), F.lit(0)),
+        "files": F.size(F.collect_set(_SOURCE_FILE)),
+    }
+    for i, name in enumerate(columns):
+        totals[f"nulls_{i}"] = F.expr(f"count_if({sql_name(name)} IS NULL)")
+    return totals
+
+
+def load_profile(columns: Sequence[str], totals: Mapping[str, int]) -> LoadProfile:
+    """The profile from the totals of a load."""
+    nulls = {name: totals[f"nulls_{i}"] for i, name in enumerate(columns)}
+    return LoadProfile(totals["rows"], totals["chars"], totals["files"], nulls)
+
+
+def profile_load(
+    scan: DataFrame, load_date: str, markers: Sequence[str] = ("NULL", "null")
+) -> LoadProfile:
+    """Rows, text size, files and nulls of a file scan, in one pass and without a write."""
+    columns = list(cleaned_columns(scan, markers))
+    totals = [total.alias(name) for name, total in profile_totals(columns).items()]
+    rows = measured(scan, load_date, markers)
+    row = rows.agg(F.count(F.lit(1)).alias("rows"), *totals).first()
+    return load_profile(columns, row.asDict())

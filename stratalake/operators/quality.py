@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.errors import QualityError
+from stratalake.functions.text import sql_name
 
 
 def required_columns(columns: Sequence[str], required: Sequence[str]) -> None:
@@ -26,6 +27,17 @@ def required_not_null(nulls: Mapping[str, int], required: Sequence[str]) -> dict
     return {name: n for name, n in nulls.items() if n > 0 and name not in required}
 
 
+REQUIRED_IS_NULL = "a required column holds a null: "
+
+
+def fail_on_null(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """The same rows, where a null in a required column fails the job that reads them."""
+    return df.withColumns({
+        name: F.coalesce(F.col(sql_name(name)), F.raise_error(REQUIRED_IS_NULL + name))
+        for name in required
+    })
+
+
 def null_report(counts: DataFrame, required: Sequence[str]) -> DataFrame:
     """``null_counts`` with the verdict of each column: ok, error for a required one, else noted."""
     needed = F.col("column_name").isin(*required)

@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from stratalake.config import BronzeLoad, Lake
 from stratalake.errors import BadInput, JobFailed
-from stratalake.operators.cleaning import clean
-from stratalake.operators.profile import LoadProfile, profile_load
-from stratalake.operators.quality import required_columns, required_not_null
+from stratalake.operators.profile import (
+    LoadProfile,
+    load_profile,
+    measured,
+    profile_load,
+    profile_totals,
+)
+from stratalake.operators.quality import (
+    REQUIRED_IS_NULL,
+    fail_on_null,
+    required_columns,
+    required_not_null,
+)
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, table_exists, write_slices
 from stratalake.sources.stage import scan_stage, stage_path
@@ -25,11 +36,25 @@ class BronzeRun:
     input_files: list[str]
 
 
-def check_load(profile: LoadProfile, load: BronzeLoad) -> dict[str, int]:
-    """Raise when the profile breaks a rule of the load; return the other nulls."""
-    if load.reject_empty and not profile.rows:
-        raise BadInput(f"the load of {load.table.name} has no rows")
-    return required_not_null(profile.nulls, load.required)
+def _write(
+    spark: SparkSession,
+    lake: Lake,
+    load: BronzeLoad,
+    rows: DataFrame,
+    load_date: str,
+    mode: str,
+    totals: dict[str, Column],
+) -> dict[str, int] | None:
+    """Write a load and return its totals; None when a required column turned out to hold nulls."""
+    checked = fail_on_null(rows, load.required)
+    try:
+        return write_slices(
+            spark, lake, load.table, checked, [load_date], mode, totals=totals
+        )
+    except PySparkException as error:
+        if REQUIRED_IS_NULL in str(error):
+            return None
+        raise
 
 
 def bronze_ingest(
@@ -37,9 +62,9 @@ def bronze_ingest(
 ) -> BronzeRun:
     """Load the stage folder of one table and date.
 
-    The input is read twice: once for the profile that decides whether the load is good, once for
-    the write. Nothing is written before the checks have passed. The metrics row is written
-    whether the load succeeds or not.
+    The input is read once: what the metrics need is counted by the tasks that write. A null in a
+    required column fails the write before anything is committed; only then is the input read
+    again, to say how many there are. The metrics row is written whether the load succeeds or not.
     """
     table = load.table
     run = RunLog("bronze", table.name, load_date)
@@ -53,28 +78,28 @@ def bronze_ingest(
                 multiline=load.multiline,
                 options=load.read_options,
             )
-        cleaned = clean(scan, load.null_markers)
-        required_columns(cleaned.columns, load.required)
-        profile = profile_load(scan, load_date, load.null_markers)
+        rows = measured(scan, load_date, load.null_markers)
+        columns = [c for c in rows.columns if not c.startswith("__")]
+        required_columns(columns, load.required)
+        if load.reject_empty and scan.isEmpty():
+            raise BadInput(f"the load of {table.name} has no rows")
+        existed = table_exists(spark, lake, table)
+        run.log(f"table {table.full_name(lake)} {'exists' if existed else 'is new'}")
+        with run.timed("write_total_time"):
+            totals = _write(
+                spark, lake, load, rows, load_date, mode or load.mode, profile_totals(columns)
+            )
+        if totals is None:
+            profile = profile_load(scan, load_date, load.null_markers)
+        else:
+            profile = load_profile(columns, totals)
         run.set(
             number_lines_loaded=profile.rows,
             data_size_mb_formatted=profile.size_mb,
             num_files=profile.files,
         )
-        for name, nulls in check_load(profile, load).items():
+        for name, nulls in required_not_null(profile.nulls, load.required).items():
             run.log(f"column {name} has {nulls} nulls")
-        existed = table_exists(spark, lake, table)
-        run.log(f"table {table.full_name(lake)} {'exists' if existed else 'is new'}")
-        with run.timed("write_total_time"):
-            write_slices(
-                spark,
-                lake,
-                table,
-                cleaned,
-                [load_date],
-                mode or load.mode,
-                rows_per_file=profile.rows_per_file(lake.target_file_bytes),
-            )
         audit = audit_slice(spark, lake, table, load_date)
         run.set(qtd_total_rows_insert=audit.rows, num_columns_table=audit.columns)
         run.reconcile(profile.rows, audit.rows)

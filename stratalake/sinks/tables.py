@@ -82,9 +82,9 @@ def _stored_as(name: str, field: T.StructField) -> Column:
     return F.expr(f"CAST({sql_name(name)} AS {kind}) AS {sql_name(field.name)}")
 
 
-def _counted(df: DataFrame, load_dates: Sequence[str]) -> Column:
+def _counted(df: DataFrame, load_dates: Sequence[str] | None) -> Column:
     """Aggregate: the rows. Fails, before anything is committed, on a row of no known load date."""
-    if LOAD_DATE not in df.columns:
+    if load_dates is None or LOAD_DATE not in df.columns:
         return F.count(F.lit(1)).alias("rows")
     message = f"a row has another load date than {', '.join(load_dates)}"
     known = F.col(LOAD_DATE).isin(*load_dates)
@@ -102,7 +102,7 @@ def write_slices(
     lake: Lake,
     table: LakeTable,
     df: DataFrame,
-    load_dates: Sequence[str],
+    load_dates: Sequence[str] | None,
     mode: str = "replace_slice",
     *,
     within: Mapping[str, str] | None = None,
@@ -112,7 +112,7 @@ def write_slices(
 ) -> dict[str, object]:
     """Write the slices of ``load_dates``; returns ``rows`` written and the ``totals`` asked for.
 
-    With one load date ``df`` needs no such column; where it has one, a row of another load date
+    Without ``load_dates`` they are those of the rows, returned as ``load_dates``. With one load date ``df`` needs no such column; where it has one, a row of another load date
     fails the write. A table with further partition columns takes the one value of each in
     ``within``.
 
@@ -128,7 +128,7 @@ def write_slices(
     kept = df.drop(*[c for c in df.columns if c.startswith("__")])
     evolve_table(spark, lake, table, kept)
     fixed = dict(within or {})
-    if len(load_dates) == 1:
+    if load_dates and len(load_dates) == 1:
         fixed[LOAD_DATE] = load_dates[0]
     stored = {f.name.lower(): f for f in spark.table(table.full_name(lake)).schema.fields}
     columns = [
@@ -143,15 +143,16 @@ def write_slices(
     # that runs again cannot add to them.
     written = Observation()
     extra = [total.alias(name) for name, total in (totals or {}).items()]
-    if len(load_dates) > 1:
-        extra += [F.count_if(F.col(LOAD_DATE) == d).alias(f"rows_{d}") for d in load_dates]
+    if LOAD_DATE in df.columns:
+        extra.append(F.collect_set(LOAD_DATE).alias("load_dates"))
     out = df.observe(written, _counted(df, load_dates), *extra).select(*columns)
     options = {"maxRecordsPerFile": rows_per_file} if rows_per_file else {}
     writer = out.write.format(lake.table_format).options(**options)
-    if mode == "append" and len(fixed) == len(table.partition_by) and _tracks_partitions(lake):
+    whole = len(fixed) == len(table.partition_by)
+    if mode == "append" and whole and _tracks_partitions(lake):
         # Straight into the slice, so that appends to other slices can run at the same time.
         rows = out.drop(*fixed).write.format(lake.table_format).options(**options)
-        rows.mode("append").save(slice_path(lake, table, load_dates[0], within))
+        rows.mode("append").save(slice_path(lake, table, fixed[LOAD_DATE], within))
     elif mode == "append":
         writer.mode("append").partitionBy(*table.partition_by).save(table.path(lake))
     else:
@@ -159,13 +160,13 @@ def write_slices(
         writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
         writer.partitionBy(*table.partition_by).save(table.path(lake))
     found = written.get
+    filled = found.get("load_dates", load_dates if found["rows"] else [])
     if mode != "append" and not within:
-        for load_date in load_dates:
-            if not found.get(f"rows_{load_date}", found["rows"]):
-                drop_slice(spark, lake, table, load_date)
-    _register(spark, lake, table, load_dates, within or {})
+        for load_date in set(load_dates or ()) - set(filled):
+            drop_slice(spark, lake, table, load_date)
+    _register(spark, lake, table, filled, within or {})
     if mode == "overwrite_table":
-        for other in set(slices(spark, lake, table)) - set(load_dates):
+        for other in set(slices(spark, lake, table)) - set(filled):
             drop_slice(spark, lake, table, other)
     return found
 
@@ -184,7 +185,6 @@ def _register(
         specs = [
             f"PARTITION ({LOAD_DATE} = {sql_text(d)}{deeper})"
             for d in load_dates
-            if path_exists(spark, slice_path(lake, table, d, within))
         ]
         if specs:
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")

@@ -9,11 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.config import BronzeLoad, Lake, LakeTable
-from stratalake.errors import BadInput
 from stratalake.functions.dates import load_date_of_path
-from stratalake.functions.text import sql_name
 from stratalake.operators.cleaning import cleaned_columns
-from stratalake.operators.quality import required_not_null
+from stratalake.operators.quality import fail_on_null
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.tables import create_database, write_slices
 from stratalake.sources.stage import STAGE_FOLDER, check_file_type
@@ -72,26 +70,13 @@ def ingest_batch(
     A batch that runs again, because its end was not recorded, has the same files and the same
     name, so it replaces its own partitions and no row is kept twice.
     """
-    spark = rows.sparkSession
-    names = [c for c in rows.columns if c != LOAD_DATE]
-    by_date = (
-        rows.groupBy(LOAD_DATE)
-        .agg(*[F.expr(f"count_if({sql_name(c)} IS NULL) AS {sql_name(c)}") for c in names])
-        .collect()
-    )  # one row for each load date among the new files
-    if not by_date:
-        return 0
-    if any(row[LOAD_DATE] == "" for row in by_date):
-        raise BadInput(f"a file of {load.table.name} is not in a folder named by its load date")
-    required_not_null({c: sum(row[c] for row in by_date) for c in names}, load.required)
+    dated = F.coalesce(
+        F.nullif(LOAD_DATE, F.lit("")),
+        F.raise_error(f"a file of {load.table.name} is not in a folder named by its load date"),
+    )
+    checked = fail_on_null(rows, load.required).withColumn(LOAD_DATE, dated)
     return write_slices(
-        spark,
-        lake,
-        table,
-        rows,
-        [row[LOAD_DATE] for row in by_date],
-        "replace_slice",
-        within={ARRIVAL: batch},
+        rows.sparkSession, lake, table, checked, None, within={ARRIVAL: batch}
     )["rows"]
 
 

@@ -250,7 +250,7 @@ def test_a_new_checkpoint_does_not_replace_older_batches(spark, lake, stage, tmp
 
 def test_a_bad_arrival_stops_the_stream(spark, lake, stage, tmp_path):
     stage("clientes", D1, "client_id,nome\n1,\n")
-    with pytest.raises(Exception, match="required columns hold nulls"):
+    with pytest.raises(Exception, match="required column holds a null: nome"):
         arrival_ingest(spark, lake, BRONZE_LOADS["clientes"], str(tmp_path / "checkpoint"))
 
 
