@@ -11,7 +11,7 @@ from driver_queries.views import CUSTOMER_NAMES, FIRST, LOAD_DATES, SECOND
 from stratalake import config, schemas
 from stratalake.config import BRONZE_LOADS, WRITE_MODES
 from stratalake.errors import AlreadyLanded
-from stratalake.operators.profile import LoadProfile, data_size, row_count
+from stratalake.operators.profile import data_size, row_count
 from stratalake.plans.bronze import bronze_ingest
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.runlog import run_log
@@ -193,7 +193,7 @@ def sized_files(spark, sf_dir):
     """No file has more rows than fill the target size."""
     lake, rows = _acquisition_lake(spark, sf_dir)
     size = data_size(rows).first()
-    limit = LoadProfile(size["rows"], size["chars"], 0).rows_per_file(lake.target_file_bytes)
+    limit = lake.rows_per_file(size["chars"] / max(size["rows"], 1))
     write_slices(
         spark, lake, config.ACQUISITIONS, rows, LOAD_DATES, rows_per_file=limit, rebalance=True
     )

@@ -35,7 +35,8 @@ class Lake:
     """Where the lake lives, and the limits its jobs plan with.
 
     ``rows_per_task`` is how many rows of one join key a single task may take before the key is
-    salted. ``broadcast_chars`` bounds the text of a table that may be broadcast.
+    salted. ``broadcast_chars`` bounds the text of a table that may be broadcast. Files are cut at
+    ``target_file_bytes``, where a byte of a compressed file holds ``chars_per_byte`` of text.
     """
 
     root: str
@@ -45,6 +46,11 @@ class Lake:
     rows_per_task: int = 2_000_000
     broadcast_chars: int = 64 * 1024 * 1024
     target_file_bytes: int = 128 * 1024 * 1024
+    chars_per_byte: float = 4.0
+
+    def rows_per_file(self, row_chars: float) -> int:
+        """Rows of that mean text length that fill a file of the target size."""
+        return max(1, int(self.target_file_bytes * self.chars_per_byte / max(row_chars, 1)))
 
     def database(self, name: str) -> str:
         return f"{self.database_prefix}{name}"

@@ -77,11 +77,10 @@ class LoadProfile:
     def size_mb(self) -> float:
         return megabytes(self.chars)
 
-    def rows_per_file(self, target_bytes: int) -> int:
-        """Rows that fill a file of the target size, by the mean text length of a row."""
-        if not self.rows:
-            return 0
-        return max(1, int(target_bytes * self.rows / max(self.chars, 1)))
+    @property
+    def row_chars(self) -> float:
+        """Mean text length of a row."""
+        return self.chars / max(self.rows, 1)
 
 
 def measured(

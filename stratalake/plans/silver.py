@@ -114,10 +114,6 @@ class InputProfile:
     joins: JoinPlan
     row_chars: float
 
-    def rows_per_file(self, target_bytes: int) -> int:
-        """Rows of the result that fill a file of the target size."""
-        return max(1, int(target_bytes / self.row_chars))
-
 
 def profile_inputs(
     lake: Lake, acquisitions: DataFrame, customers: DataFrame, products: DataFrame
@@ -153,7 +149,7 @@ def profile_inputs(
             hot_customers=hot_keys(facts["customers"], lake.rows_per_task),
             hot_products=hot_keys(facts["products"], lake.rows_per_task),
         ),
-        sum(row["chars"] / max(row["n"], 1) for row in rows.values()) + 1,
+        sum(row["chars"] / max(row["n"], 1) for row in rows.values()),
     )
 
 
@@ -186,7 +182,7 @@ def silver_credit_customers(
                 rows,
                 [load_date],
                 mode,
-                rows_per_file=found.rows_per_file(lake.target_file_bytes),
+                rows_per_file=lake.rows_per_file(found.row_chars),
             )["rows"]
         audit = audit_slice(spark, lake, table, load_date)
         run.set(

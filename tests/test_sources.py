@@ -1,6 +1,6 @@
 import pytest
 
-from stratalake.config import BRONZE_LOADS, CUSTOMERS
+from stratalake.config import BRONZE_LOADS, CUSTOMERS, Lake
 from stratalake.errors import (
     AlreadyLanded,
     BadInput,
@@ -89,7 +89,12 @@ def test_profile_of_a_header_alone(spark, stage):
     found = profile_load(scan_stage(spark, stage("t", D1, "a,b\n")), D1)
     assert (found.rows, found.files, found.chars, found.size_mb) == (0, 0, 0, 0.0)
     assert found.nulls == {"a": 0, "b": 0}
-    assert found.rows_per_file(1000) == 0
+    assert found.row_chars == 0
+
+
+def test_rows_per_file():
+    lake = Lake("", "", target_file_bytes=1000, chars_per_byte=2)
+    assert [lake.rows_per_file(n) for n in (0, 10, 5000)] == [2000, 200, 1]
 
 
 def test_data_size_equals_the_text_of_the_rows(spark):
