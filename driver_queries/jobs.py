@@ -32,7 +32,7 @@ from stratalake.sinks.tables import create_database, create_lake, write_slices
 from stratalake.sources.stage import inline_rows, list_files, scan_stage
 from stratalake.sources.tables import scan_table, slice_of
 from stratalake.streaming.arrival import ARRIVAL, arrival_ingest, arrival_table
-from stratalake.workspace import new_folder
+from stratalake.workspace import delete_path, new_folder
 
 
 def land_masters(spark, sf_dir, lake, load_date: str) -> None:
@@ -62,7 +62,8 @@ def files_read(spark, sf_dir):
     listed = row_count(list_files(spark, path)).first()["rows"]
     scan = scan_stage(spark, path)
     read = distinct_file_count(scan).first()["num_files"]
-    return row_count(scan).withColumn("all_files_read", F.lit(read == listed))
+    counted = row_count(scan).withColumn("all_files_read", F.lit(read == listed))
+    return views.finished(counted, lake)
 
 
 @query(
@@ -122,11 +123,13 @@ def reconciled(spark, sf_dir):
         for _ in range(2):
             write_slices(spark, lake, config.ACQUISITIONS, rows, LOAD_DATES, mode)
         stored = scan_table(spark, lake, config.ACQUISITIONS)
-        for load_date in LOAD_DATES:
-            checked = reconcile(slice_of(rows, load_date), slice_of(stored, load_date))
-            parts.append(
-                checked.withColumns({"mode": F.lit(mode), LOAD_DATE: F.lit(load_date)})
+        checks = [
+            reconcile(slice_of(rows, d), slice_of(stored, d)).withColumns(
+                {"mode": F.lit(mode), LOAD_DATE: F.lit(d)}
             )
+            for d in LOAD_DATES
+        ]
+        parts.append(views.finished(union(checks), lake))
     return union(parts)
 
 
@@ -159,7 +162,8 @@ def _run_all_loads(spark, sf_dir):
     for load in BRONZE_LOADS.values():
         bronze_ingest(spark, lake, load, FIRST)
     document = F.get_json_object("document", "$.metrics")
-    return run_log(spark, lake).select(F.from_json(document, BRONZE_METRICS).alias("m"))
+    runs = run_log(spark, lake).select(F.from_json(document, BRONZE_METRICS).alias("m"))
+    return views.finished(runs, lake)
 
 
 @query(
@@ -231,12 +235,13 @@ def complete_metrics(spark, sf_dir):
     metrics = F.from_json(F.get_json_object("document", "$.metrics"), BRONZE_METRICS)
     runs = run_log(spark, lake).select("table_name", "success", metrics.alias("m"))
     names = [f"m.{name}" for name in BRONZE_METRICS.names]
-    return runs.select(
+    found = runs.select(
         "table_name",
         "success",
         metrics_complete(names, "m.execution_succes").alias("complete"),
         "m.number_lines_loaded",
     )
+    return views.finished(found, lake)
 
 
 # Jobs
@@ -267,7 +272,7 @@ def configured_loads(spark, sf_dir):
                 F.col("rows").alias("n_rows"),
             )
         )
-    return union(parts)
+    return views.finished(union(parts), lake)
 
 
 @query("bronze_ingest", "SELECT * FROM clientes_datas")
@@ -280,6 +285,7 @@ def ingested(spark, sf_dir):
         land_snapshot(customers, lake.stage_root, "clientes", load_date)
     for load_date in (*LOAD_DATES, SECOND):
         bronze_ingest(spark, lake, BRONZE_LOADS["clientes"], load_date)
+    delete_path(spark, lake.stage_root)
     return scan_table(spark, lake, config.CUSTOMERS)
 
 
@@ -326,7 +332,7 @@ def all_layers(spark, sf_dir):
     for load_date in LOAD_DATES:
         land_masters(spark, sf_dir, lake, load_date)
         run_layers(spark, lake, load_date)
-    return scan_table(spark, lake, config.PRODUCT_TOTALS)
+    return views.finished(scan_table(spark, lake, config.PRODUCT_TOTALS), lake)
 
 
 @query("arrival_ingest", "SELECT * FROM vendas")
@@ -338,4 +344,5 @@ def arrivals(spark, sf_dir):
     for dates in ((FIRST, SECOND), (THIRD,)):
         land_by_date(spark, sf_dir, lake, dates)
         arrival_ingest(spark, lake, load, checkpoint)
+    delete_path(spark, lake.stage_root)
     return scan_table(spark, lake, arrival_table(load)).drop(ARRIVAL)

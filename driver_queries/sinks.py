@@ -96,12 +96,13 @@ def existing_table(spark, sf_dir):
     existed = table_exists(spark, lake, config.PRODUCTS)
     rows = views.products(spark, sf_dir).withColumn(LOAD_DATE, F.lit(FIRST))
     write_slices(spark, lake, config.PRODUCTS, rows, [FIRST])
-    return row_count(scan_table(spark, lake, config.PRODUCTS)).select(
+    found = row_count(scan_table(spark, lake, config.PRODUCTS)).select(
         F.lit(config.PRODUCTS.name).alias("table_name"),
         F.lit(existed).alias("existed"),
         F.lit(table_exists(spark, lake, config.PRODUCTS)).alias("present"),
         F.col("rows").alias("n_rows"),
     )
+    return views.finished(found, lake)
 
 
 def _acquisition_lake(spark, sf_dir):
@@ -144,7 +145,7 @@ def write_modes(spark, sf_dir):
             counted = stored.groupBy(LOAD_DATE).agg(F.count(F.lit(1)).alias("n_rows"))
         except ValueError:
             counted = inline_rows(spark, [("rejected", 0)], f"{LOAD_DATE} string, n_rows bigint")
-        parts.append(counted.withColumn("mode", F.lit(mode)))
+        parts.append(views.finished(counted.withColumn("mode", F.lit(mode)), lake))
     return union(parts)
 
 
@@ -198,9 +199,10 @@ def sized_files(spark, sf_dir):
         spark, lake, config.ACQUISITIONS, rows, LOAD_DATES, rows_per_file=limit, rebalance=True
     )
     files = scan_table(spark, lake, config.ACQUISITIONS).groupBy("_metadata.file_path")
-    return files.agg(F.count(F.lit(1)).alias("n")).agg(
+    sizes = files.agg(F.count(F.lit(1)).alias("n")).agg(
         F.sum("n").alias("n_rows"), F.count_if(F.col("n") > limit).alias("files_too_large")
     )
+    return views.finished(sizes, lake)
 
 
 @query("snapshot_export", "SELECT * FROM produtos")
@@ -225,11 +227,12 @@ def landed(spark, sf_dir):
         second = "accepted"
     except AlreadyLanded:
         second = "rejected"
-    return row_count(scan_stage(spark, path)).select(
+    found = row_count(scan_stage(spark, path)).select(
         F.lit(FIRST).alias(LOAD_DATE),
         F.lit(second).alias("second_landing"),
         F.col("rows").alias("n_rows"),
     )
+    return views.finished(found, lake)
 
 
 @query(
@@ -253,7 +256,7 @@ def headers(spark, sf_dir):
                 F.col("rows").alias("n_rows"),
             )
         )
-    return union(parts)
+    return views.finished(union(parts), lake)
 
 
 @query(
@@ -286,7 +289,7 @@ def purged(spark, sf_dir):
                 F.lit(outcome.kept > 0).alias("late_file_kept"),
             )
         )
-    return union(parts)
+    return views.finished(union(parts), lake)
 
 
 @query(
@@ -307,10 +310,8 @@ def stored_metrics(spark, sf_dir):
     metrics = F.from_json(
         F.get_json_object("document", "$.metrics"), schemas.BRONZE_METRICS
     ).alias("m")
-    return (
-        run_log(spark, lake)
-        .select("layer", "table_name", "dat_carga", "success", metrics)
-        .select(
-            "layer", "table_name", "dat_carga", "success", "m.number_lines_loaded", "m.alerta"
-        )
+    runs = run_log(spark, lake).select("layer", "table_name", "dat_carga", "success", metrics)
+    found = runs.select(
+        "layer", "table_name", "dat_carga", "success", "m.number_lines_loaded", "m.alerta"
     )
+    return views.finished(found, lake)

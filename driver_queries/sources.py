@@ -88,7 +88,7 @@ def reject_format(spark, sf_dir):
                 F.lit(file_type).alias("file_type"), "outcome", F.col("rows").alias("n_rows")
             )
         )
-    return union(parts)
+    return views.finished(union(parts), lake)
 
 
 @query("scan_avro")
@@ -122,7 +122,7 @@ def sampled_rows(spark, sf_dir):
     ids = sample.distinct().withColumn("hit", F.col("id"))
     found = acquisitions.join(F.broadcast(ids), "id", "left")  # three rows at most
     return found.agg(
-        F.lit(sample.count()).alias("sampled"),
+        F.lit(sample.count()).cast("long").alias("sampled"),
         (F.count_distinct("hit") == F.lit(ids.count())).alias("all_in_table"),
         F.count(F.lit(1)).alias("n_rows"),
     )
@@ -132,12 +132,13 @@ def sampled_rows(spark, sf_dir):
 def stage_paths(spark, sf_dir):
     lake = views.new_lake(spark)
     land_by_date(spark, sf_dir, lake)
-    return union([
+    counts = [
         row_count(scan_stage(spark, stage_path(lake.stage_root, "clientesxprod", d))).select(
             F.lit(d).alias(LOAD_DATE), F.col("rows").alias("n_rows")
         )
         for d in LOAD_DATES
-    ])
+    ]
+    return views.finished(union(counts), lake)
 
 
 @query(
@@ -159,7 +160,7 @@ def column_guard(spark, sf_dir):
         parts.append(
             outcome.select(F.lit(sep).alias("sep"), "outcome", F.col("rows").alias("n_rows"))
         )
-    return union(parts)
+    return views.finished(union(parts), lake)
 
 
 @query("add_load_date", f"SELECT *, '{FIRST}' AS {LOAD_DATE} FROM clientesxprod")
@@ -202,9 +203,10 @@ def files_and_their_rows(spark, sf_dir):
     # The two sources spell the scheme differently; the part below the stage root is the same.
     below = F.regexp_extract("path", r"(/\d{8}/[^/]+)$", 1).alias("file")
     joined = listed.select(below).join(rows.select(below, "n"), "file", "full")
-    return joined.groupBy(load_date_of_path(F.col("file")).alias(LOAD_DATE)).agg(
+    counts = joined.groupBy(load_date_of_path(F.col("file")).alias(LOAD_DATE)).agg(
         F.sum("n").alias("n_rows"), F.count_if(F.col("n").isNull()).alias("unread_files")
     )
+    return views.finished(counts, lake)
 
 
 @query("input_files", f"SELECT {LOAD_DATE}, id FROM vendas")

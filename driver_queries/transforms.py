@@ -24,7 +24,6 @@ from stratalake.operators.totals import product_totals
 from stratalake.plans.silver import (
     CUSTOMER_INPUT,
     PRODUCT_INPUT,
-    JoinPlan,
     credit_customers,
     profile_inputs,
 )
@@ -68,7 +67,8 @@ SQL_TOTALS = (
 
 def silver_rows(spark, sf_dir):
     """The silver rows of the whole export, joined as a profile of the inputs decides."""
-    acquisitions = views.stored(views.acquisitions(spark, sf_dir))
+    bought = views.acquisitions(spark, sf_dir)
+    acquisitions = views.stored(bought.select("cliente_id", "produto_id", "valor_aquisicao"))
     customers = views.clean_customers(spark, sf_dir).select(CUSTOMER_INPUT)
     products = views.clean_products(spark, sf_dir).select(PRODUCT_INPUT)
     found = profile_inputs(_LAKE, acquisitions, customers, products)

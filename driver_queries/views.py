@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import config
-from stratalake.config import Lake
+from stratalake.config import DATABASES, Lake
 from stratalake.operators.cleaning import null_markers_to_null
 from stratalake.plans.silver import silver_credit_customers
 from stratalake.schemas import ACQUISITION_COLUMNS, CUSTOMER_COLUMNS, LOAD_DATE, PRODUCT_COLUMNS
 from stratalake.sinks.tables import create_lake, write_slices
-from stratalake.workspace import new_folder
+from stratalake.workspace import delete_path, new_folder
 
 LOAD_DATES = ("20250415", "20250416", "20250417")
 FIRST, SECOND, THIRD = LOAD_DATES
@@ -182,11 +182,22 @@ def new_lake(spark: SparkSession) -> Lake:
     )
 
 
+def finished(result: DataFrame, lake: Lake) -> DataFrame:
+    """A small result kept on its own, and the lake it was taken from deleted."""
+    spark = result.sparkSession
+    kept = stored(result)
+    for database in DATABASES:
+        spark.sql(f"DROP DATABASE IF EXISTS {lake.database(database)} CASCADE")
+    delete_path(spark, lake.root)
+    delete_path(spark, lake.stage_root)
+    return kept
+
+
 _lakes: dict[tuple[str, str, str], Lake] = {}
 
 
 def bronze_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """A lake whose bronze tables hold the driver's rows on three load dates; made once a session."""
+    """A lake whose bronze tables hold the driver's rows on all load dates; made once a session."""
     key = (spark.sparkContext.applicationId, sf_dir, "bronze")
     if key not in _lakes:
         lake = new_lake(spark)

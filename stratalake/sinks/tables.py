@@ -112,9 +112,9 @@ def write_slices(
 ) -> dict[str, object]:
     """Write the slices of ``load_dates``; returns ``rows`` written and the ``totals`` asked for.
 
-    Without ``load_dates`` they are those of the rows, returned as ``load_dates``. With one load date ``df`` needs no such column; where it has one, a row of another load date
-    fails the write. A table with further partition columns takes the one value of each in
-    ``within``.
+    With one load date ``df`` needs no such column; where it has one, a row of another load date
+    fails the write. Without ``load_dates`` they are those of the rows. A table with further
+    partition columns takes the one value of each in ``within``.
 
     ``append`` adds to the slices, ``replace_slice`` replaces them, ``overwrite_table`` replaces
     them and drops all others. A replaced slice stays readable until the new files are committed,
@@ -124,6 +124,8 @@ def write_slices(
     price of a shuffle.
     """
     check_mode(mode)
+    if load_dates is None and LOAD_DATE not in df.columns:
+        raise ValueError("a write needs load dates, as an argument or as a column")
     create_table(spark, lake, table)
     kept = df.drop(*[c for c in df.columns if c.startswith("__")])
     evolve_table(spark, lake, table, kept)
@@ -131,9 +133,7 @@ def write_slices(
     if load_dates and len(load_dates) == 1:
         fixed[LOAD_DATE] = load_dates[0]
     stored = {f.name.lower(): f for f in spark.table(table.full_name(lake)).schema.fields}
-    columns = [
-        _stored_as(c, stored[c.lower()]) for c in kept.columns if c not in fixed
-    ]
+    columns = [_stored_as(c, stored[c.lower()]) for c in kept.columns if c not in fixed]
     # A partition column with one value is a literal of the last projection: Spark then knows the
     # rows are ordered by it and need no sort before the write.
     columns += [F.lit(value).alias(name) for name, value in fixed.items()]
