@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from driver_queries import views
 from driver_queries.registry import query
-from driver_queries.sources import land_by_date, union
+from driver_queries.sources import header_bytes, land_by_date, union
 from driver_queries.transforms import SQL_TOTALS, sql_silver
 from driver_queries.views import FIRST, LOAD_DATES, SECOND, THIRD
 from stratalake import config
@@ -55,12 +55,13 @@ def land_exports(spark, sf_dir, lake) -> None:
     "SELECT count(*) AS \"rows\", true AS all_files_read FROM clientesxprod",
 )
 def files_read(spark, sf_dir):
-    """The files a scan reads are those a listing finds."""
+    """The files that give rows are those a listing finds with more than a header."""
     lake = views.new_lake(spark)
     rows = views.acquisitions(spark, sf_dir)
     path = land_snapshot(rows, lake.stage_root, "clientesxprod", FIRST)
-    listed = row_count(list_files(spark, path)).first()["rows"]
     scan = scan_stage(spark, path)
+    filled = list_files(spark, path).where(F.col("length") > header_bytes(scan.columns))
+    listed = row_count(filled).first()["rows"]
     read = distinct_file_count(scan).first()["num_files"]
     counted = row_count(scan).withColumn("all_files_read", F.lit(read == listed))
     return views.finished(counted, lake)

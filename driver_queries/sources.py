@@ -35,6 +35,11 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def header_bytes(columns: list[str]) -> int:
+    """Size of a file that holds a header and no rows."""
+    return len(",".join(columns).encode()) + 1
+
+
 def land_by_date(spark, sf_dir, lake, dates=LOAD_DATES) -> None:
     """Land the acquisitions of each load date in its own folder."""
     dated = views.dated_acquisitions(spark, sf_dir)
@@ -193,12 +198,15 @@ def one_slice_projected(spark, sf_dir):
     f" GROUP BY {LOAD_DATE}",
 )
 def files_and_their_rows(spark, sf_dir):
-    """Every listed file with data is read, and their rows add up to the folder's."""
+    """Every listed file with more than a header is read; their rows add up to the folder's.
+
+    An empty partition leaves a file that holds a header and nothing else.
+    """
     lake = views.new_lake(spark)
     land_by_date(spark, sf_dir, lake)
     folder = stage_path(lake.stage_root, "clientesxprod", FIRST).rsplit("/", 1)[0] + "/*"
-    listed = list_files(spark, folder).select("path")
     scan = scan_stage(spark, folder)
+    listed = list_files(spark, folder).where(F.col("length") > header_bytes(scan.columns))
     rows = with_input_file(scan, "path").groupBy("path").agg(F.count(F.lit(1)).alias("n"))
     # The two sources spell the scheme differently; the part below the stage root is the same.
     below = F.regexp_extract("path", r"(/\d{8}/[^/]+)$", 1).alias("file")

@@ -102,7 +102,8 @@ def add_columns(spark, sf_dir):
 
 @query(
     "replace_column",
-    "SELECT client_id, CAST(year(CAST(data_nascimento AS DATE)) AS BIGINT) AS data_nascimento FROM clientes",
+    "SELECT client_id, CAST(year(CAST(data_nascimento AS DATE)) AS BIGINT) AS data_nascimento"
+    " FROM clientes",
 )
 def replace_column(spark, sf_dir):
     birth = F.col("data_nascimento").try_cast("date")
