@@ -84,21 +84,32 @@ class LoadProfile:
 
 
 def measured(
-    scan: DataFrame, load_date: str, markers: Sequence[str] = ("NULL", "null")
+    scan: DataFrame, load_date: Column, markers: Sequence[str] = ("NULL", "null")
 ) -> DataFrame:
-    """The cleaned columns of a file scan, with the size of each raw row and a hash of its file.
+    """The cleaned columns of a file scan and its load date, with the size of each raw row and a
+    hash of its file.
 
-    The size is that of the row as read plus the load date. The two helper columns are for
-    ``profile_totals``; a write leaves them out.
+    The size is that of the row as read plus the load date, which replaces a column of that name.
+    The two helper columns are for ``profile_totals``; a write leaves them out.
     """
-    dated = T.StructType([*scan.schema.fields, T.StructField(LOAD_DATE, T.StringType())])
-    return scan.select("*", F.lit(load_date).alias(LOAD_DATE)).select(
-        *[c.alias(name) for name, c in cleaned_columns(scan, markers).items()],
+    source = scan.drop(LOAD_DATE)
+    dated = T.StructType([*source.schema.fields, T.StructField(LOAD_DATE, T.StringType())])
+    return scan.withColumns({
+        LOAD_DATE: load_date,
+        _SOURCE_FILE: F.xxhash64("_metadata.file_path"),
+    }).select(
+        *[c.alias(name) for name, c in cleaned_columns(source, markers).items()],
+        LOAD_DATE,
         row_chars(dated).alias(_ROW_CHARS),
-        F.xxhash64("_metadata.file_path").alias(_SOURCE_FILE),
+        _SOURCE_FILE,
     )
 
 
+def data_columns(rows: DataFrame) -> list[str]:
+    """The columns that come from the source: not the load date, not the helper columns."""
+    return [c for c in rows.columns if c != LOAD_DATE and not c.startswith("__")]
+
+
 def profile_totals(columns: Sequence[str]) -> dict[str, Column]:
     """Aggregates of a measured load: text size, files, and the nulls of each column.
 
@@ -123,8 +134,8 @@ def profile_load(
     scan: DataFrame, load_date: str, markers: Sequence[str] = ("NULL", "null")
 ) -> LoadProfile:
     """Rows, text size, files and nulls of a file scan, in one pass and without a write."""
-    columns = list(cleaned_columns(scan, markers))
+    rows = measured(scan, F.lit(load_date), markers)
+    columns = data_columns(rows)
     totals = [total.alias(name) for name, total in profile_totals(columns).items()]
-    rows = measured(scan, load_date, markers)
     row = rows.agg(F.count(F.lit(1)).alias("rows"), *totals).first()
     return load_profile(columns, row.asDict())

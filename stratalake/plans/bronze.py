@@ -6,11 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.config import BronzeLoad, Lake
 from stratalake.errors import BadInput, JobFailed
 from stratalake.operators.profile import (
     LoadProfile,
+    data_columns,
     load_profile,
     measured,
     profile_load,
@@ -22,6 +24,7 @@ from stratalake.operators.quality import (
     required_columns,
     required_not_null,
 )
+from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, table_exists, write_slices
 from stratalake.sources.stage import scan_stage, stage_path
@@ -78,8 +81,8 @@ def bronze_ingest(
                 multiline=load.multiline,
                 options=load.read_options,
             )
-        rows = measured(scan, load_date, load.null_markers)
-        columns = [c for c in rows.columns if not c.startswith("__")]
+        rows = measured(scan, F.lit(load_date), load.null_markers).drop(LOAD_DATE)
+        columns = data_columns(rows)
         required_columns(columns, load.required)
         if load.reject_empty and scan.isEmpty():
             raise BadInput(f"the load of {table.name} has no rows")

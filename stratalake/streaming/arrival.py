@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from stratalake.config import BronzeLoad, Lake, LakeTable
 from stratalake.functions.dates import load_date_of_path
-from stratalake.operators.cleaning import cleaned_columns
+from stratalake.operators.profile import data_columns, load_profile, measured, profile_totals
 from stratalake.operators.quality import fail_on_null
 from stratalake.schemas import LOAD_DATE
-from stratalake.sinks.tables import create_database, write_slices
+from stratalake.sinks.runlog import RunLog, metrics_sink
+from stratalake.sinks.tables import audit, create_database, write_slices
 from stratalake.sources.stage import STAGE_FOLDER, check_file_type
+from stratalake.sources.tables import scan_table
 
 ARRIVAL = "lote_chegada"
 """Second partition column of a table filled by arrival: the stream and its micro-batch."""
@@ -41,7 +43,7 @@ def source_schema(load: BronzeLoad) -> T.StructType:
 def read_arrivals(
     spark: SparkSession, lake: Lake, load: BronzeLoad, max_files: int | None = None
 ) -> DataFrame:
-    """Stream of the rows of new files, with the load date of the folder each came from."""
+    """Stream of the measured rows of new files, dated by the folder each came from."""
     check_file_type(load.file_type)
     reader = spark.readStream.schema(source_schema(load)).options(**load.read_options)
     if max_files:
@@ -57,9 +59,7 @@ def read_arrivals(
         )
     else:
         rows = reader.format(load.file_type).load(path)
-    dated = load_date_of_path(F.col("_metadata.file_path")).alias(LOAD_DATE)
-    cleaned = cleaned_columns(rows, load.null_markers)
-    return rows.select(*[c.alias(name) for name, c in cleaned.items()], dated)
+    return measured(rows, load_date_of_path(F.col("_metadata.file_path")), load.null_markers)
 
 
 def ingest_batch(
@@ -68,16 +68,49 @@ def ingest_batch(
     """Check one micro-batch and write it to its own partition of each load date.
 
     A batch that runs again, because its end was not recorded, has the same files and the same
-    name, so it replaces its own partitions and no row is kept twice.
+    name, so it replaces its own partitions and no row is kept twice. As in a bronze load, the
+    files are read once, by the tasks that write, and a metrics row is kept either way.
     """
+    spark = rows.sparkSession
+    columns = data_columns(rows)
     dated = F.coalesce(
         F.nullif(LOAD_DATE, F.lit("")),
         F.raise_error(f"a file of {load.table.name} is not in a folder named by its load date"),
     )
-    checked = fail_on_null(rows, load.required).withColumn(LOAD_DATE, dated)
-    return write_slices(
-        rows.sparkSession, lake, table, checked, None, within={ARRIVAL: batch}
-    )["rows"]
+    run = RunLog("bronze", table.name)
+    run.set(load_total_time=0.0)  # reading is part of the write
+    try:
+        checked = fail_on_null(rows, load.required).withColumn(LOAD_DATE, dated)
+        with run.timed("write_total_time"):
+            found = write_slices(
+                spark,
+                lake,
+                table,
+                checked,
+                None,
+                within={ARRIVAL: batch},
+                totals=profile_totals(columns),
+            )
+        if not found["rows"]:
+            return 0
+        profile = load_profile(columns, found)
+        stored = audit(scan_table(spark, lake, table).where(F.col(ARRIVAL) == batch))
+        run.set(
+            dat_carga=",".join(sorted(found["load_dates"])),
+            number_lines_loaded=profile.rows,
+            data_size_mb_formatted=profile.size_mb,
+            num_files=profile.files,
+            qtd_total_rows_insert=stored.rows,
+            num_columns_table=stored.columns,
+        )
+        run.reconcile(profile.rows, stored.rows)
+        run.finish()
+    except Exception as error:
+        run.finish(error)
+        metrics_sink(spark, lake, run)
+        raise
+    metrics_sink(spark, lake, run)
+    return profile.rows
 
 
 def arrival_ingest(

@@ -1,3 +1,4 @@
+import json
 from dataclasses import replace
 from datetime import date
 from pathlib import Path
@@ -222,6 +223,11 @@ def test_arrivals_are_read_once(spark, lake, tmp_path):
     stored = scan_table(spark, lake, arrival_table(load))
     counts = stored.groupBy(LOAD_DATE).count().collect()
     assert {r[0]: r[1] for r in counts} == {D1: 12, D2: 12}
+    runs = run_log(spark, lake).select("dat_carga", "success", "document").collect()
+    assert {r["dat_carga"] for r in runs} == {D1, D2} and all(r["success"] for r in runs)
+    loaded = [json.loads(r["document"])["metrics"] for r in runs]
+    assert sum(m["number_lines_loaded"] for m in loaded) == 24
+    assert sum(m["num_files"] for m in loaded) >= 2 and not any(m["alerta"] for m in loaded)
 
 
 def test_a_repeated_batch_replaces_itself(spark, lake, tmp_path):
@@ -254,6 +260,21 @@ def test_a_bad_arrival_stops_the_stream(spark, lake, stage, tmp_path):
         arrival_ingest(spark, lake, BRONZE_LOADS["clientes"], str(tmp_path / "checkpoint"))
 
 
+def test_a_file_outside_a_dated_folder_stops_the_stream(spark, lake, stage, tmp_path):
+    header = "id,cliente_id,produto_id,data_aquisicao,valor_aquisicao\n"
+    stage("clientesxprod", "today", header + "1,1,1,2025-01-01,1.00\n")
+    with pytest.raises(Exception, match="not in a folder named by its load date"):
+        arrival_ingest(spark, lake, BRONZE_LOADS["clientesxprod"], str(tmp_path / "checkpoint"))
+    assert run_log(spark, lake).where("success").count() == 0
+
+
+def test_a_load_date_in_the_source_is_replaced(spark, lake, stage):
+    stage("clientes", D1, f"client_id,nome,cpf,{LOAD_DATE}\n1,Ana,11,19990101\n")
+    bronze_ingest(spark, lake, BRONZE_LOADS["clientes"], D1)
+    rows = scan_table(spark, lake, config.CUSTOMERS).select("nome", LOAD_DATE)
+    assert [tuple(r) for r in rows.collect()] == [("Ana", D1)]
+
+
 def test_no_python_in_the_plans(spark, lake):
     write_slices(spark, lake, config.CUSTOMERS, bank.customers(spark), [D1])
     rows = credit_customers(
