@@ -97,7 +97,7 @@ def test_inputs_decide_the_joins(spark):
     assert not profile_inputs(Lake("", "", broadcast_chars=10), *inputs).joins.broadcast_products
 
 
-def test_products_come_before_the_customer_shuffle(spark):
+def test_rows_are_dropped_before_the_customer_shuffle(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         rows = credit_customers(*clean_inputs(spark), AS_OF, JoinPlan(broadcast_products=True))
@@ -105,8 +105,9 @@ def test_products_come_before_the_customer_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     joins = [line for line in plan.splitlines() if "Join" in line]
-    assert "SortMergeJoin" in joins[0] and "LeftOuter" in joins[0]
-    assert "BroadcastHashJoin" in joins[1] and "Inner" in joins[1]
+    assert "BroadcastHashJoin" in joins[0] and "Inner" in joins[0]
+    assert "SortMergeJoin" in joins[1] and "LeftOuter" in joins[1]
+    assert "BroadcastHashJoin" in joins[2] and "LeftSemi" in joins[2]
 
 
 def test_one_date_through_all_layers(spark, lake):
