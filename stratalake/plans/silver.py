@@ -73,9 +73,8 @@ def credit_customers(
     """Acquisitions of products with a credit limit, with the attributes of their customer.
 
     An acquisition of an unknown product is dropped, one of an unknown customer stays with null
-    attributes and the top income class. Products without a limit drop out first, so fewer rows
-    are shuffled to meet the customers. Broadcast products add their names and limits after that
-    shuffle and not before it, which keeps the shuffled rows short.
+    attributes and the top income class. Products come first: that join drops rows, so fewer are
+    shuffled to meet the customers.
     """
     plan = plan or JoinPlan()
     sold = acquisitions.select(
@@ -83,22 +82,21 @@ def credit_customers(
         "produto_id",
         F.col("valor_aquisicao").alias("valor_prod_contratado"),
     )
-    offered = credit_products(products)
-    attributes = customer_attributes(customers, as_of)
-    if plan.broadcast_products:
-        keys = F.broadcast(offered.select("produto_id"))
-        joined = lookup_join(
-            sold.join(keys, "produto_id", "left_semi"),
-            attributes,
-            "client_id",
-            hot=plan.hot_customers,
-        )
-        joined = lookup_join(joined, offered, "produto_id", "inner", broadcast_lookup=True)
-    else:
-        joined = lookup_join(sold, offered, "produto_id", "inner", hot=plan.hot_products)
-        joined = lookup_join(
-            joined.drop("produto_id"), attributes, "client_id", hot=plan.hot_customers
-        )
+    with_product = lookup_join(
+        sold,
+        credit_products(products),
+        "produto_id",
+        "inner",
+        hot=plan.hot_products,
+        broadcast_lookup=plan.broadcast_products,
+    )
+    joined = lookup_join(
+        with_product.drop("produto_id"),
+        customer_attributes(customers, as_of),
+        "client_id",
+        "left",
+        hot=plan.hot_customers,
+    )
     known_class = F.coalesce(F.col("classe_renda"), F.lit(TOP_INCOME_CLASS))
     return joined.withColumn("classe_renda", known_class).select(
         *[name for name, _ in SILVER_COLUMNS]
