@@ -19,6 +19,9 @@ TOP_INCOME_CLASS = "Classe A"
 # Fixed value: mean length of a year in days.
 DAYS_PER_YEAR = 365.25
 
+HASH_CHARS = 64
+"""Length of a hashed document number."""
+
 _WHOLE_AND_FRACTION = r"^\s*(?<sign>[+-]?)(?<digits>[0-9]*)\.[0-9]*\s*$"
 
 

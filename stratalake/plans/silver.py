@@ -13,6 +13,7 @@ from stratalake import config
 from stratalake.config import Lake, load_day
 from stratalake.errors import JobFailed
 from stratalake.functions.customer import (
+    HASH_CHARS,
     TOP_INCOME_CLASS,
     age_years,
     hash_document,
@@ -37,6 +38,7 @@ class JoinPlan:
     """How the lookups are joined, decided from a profile of the inputs."""
 
     broadcast_products: bool = False
+    broadcast_customers: bool = False
     hot_customers: list[HotKey] = field(default_factory=list)
     hot_products: list[HotKey] = field(default_factory=list)
 
@@ -96,6 +98,7 @@ def credit_customers(
         "client_id",
         "left",
         hot=plan.hot_customers,
+        broadcast_lookup=plan.broadcast_customers,
     )
     known_class = F.coalesce(F.col("classe_renda"), F.lit(TOP_INCOME_CLASS))
     return joined.withColumn("classe_renda", known_class).select(
@@ -142,10 +145,13 @@ def profile_inputs(
     ]
     rows = {row["input"]: row for row in reduce(DataFrame.unionByName, parts).collect()}
     facts = rows["acquisitions"]
+    # A customer is joined with the hash of the document added.
+    customer_chars = rows["customers"]["chars"] + HASH_CHARS * rows["customers"]["n"]
     return InputProfile(
         sum(row["chars"] for row in rows.values()),
         JoinPlan(
             broadcast_products=rows["products"]["chars"] <= lake.broadcast_chars,
+            broadcast_customers=customer_chars <= lake.broadcast_chars,
             hot_customers=hot_keys(facts["customers"], lake.rows_per_task),
             hot_products=hot_keys(facts["products"], lake.rows_per_task),
         ),

@@ -70,6 +70,7 @@ def clean_inputs(spark):
     [
         JoinPlan(),
         JoinPlan(broadcast_products=True),
+        JoinPlan(broadcast_products=True, broadcast_customers=True),
         JoinPlan(hot_customers=[HotKey("1", 3), HotKey(None, 2)], hot_products=[HotKey("4", 4)]),
     ],
 )
@@ -94,7 +95,11 @@ def test_inputs_decide_the_joins(spark):
     assert {h.value for h in small.joins.hot_products} == {"4"}
     assert small.joins.hot_customers == []
     assert small.chars == sum(len(str(r)) for df in inputs for r in df.collect())
-    assert not profile_inputs(Lake("", "", broadcast_chars=10), *inputs).joins.broadcast_products
+    assert small.joins.broadcast_customers
+    sizes = [sum(len(str(r)) for r in df.collect()) for df in inputs]
+    large = profile_inputs(Lake("", "", broadcast_chars=sizes[1]), *inputs).joins
+    assert not large.broadcast_customers and not large.broadcast_products
+    assert sizes[2] > sizes[1]
 
 
 def test_products_come_before_the_customer_shuffle(spark):
