@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratalake.llm import mixing, sharding  # noqa: F401
+from stratalake.llm import jaccard, mixing, sharding, suffix_dedup  # noqa: F401
 from stratalake.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
