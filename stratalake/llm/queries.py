@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratalake.llm import jaccard, mixing, neighbours, sharding, suffix_dedup, warc  # noqa: F401
+from stratalake.llm import jaccard, language, mixing, neighbours, sharding, suffix_dedup, warc  # noqa: F401
 from stratalake.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
