@@ -227,6 +227,14 @@ def contaminated(
     return found
 
 
+def without_items(docs: DataFrame, items: DataFrame, words_per_shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The documents that hold no benchmark item, as :func:`contaminated` finds them."""
+    for part in benchmark_passes(items, "item_id", "text"):
+        hits = hits_column(Benchmark(part, words_per_shingle), threshold)
+        docs = docs.where(F.size(hits(F.col("text"))) == 0)
+    return docs
+
+
 @query("op6_simhash_decontamination")
 def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

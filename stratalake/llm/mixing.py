@@ -84,6 +84,38 @@ def mix_sources(
     together. An empty table gives no rows; only the named columns are read. Returns ``doc_id``,
     ``size``, ``source``, ``source_size``, ``target``, ``copies`` and ``taken`` for every row.
     """
+    units = decided_copies(docs, weights, total_share, max_repeat, seed, id_col, text_col, source_col)
+    return (
+        units.withColumn("taken", F.col("size") * F.col("copies"))
+        .withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+        .select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
+    )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The documents, each row as often as :func:`mix_sources` takes it, with their own columns."""
+    units = decided_copies(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
+    units = units.where("copies > 0").select(*(F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "size", "source", "copies")))
+    same = (
+        F.col(id_col).cast("long").eqNullSafe(F.col("_mix_doc_id"))
+        & F.col(source_col).eqNullSafe(F.col("_mix_source"))
+        & (word_count(F.col(text_col)) == F.col("_mix_size"))
+    )
+    repeated = docs.join(units, same).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
+    return repeated.select(*docs.columns)
+
+
+def decided_copies(
+    docs: DataFrame,
+    weights: tuple[int, ...] = (1, 2, 3),
+    total_share: float = 1.0,
+    max_repeat: int = 3,
+    seed: int = 8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The copies of each distinct id, size and source, with the number of its ``rows``."""
     read = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         word_count(F.col(text_col)).alias("size"),
@@ -113,9 +145,7 @@ def mix_sources(
     return (
         settled.select(*columns).unionByName(decided.select(*columns))
         .withColumn("copies", F.col("whole") + F.col("extra"))
-        .withColumn("taken", F.col("size") * F.col("copies"))
-        .withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-        .select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
+        .select("doc_id", "size", "source", "rows", "source_size", "target", "copies")
     )
 
 

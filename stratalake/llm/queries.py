@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratalake.llm import decontamination, jaccard, language, mixing, neighbours, sharding, suffix_dedup, toxicity, warc  # noqa: F401
+from stratalake.llm import decontamination, jaccard, language, licenses, mixing, neighbours, sharding, suffix_dedup, toxicity, warc  # noqa: F401
 from stratalake.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
