@@ -163,7 +163,8 @@ def nearest(
 
     Vectors that are null, empty, zero, or hold a null or non-finite component take no part, and neither
     do those of another length than most of the sample. Ties go to the smaller id. Rows of one id are
-    several candidates, but no candidate of their own query; rows without an id take no part. With no
+    several candidates, but no candidate of their own query, which is asked once, with the least of their
+    vectors; rows without an id take no part. With no
     queries or no candidates there are no rows. Returns ``query_id``, ``rank`` (from 1), ``vec_id``
     and ``score``.
     """
@@ -204,7 +205,9 @@ def nearest(
 
     routed = stored(rows.withColumn("parts", likeliest("vector")), "routed")
     sizes = routed.groupBy(F.col("parts")[0].alias("part")).agg(F.count("*").alias("rows"))
-    asked = routed.where("is_query").select(F.explode("parts").alias("part")).groupBy("part").agg(F.count("*").alias("asks"))
+    once = F.min(F.struct("vector", "parts", "luck")).alias("q")
+    asking = routed.where("is_query").groupBy("vec_id").agg(once).select("vec_id", "q.*")
+    asked = asking.select(F.explode("parts").alias("part")).groupBy("part").agg(F.count("*").alias("asks"))
     # One row for each partition, 64 at most.
     plan = F.broadcast(
         sizes.join(asked, "part").select(
@@ -221,7 +224,7 @@ def nearest(
         .select(*block, "vec_id", "vector")
     )
     queries = (
-        routed.where("is_query").withColumn("part", F.explode("parts")).join(plan, "part")
+        asking.withColumn("part", F.explode("parts")).join(plan, "part")
         .withColumn("query_block", F.pmod(F.xxhash64("vec_id", F.lit(9)), F.col("query_blocks")).cast("int"))
         .withColumn("row_block", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)))
         .select(*(F.col(c).alias(f"asked_{c}") for c in (*block, "vec_id", "vector")))
