@@ -1,6 +1,6 @@
 """Documents packed to blocks of text, and counts of keys exchanged between the blocks.
 
-A pack is one row: the ids, the byte lengths and the compressed texts of some megabytes of documents.
+A pack is one row: the ids, the byte lengths and the compressed texts of a megabyte of documents.
 Packs are written once, so they stay the same when a task runs again, and numpy works on whole packs.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import stored
 
 #: Bytes of text after which a pack is closed; a longer document is a pack of its own.
-PACK_BYTES = 4 << 20
+PACK_BYTES = 1 << 20
 #: Keys that one task of an exchange should hold.
 BUCKET_KEYS = 1 << 20
 #: Stands for a null id, after all others.
@@ -108,7 +108,6 @@ def shared_keys(packs: DataFrame, keys_of: KeysOf, bytes_per_key: float) -> Data
     buckets = max(8, int(total / bytes_per_key / BUCKET_KEYS) + 1)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
         for row in rows_of(batches):
             short, counts = np.unique(shorten(keys_of(unpacked(row)), buckets), return_counts=True)
             edges = np.searchsorted(short, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
@@ -118,37 +117,51 @@ def shared_keys(packs: DataFrame, keys_of: KeysOf, bytes_per_key: float) -> Data
                 [
                     pa.array(full, pa.int64()),
                     pa.array([row["pack"]] * len(full), pa.int64()),
-                    pa.array([short[a:z].astype(np.uint32).tobytes() for a, z in cuts], pa.binary()),
-                    pa.array([squeeze(counts[a:z].astype(np.uint32).tobytes()) for a, z in cuts], pa.binary()),
+                    pa.array([squeezed(short[a:z].astype(np.uint32), ascending=True) for a, z in cuts], pa.binary()),
+                    pa.array([squeezed(counts[a:z].astype(np.uint32)) for a, z in cuts], pa.binary()),
                 ],
                 names=["bucket", "pack", "keys", "counts"],
             )
 
     def answer(group: pa.Table) -> pa.Table:
-        expand = zstandard.ZstdDecompressor().decompress
-        sent = [np.frombuffer(k, np.uint32) for k in group.column("keys").to_pylist()]
-        counts = [np.frombuffer(expand(c), np.uint32) for c in group.column("counts").to_pylist()]
+        sent = [expanded(k, ascending=True) for k in group.column("keys").to_pylist()]
+        counts = [expanded(c) for c in group.column("counts").to_pylist()]
         keys, place = np.unique(np.concatenate(sent), return_inverse=True)
         sums = np.bincount(place, np.concatenate(counts), len(keys)).astype(np.int64)
         out_keys, out_counts, at = [], [], 0
         for k in sent:
             mine = sums[place[at : at + len(k)]]
             at += len(k)
-            out_keys.append(k[mine > 1].tobytes())
-            out_counts.append(np.minimum(mine[mine > 1], 0xFFFFFFFF).astype(np.uint32).tobytes())
+            known = mine > 1
+            out_keys.append(squeezed(k[known], ascending=True) if known.any() else None)
+            out_counts.append(squeezed(np.minimum(mine[known], 0xFFFFFFFF).astype(np.uint32)) if known.any() else None)
         return pa.table(
             [group.column("bucket"), group.column("pack"), pa.array(out_keys, pa.binary()), pa.array(out_counts, pa.binary())],
             names=["bucket", "pack", "keys", "counts"],
         )
 
     answered = packs.mapInArrow(send, _KEYS).groupBy("bucket").applyInArrow(answer, _KEYS)
-    found = answered.where("octet_length(keys) > 0").groupBy("pack").agg(
+    found = answered.where("keys IS NOT NULL").groupBy("pack").agg(
         F.collect_list(F.struct("bucket", "keys", "counts")).alias("found"),
         F.lit(buckets).alias("buckets"),
     )
     return stored(found, "shared-keys")
 
 
+def squeezed(numbers: np.ndarray, ascending: bool = False) -> bytes:
+    """32-bit numbers, their steps if they ascend, compressed byte plane by byte plane."""
+    if ascending:
+        numbers = np.diff(numbers, prepend=np.uint32(0))
+    planes = np.ascontiguousarray(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def expanded(data: bytes, ascending: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    numbers = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+    return np.cumsum(numbers, dtype=np.uint32) if ascending else numbers
+
+
 def shorten(keys: np.ndarray, buckets: int) -> np.ndarray:
     """A key as sent: its bucket above 32 of its other bits."""
     n = np.uint64(buckets)
@@ -161,9 +174,9 @@ class Counts:
     def __init__(self, found: list[dict] | None, buckets: int | None) -> None:
         self.buckets = buckets or 1
         parts = sorted(found or [], key=lambda f: f["bucket"])
-        keys = [np.frombuffer(f["keys"], np.uint32).astype(np.uint64) | (np.uint64(f["bucket"]) << np.uint64(32)) for f in parts]
+        keys = [expanded(f["keys"], ascending=True).astype(np.uint64) | (np.uint64(f["bucket"]) << np.uint64(32)) for f in parts]
         self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        counts = [np.frombuffer(f["counts"], np.uint32) for f in parts]
+        counts = [expanded(f["counts"]) for f in parts]
         self.counts = np.concatenate(counts).astype(np.int64) if counts else np.zeros(0, np.int64)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
