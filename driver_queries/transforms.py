@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from driver_queries import views
@@ -65,13 +67,17 @@ SQL_TOTALS = (
 )
 
 
-def silver_rows(spark, sf_dir):
-    """The silver rows of the whole export, joined as a profile of the inputs decides."""
+#: Plans every lookup as too large to broadcast, and most keys as hot.
+_SHUFFLED = replace(_LAKE, broadcast_chars=0, rows_per_task=20)
+
+
+def silver_rows(spark, sf_dir, lake=_LAKE):
+    """The silver rows of the whole export, joined as the sizes of the lookups decide."""
     bought = views.acquisitions(spark, sf_dir)
-    acquisitions = views.stored(bought.select("cliente_id", "produto_id", "valor_aquisicao"))
+    acquisitions = bought.select("cliente_id", "produto_id", "valor_aquisicao")
     customers = views.clean_customers(spark, sf_dir).select(CUSTOMER_INPUT)
     products = views.clean_products(spark, sf_dir).select(PRODUCT_INPUT)
-    found = profile_inputs(_LAKE, acquisitions, customers, products)
+    found = profile_inputs(lake, acquisitions, customers, products)
     return credit_customers(acquisitions, customers, products, AS_OF, found.joins)
 
 
@@ -183,12 +189,21 @@ def null_marker(spark, sf_dir):
     " FROM clientesxprod v LEFT JOIN clientes_limpos c ON v.cliente_id = c.client_id",
 )
 def left_join_customer(spark, sf_dir):
-    """Shuffled by customer, with the customers of many rows found first and salted."""
-    acquisitions = views.acquisitions(spark, sf_dir).withColumnRenamed("cliente_id", "client_id")
+    """Customers are broadcast once their size has been checked, else shuffled and salted."""
+    facts = _client_sales(views.acquisitions(spark, sf_dir))
     customers = views.clean_customers(spark, sf_dir).select("client_id", "cpf", "estado", "renda")
-    facts = views.stored(acquisitions.select("id", "client_id"))
-    hot = find_hot_keys(facts, "client_id", _LAKE.rows_per_task)
-    return lookup_join(facts, customers, "client_id", hot=hot)
+    return _sized_join(facts, customers, "client_id", _LAKE)
+
+
+def _client_sales(acquisitions):
+    return acquisitions.select("id", F.col("cliente_id").alias("client_id"))
+
+
+def _sized_join(facts, lookup, key, lake):
+    """The lookup's size first; the facts' keys are only counted where it has to be shuffled."""
+    small = data_size(lookup).first()["chars"] <= lake.broadcast_chars
+    hot = None if small else find_hot_keys(facts.select(key), key, lake.rows_per_task)
+    return lookup_join(facts, lookup, key, hot=hot, broadcast_lookup=small)
 
 
 SQL_LEFT_PRODUCT = (
@@ -200,12 +215,46 @@ SQL_LEFT_PRODUCT = (
 def _left_join_product(spark, sf_dir):
     products = views.clean_products(spark, sf_dir).select(PRODUCT_INPUT)
     facts = views.acquisitions(spark, sf_dir).select("id", "produto_id")
-    small = data_size(products).first()["chars"] <= _LAKE.broadcast_chars
-    hot = []
-    if not small:
-        facts = views.stored(facts)
-        hot = find_hot_keys(facts, "produto_id", _LAKE.rows_per_task)
-    return lookup_join(facts, products, "produto_id", hot=hot, broadcast_lookup=small)
+    return _sized_join(facts, products, "produto_id", _LAKE)
+
+
+# A third of the acquisitions go to one customer and one product, a fifth to none.
+_SKEWED = (
+    "SELECT id, CASE WHEN hash_of % 3 = 0 THEN '1' WHEN hash_of % 5 = 0 THEN NULL ELSE cliente_id END"
+    " AS cliente_id, CASE WHEN hash_of % 3 = 1 THEN '1' WHEN hash_of % 5 = 0 THEN NULL ELSE produto_id"
+    " END AS produto_id, valor_aquisicao FROM (SELECT *, CAST(split_part(id, '-', 1) AS BIGINT)"
+    " AS hash_of FROM {sales}) AS numbered"
+)
+
+
+def _skewed_sales(spark, sf_dir):
+    return spark.sql(_SKEWED, sales=views.acquisitions(spark, sf_dir))
+
+
+@query(
+    "left_join_customer_salted",
+    "SELECT v.id, v.cliente_id AS client_id, c.cpf, c.estado, c.renda"
+    f" FROM ({_SKEWED.format(sales='clientesxprod')}) v"
+    " LEFT JOIN clientes_limpos c ON v.cliente_id = c.client_id",
+)
+def left_join_customer_salted(spark, sf_dir):
+    """The same join shuffled, over one heavy key and many rows without a key."""
+    facts = _client_sales(_skewed_sales(spark, sf_dir))
+    customers = views.clean_customers(spark, sf_dir).select("client_id", "cpf", "estado", "renda")
+    return _sized_join(facts, customers, "client_id", _SHUFFLED)
+
+
+@query(
+    "left_join_product_salted",
+    "SELECT v.id, v.produto_id, p.nome, p.categoria, p.limite_credito"
+    f" FROM ({_SKEWED.format(sales='clientesxprod')}) v"
+    " LEFT JOIN produtos_limpos p ON v.produto_id = p.produto_id",
+)
+def left_join_product_salted(spark, sf_dir):
+    """Products above the broadcast limit: shuffled, with the heavy keys salted."""
+    products = views.clean_products(spark, sf_dir).select(PRODUCT_INPUT)
+    facts = _skewed_sales(spark, sf_dir).select("id", "produto_id")
+    return _sized_join(facts, products, "produto_id", _SHUFFLED)
 
 
 @query("broadcast_left_join_product", SQL_LEFT_PRODUCT)
@@ -230,6 +279,15 @@ def totals(spark, sf_dir):
     return product_totals(silver_rows(spark, sf_dir))
 
 
+@query(
+    "product_totals_salted",
+    f"SELECT prod_contratado, {SQL_TOTALS} FROM ({SQL_SILVER}) GROUP BY prod_contratado",
+)
+def totals_salted(spark, sf_dir):
+    """The same totals with both lookups shuffled."""
+    return product_totals(silver_rows(spark, sf_dir, _SHUFFLED))
+
+
 @query("row_count", "SELECT count(*) AS \"rows\" FROM clientesxprod")
 def count_rows(spark, sf_dir):
     return row_count(views.acquisitions(spark, sf_dir))

@@ -74,7 +74,11 @@ class LakeTable:
 
 @dataclass(frozen=True)
 class BronzeLoad:
-    """How the dated files of one source become a bronze table."""
+    """How the dated files of one source become a bronze table.
+
+    ``refuse_ragged`` fails a load with records of more or fewer values than their header; without it
+    they are counted and logged.
+    """
 
     table: LakeTable
     required: tuple[str, ...]
@@ -84,6 +88,7 @@ class BronzeLoad:
     null_markers: tuple[str, ...] = ("NULL", "null")
     multiline: bool = False
     reject_empty: bool = False
+    refuse_ragged: bool = True
     read_options: dict[str, str] = field(default_factory=dict)
 
 

@@ -22,6 +22,8 @@ DAYS_PER_YEAR = 365.25
 HASH_CHARS = 64
 """Length of a hashed document number."""
 
+WHOLE = "decimal(38,0)"
+
 _WHOLE_AND_FRACTION = r"^\s*(?<sign>[+-]?)(?<digits>[0-9]*)\.[0-9]*\s*$"
 
 
@@ -29,10 +31,11 @@ def whole_number(text: Column) -> Column:
     """Text as an integer, fraction cut off; null when it is no plain decimal number.
 
     Most values are whole, so the expression that drops a fraction only runs after the plain
-    cast has failed.
+    cast has failed, and the one for numbers beyond 64 bits after both.
     """
     without_fraction = F.regexp_replace(text, _WHOLE_AND_FRACTION, "${sign}0${digits}")
-    return F.coalesce(text.try_cast("int"), without_fraction.try_cast("int"))
+    wide = F.when(without_fraction.rlike(r"^\s*[+-]?[0-9]+\s*$"), without_fraction.try_cast(WHOLE))
+    return F.coalesce(text.try_cast("long"), without_fraction.try_cast("long"), wide)
 
 
 def income_class(income: Column, unparsed: str | None = TOP_INCOME_CLASS) -> Column:

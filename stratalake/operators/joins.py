@@ -2,90 +2,51 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from math import ceil
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1_000
-"""Most hot keys kept apart; the bound of the table of hot keys, which is broadcast."""
+from stratalake.workspace import new_folder
 
-_TRACKED_KEYS = 10_000
 _SALT = "__salt"
 _SALTS = "__salts"
+_HOT = "__hot"
 
 
-@dataclass(frozen=True)
-class HotKey:
-    """A key with more rows than one task should take, and the tasks to spread it over.
-
-    The value None stands for the rows without a key.
-    """
-
-    value: str | None
-    salts: int
-
-
-def frequent_keys(key: Column) -> Column:
-    """Aggregate: the most frequent values of a text key with their estimated counts.
+def find_hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """The keys with more rows than one task should take, and the tasks to spread each over.
 
-    A sketch of fixed size, so one pass with nothing to shuffle but the sketches. It finds every
-    key above a few ten-thousandths of the rows. Keys only decide how rows are spread, never the
-    result, so an estimate is enough.
+    Counted exactly, with counts combined in each task before the shuffle; a null key is a key. There are
+    at most rows/``rows_per_task`` of them. They are stored, so that both sides of a join read the same
+    small table, which Spark broadcasts or shuffles by its size.
     """
-    return F.call_function(
-        "approx_top_k", key, F.lit(MAX_HOT_KEYS), F.lit(_TRACKED_KEYS)
+    counts = df.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("rows"))
+    hot = counts.where(F.col("rows") > rows_per_task).select(
+        _HOT, F.ceil(F.col("rows") / rows_per_task).cast("int").alias(_SALTS)
     )
+    path = new_folder(df.sparkSession, "hot-keys")
+    hot.coalesce(1).write.parquet(path)
+    return df.sparkSession.read.schema(hot.schema).parquet(path)
 
 
-def hot_keys(frequent: list | None, rows_per_task: int) -> list[HotKey]:
-    """Keys of ``frequent_keys`` that need more than one task."""
-    return [
-        HotKey(entry["item"], ceil(entry["count"] / rows_per_task))
-        for entry in frequent or []
-        if entry["count"] > rows_per_task
-    ]
-
-
-def find_hot_keys(df: DataFrame, key: str, rows_per_task: int) -> list[HotKey]:
-    """Hot keys of a column. One pass over that column alone."""
-    row = df.agg(frequent_keys(F.col(key).cast("string")).alias("frequent")).first()
-    return hot_keys(row["frequent"], rows_per_task)
-
-
-def _hot_table(df: DataFrame, key: str, hot: list[HotKey]) -> DataFrame:
-    """The hot keys as a table; at most ``MAX_HOT_KEYS`` rows, so it may be broadcast."""
-    known = [h for h in hot if h.value is not None]
-    table = pa.table({
-        key: pa.array([h.value for h in known], pa.string()),
-        _SALTS: pa.array([h.salts for h in known], pa.int32()),
-    })
-    rows = df.sparkSession.createDataFrame(table)
-    return F.broadcast(rows.select(F.col(key).cast(df.schema[key].dataType), _SALTS))
-
-
-def salted(facts: DataFrame, lookup: DataFrame, key: str, hot: list[HotKey]):
+def salted(facts: DataFrame, lookup: DataFrame, key: str, hot: DataFrame):
     """Both sides with a salt column.
 
     Each fact row of a hot key gets one of the salts of its key, from a hash of the row and of the
     partition it is in. Both are the same when a lost task runs again, and equal copies of a row
     still spread. The lookup rows of a hot key are repeated once for each salt.
     """
-    for_null = max((h.salts for h in hot if h.value is None), default=1)
-    salts = F.when(F.col(key).isNull(), for_null).otherwise(F.coalesce(F.col(_SALTS), F.lit(1)))
+    salts = F.coalesce(F.col(_SALTS), F.lit(1))
     row_hash = F.xxhash64(*facts.columns, F.spark_partition_id())
     facts = (
-        facts.join(_hot_table(facts, key, hot), key, "left")
-        .withColumn(_SALT, F.pmod(row_hash, salts).cast("int"))
-        .drop(_SALTS)
+        facts.withColumn(_SALT, row_hash)
+        .join(hot, F.col(key).eqNullSafe(F.col(_HOT)), "left")
+        .withColumn(_SALT, F.pmod(F.col(_SALT), salts).cast("int"))
+        .drop(_SALTS, _HOT)
     )
-    last = F.coalesce(F.col(_SALTS), F.lit(1)) - 1
     lookup = (
-        lookup.join(_hot_table(lookup, key, hot), key, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), last)))
-        .drop(_SALTS)
+        lookup.join(hot, F.col(key) == F.col(_HOT), "left")
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
+        .drop(_SALTS, _HOT)
     )
     return facts, lookup
 
@@ -96,7 +57,7 @@ def lookup_join(
     key: str,
     how: str = "left",
     *,
-    hot: list[HotKey] | None = None,
+    hot: DataFrame | None = None,
     broadcast_lookup: bool = False,
 ) -> DataFrame:
     """Join facts to a lookup table on one key.
@@ -109,7 +70,7 @@ def lookup_join(
         raise ValueError(f"a lookup join is left or inner, not {how!r}")
     if broadcast_lookup:
         return facts.join(F.broadcast(lookup), key, how)
-    if not hot:
+    if hot is None:
         return facts.join(lookup, key, how)
     columns = facts.columns
     left, right = salted(facts, lookup, key, hot)

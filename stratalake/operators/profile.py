@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from stratalake.functions.text import sql_name
 from stratalake.operators.cleaning import cleaned_columns
 from stratalake.schemas import LOAD_DATE
+from stratalake.sources.stage import RAGGED
 
 MEGABYTE = 1024 * 1024
 
@@ -39,6 +40,20 @@ def megabytes(chars: int) -> float:
     return round(chars / MEGABYTE, 2)
 
 
+def sampled_row_chars(df: DataFrame, rows: int = 1000) -> float:
+    """Mean text length of the first rows: enough to size files, and no pass over the input."""
+    found = df.limit(rows).agg(F.avg(row_chars(df.schema)).alias("mean")).first()
+    return found["mean"] or 1.0
+
+
+def unparsed_counts(parsers: Mapping[str, Callable[[Column], Column]]) -> dict[str, Column]:
+    """Aggregates: the values of each column that are there but that its parser cannot read."""
+    return {
+        f"unparsed_{name}": F.count_if(F.col(name).isNotNull() & parse(F.col(name)).isNull())
+        for name, parse in parsers.items()
+    }
+
+
 def data_size(df: DataFrame) -> DataFrame:
     """One row: ``rows``, ``chars`` and ``size_mb`` of the rows written out as text."""
     totals = df.select(row_chars(df.schema).alias("n")).agg(
@@ -72,6 +87,7 @@ class LoadProfile:
     chars: int
     files: int
     nulls: dict[str, int] = field(default_factory=dict)
+    ragged: int = 0
 
     @property
     def size_mb(self) -> float:
@@ -87,12 +103,13 @@ def measured(
     scan: DataFrame, load_date: Column, markers: Sequence[str] = ("NULL", "null")
 ) -> DataFrame:
     """The cleaned columns of a file scan and its load date, with the size of each raw row and a
-    hash of its file.
+    hash of its file, and whether it is a record that does not fit its header.
 
     The size is that of the row as read plus the load date, which replaces a column of that name.
-    The two helper columns are for ``profile_totals``; a write leaves them out.
+    The helper columns are for ``profile_totals``; a write leaves them out.
     """
-    source = scan.drop(LOAD_DATE)
+    source = scan.drop(LOAD_DATE, RAGGED)
+    misfit = F.col(RAGGED).isNotNull() if RAGGED in scan.columns else F.lit(False)
     dated = T.StructType([*source.schema.fields, T.StructField(LOAD_DATE, T.StringType())])
     return scan.withColumns({
         LOAD_DATE: load_date,
@@ -102,6 +119,7 @@ def measured(
         LOAD_DATE,
         row_chars(dated).alias(_ROW_CHARS),
         _SOURCE_FILE,
+        misfit.alias(RAGGED),
     )
 
 
@@ -110,12 +128,20 @@ def data_columns(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c != LOAD_DATE and not c.startswith("__")]
 
 
-def profile_totals(columns: Sequence[str]) -> dict[str, Column]:
-    """Aggregates of a measured load: text size, files, and the nulls of each column.
+RAGGED_RECORD = "a record has more or fewer values than its header"
+
+
+def profile_totals(columns: Sequence[str], refuse_ragged: bool = False) -> dict[str, Column]:
+    """Aggregates of a measured load: text size, files, records that do not fit, nulls of each column.
 
     The files are a set of hashes, eight bytes for each file the driver has listed for the scan.
+    ``refuse_ragged`` fails the job, before a write commits anything, on a record that does not fit.
     """
+    misfit = F.col(RAGGED)
+    if refuse_ragged:
+        misfit = F.when(misfit, F.raise_error(RAGGED_RECORD).cast("boolean")).otherwise(False)
     totals = {
+        "ragged": F.count_if(misfit),
         "chars": F.coalesce(F.sum(_ROW_CHARS), F.lit(0)),
         "files": F.size(F.collect_set(_SOURCE_FILE)),
     }
@@ -127,7 +153,7 @@ def profile_totals(columns: Sequence[str]) -> dict[str, Column]:
 def load_profile(columns: Sequence[str], totals: Mapping[str, int]) -> LoadProfile:
     """The profile from the totals of a load."""
     nulls = {name: totals[f"nulls_{i}"] for i, name in enumerate(columns)}
-    return LoadProfile(totals["rows"], totals["chars"], totals["files"], nulls)
+    return LoadProfile(totals["rows"], totals["chars"], totals["files"], nulls, totals["ragged"])
 
 
 def profile_load(

@@ -25,6 +25,7 @@ from stratalake.operators.quality import (
     required_not_null,
 )
 from stratalake.schemas import LOAD_DATE
+from stratalake.sinks.ledger import compare, remember
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, table_exists, write_slices
 from stratalake.sources.stage import scan_stage, stage_path
@@ -66,31 +67,52 @@ def bronze_ingest(
     """Load the stage folder of one table and date.
 
     The input is read once: what the metrics need is counted by the tasks that write. A null in a
-    required column fails the write before anything is committed; only then is the input read
-    again, to say how many there are. The metrics row is written whether the load succeeds or not.
+    required column, or a record that does not fit its header, fails the write before anything is
+    committed; only then is the input read again, to count the nulls. The metrics row is written whether
+    the load succeeds or not.
+
+    A slice is replaced as long as all files it was loaded from are still staged. Once some have been
+    purged, only files it has not been loaded from are read, and added; where there are none, the slice
+    stays as it is. A load without rows never replaces a slice that has some.
     """
     table = load.table
+    mode = mode or load.mode
     run = RunLog("bronze", table.name, load_date)
     try:
+        folder = stage_path(lake.stage_root, table.name, load_date)
+        existed = table_exists(spark, lake, table)
+        run.log(f"table {table.full_name(lake)} {'exists' if existed else 'is new'}")
+        arrived = compare(spark, lake, table, load_date, folder) if mode == "replace_slice" else None
+        late = bool(arrived and arrived.gone)
         with run.timed("load_total_time"):
             scan = scan_stage(
                 spark,
-                stage_path(lake.stage_root, table.name, load_date),
+                arrived.new if late and arrived.new else folder,
                 load.file_type,
                 sep=load.sep,
                 multiline=load.multiline,
                 options=load.read_options,
+                ragged=True,
             )
         rows = measured(scan, F.lit(load_date), load.null_markers).drop(LOAD_DATE)
         columns = data_columns(rows)
         required_columns(columns, load.required)
-        if load.reject_empty and scan.isEmpty():
-            raise BadInput(f"the load of {table.name} has no rows")
-        existed = table_exists(spark, lake, table)
-        run.log(f"table {table.full_name(lake)} {'exists' if existed else 'is new'}")
+        kept = 0
+        if late:
+            kept = audit_slice(spark, lake, table, load_date).rows
+            run.log(f"{arrived.gone} loaded files are gone; {len(arrived.new)} new ones are added")
+            if not arrived.new:
+                rows = rows.limit(0)
+        elif scan.isEmpty():
+            if load.reject_empty:
+                raise BadInput(f"the load of {table.name} has no rows")
+            held = audit_slice(spark, lake, table, load_date).rows if existed else 0
+            if mode != "append" and held:
+                raise BadInput(f"a load without rows would remove the {held} rows of the slice")
         with run.timed("write_total_time"):
             totals = _write(
-                spark, lake, load, rows, load_date, mode or load.mode, profile_totals(columns)
+                spark, lake, load, rows, load_date, "append" if late else mode,
+                profile_totals(columns, load.refuse_ragged),
             )
         if totals is None:
             profile = profile_load(scan, load_date, load.null_markers)
@@ -103,9 +125,14 @@ def bronze_ingest(
         )
         for name, nulls in required_not_null(profile.nulls, load.required).items():
             run.log(f"column {name} has {nulls} nulls")
+        if profile.ragged:
+            run.log(f"{profile.ragged} records have more or fewer values than their header", "WARN")
+        if not late or arrived.new:
+            files = scan.inputFiles()
+            remember(spark, lake, table, load_date, folder, files, more=late or mode == "append")
         audit = audit_slice(spark, lake, table, load_date)
-        run.set(qtd_total_rows_insert=audit.rows, num_columns_table=audit.columns)
-        run.reconcile(profile.rows, audit.rows)
+        run.set(qtd_total_rows_insert=audit.rows - kept, num_columns_table=audit.columns)
+        run.reconcile(profile.rows, audit.rows - kept)
         metrics = run.finish()
     except Exception as error:
         run.finish(error)

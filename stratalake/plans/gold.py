@@ -10,12 +10,21 @@ from pyspark.sql import functions as F
 from stratalake import config
 from stratalake.config import Lake
 from stratalake.errors import JobFailed
-from stratalake.operators.profile import megabytes, row_chars
+from stratalake.functions.amounts import amount
+from stratalake.operators.profile import (
+    megabytes,
+    row_chars,
+    sampled_row_chars,
+    unparsed_counts,
+)
 from stratalake.operators.totals import product_totals
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, write_slices
 from stratalake.sources.tables import slice_scan
 
+#: Columns whose amounts are summed.
+_SUMMED = ("valor_prod_contratado", "limite_credito")
+
 
 def gold_product_totals(
     spark: SparkSession,
@@ -33,8 +42,12 @@ def gold_product_totals(
         with run.timed("load_total_time"):
             sales = slice_scan(spark, lake, source, load_date)
         # The text size of the input rides along with the sums, so the slice is read once.
+        counts = unparsed_counts(dict.fromkeys(_SUMMED, amount))
         totals = product_totals(
-            sales, extra_keys, F.sum(row_chars(sales.schema)).alias("__chars")
+            sales,
+            extra_keys,
+            F.sum(row_chars(sales.schema)).alias("__chars"),
+            *[count.alias(f"__{name}") for name, count in counts.items()],
         )
         with run.timed("write_total_time"):
             found = write_slices(
@@ -44,8 +57,12 @@ def gold_product_totals(
                 totals,
                 [load_date],
                 mode,
-                totals={"chars": F.coalesce(F.sum("__chars"), F.lit(0))},
+                totals={
+                    name: F.coalesce(F.sum(f"__{name}"), F.lit(0)) for name in ("chars", *counts)
+                },
+                rows_per_file=lake.rows_per_file(sampled_row_chars(sales)),
             )
+        run.log_unparsed(found, _SUMMED)
         written = found["rows"]
         run.set(data_size_mb_formatted=megabytes(found["chars"]))
         audit = audit_slice(spark, lake, table, load_date)

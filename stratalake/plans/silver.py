@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import config
@@ -18,9 +18,16 @@ from stratalake.functions.customer import (
     age_years,
     hash_document,
     income_class,
+    whole_number,
+)
+from stratalake.functions.amounts import amount
+from stratalake.operators.joins import find_hot_keys, lookup_join
+from stratalake.operators.profile import (
+    megabytes,
+    row_chars,
+    sampled_row_chars,
+    unparsed_counts,
 )
-from stratalake.operators.joins import HotKey, frequent_keys, hot_keys, lookup_join
-from stratalake.operators.profile import megabytes, row_chars
 from stratalake.schemas import SILVER_COLUMNS
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, write_slices
@@ -30,20 +37,26 @@ CUSTOMER_INPUT = [
     "client_id", "cpf", "rg", "data_nascimento", "est_civil", "genero", "estado", "renda",
     "tp_cliente",
 ]
+_KNOWN = "__known"
 PRODUCT_INPUT = ["produto_id", "nome", "categoria", "limite_credito"]
 
 
 @dataclass(frozen=True)
 class JoinPlan:
-    """How the lookups are joined, decided from a profile of the inputs."""
+    """How the lookups are joined, decided from their sizes and the counts of the keys."""
 
     broadcast_products: bool = False
     broadcast_customers: bool = False
-    hot_customers: list[HotKey] = field(default_factory=list)
-    hot_products: list[HotKey] = field(default_factory=list)
+    hot_customers: DataFrame | None = None
+    hot_products: DataFrame | None = None
 
 
-def customer_attributes(customers: DataFrame, as_of: date, salt: str = "") -> DataFrame:
+def customer_attributes(
+    customers: DataFrame,
+    as_of: date,
+    salt: str = "",
+    unparsed: str | None = TOP_INCOME_CLASS,
+) -> DataFrame:
     """Derived customer columns, computed once per customer and not once per acquisition."""
     return customers.select(
         "client_id",
@@ -51,7 +64,7 @@ def customer_attributes(customers: DataFrame, as_of: date, salt: str = "") -> Da
         "est_civil",
         age_years(F.col("data_nascimento"), as_of).alias("idade"),
         "tp_cliente",
-        income_class(F.col("renda")).alias("classe_renda"),
+        income_class(F.col("renda"), unparsed).alias("classe_renda"),
         "genero",
         "estado",
         "renda",
@@ -71,12 +84,16 @@ def credit_customers(
     products: DataFrame,
     as_of: date,
     plan: JoinPlan | None = None,
+    *,
+    salt: str = "",
+    unparsed: str | None = TOP_INCOME_CLASS,
 ) -> DataFrame:
     """Acquisitions of products with a credit limit, with the attributes of their customer.
 
     An acquisition of an unknown product is dropped, one of an unknown customer stays with null
     attributes and the top income class. Products come first: that join drops rows, so fewer are
-    shuffled to meet the customers.
+    shuffled to meet the customers. ``salt`` goes before each document that is hashed, ``unparsed`` is
+    the class of null or malformed incomes.
     """
     plan = plan or JoinPlan()
     sold = acquisitions.select(
@@ -94,13 +111,13 @@ def credit_customers(
     )
     joined = lookup_join(
         with_product.drop("produto_id"),
-        customer_attributes(customers, as_of),
+        customer_attributes(customers, as_of, salt, unparsed).withColumn(_KNOWN, F.lit(True)),
         "client_id",
         "left",
         hot=plan.hot_customers,
         broadcast_lookup=plan.broadcast_customers,
     )
-    known_class = F.coalesce(F.col("classe_renda"), F.lit(TOP_INCOME_CLASS))
+    known_class = F.when(F.col(_KNOWN), F.col("classe_renda")).otherwise(TOP_INCOME_CLASS)
     return joined.withColumn("classe_renda", known_class).select(
         *[name for name, _ in SILVER_COLUMNS]
     )
@@ -108,10 +125,7 @@ def credit_customers(
 
 @dataclass(frozen=True)
 class InputProfile:
-    """Text size of the silver inputs, and the join plan that follows from it.
-
-    ``row_chars`` is the mean text of one row of each input together, about a row of the result.
-    """
+    """Text size of the lookups, the join plan that follows from it, and the mean text of a row of each."""
 
     chars: int
     joins: JoinPlan
@@ -121,44 +135,44 @@ class InputProfile:
 def profile_inputs(
     lake: Lake, acquisitions: DataFrame, customers: DataFrame, products: DataFrame
 ) -> InputProfile:
-    """Sizes of the inputs and hot keys of the acquisitions, in one job of three rows."""
-    no_keys = F.lit(None).cast("array<struct<item:string,count:bigint>>")
+    """Sizes of the lookups in one job; keys of the acquisitions only where a lookup is too large to broadcast."""
 
-    def totals(df: DataFrame, name: str, customer_key=no_keys, product_key=no_keys) -> DataFrame:
+    def totals(df: DataFrame, name: str) -> DataFrame:
         return df.agg(
             F.lit(name).alias("input"),
             F.count(F.lit(1)).alias("n"),
             F.coalesce(F.sum(row_chars(df.schema)), F.lit(0)).alias("chars"),
-            customer_key.alias("customers"),
-            product_key.alias("products"),
         )
 
-    parts = [
-        totals(
-            acquisitions,
-            "acquisitions",
-            frequent_keys(F.col("cliente_id")),
-            frequent_keys(F.col("produto_id")),
-        ),
-        totals(customers, "customers"),
-        totals(products, "products"),
-    ]
+    parts = [totals(customers, "customers"), totals(products, "products")]
     rows = {row["input"]: row for row in reduce(DataFrame.unionByName, parts).collect()}
-    facts = rows["acquisitions"]
     # A customer is joined with the hash of the document added.
     customer_chars = rows["customers"]["chars"] + HASH_CHARS * rows["customers"]["n"]
+    small_customers = customer_chars <= lake.broadcast_chars
+    small_products = rows["products"]["chars"] <= lake.broadcast_chars
+
+    def hot(small: bool, key: str, name: str) -> DataFrame | None:
+        if small:
+            return None
+        keys = acquisitions.select(F.col(key).alias(name))
+        return find_hot_keys(keys, name, lake.rows_per_task)
+
     return InputProfile(
         sum(row["chars"] for row in rows.values()),
         JoinPlan(
-            broadcast_products=rows["products"]["chars"] <= lake.broadcast_chars,
-            broadcast_customers=customer_chars <= lake.broadcast_chars,
-            hot_customers=hot_keys(facts["customers"], lake.rows_per_task),
-            hot_products=hot_keys(facts["products"], lake.rows_per_task),
+            broadcast_products=small_products,
+            broadcast_customers=small_customers,
+            hot_customers=hot(small_customers, "cliente_id", "client_id"),
+            hot_products=hot(small_products, "produto_id", "produto_id"),
         ),
         sum(row["chars"] / max(row["n"], 1) for row in rows.values()),
     )
 
 
+#: Columns of the silver rows that are read as numbers, and how.
+_PARSED = {"renda": whole_number, "limite_credito": amount, "valor_prod_contratado": amount}
+
+
 def silver_credit_customers(
     spark: SparkSession,
     lake: Lake,
@@ -167,29 +181,49 @@ def silver_credit_customers(
     as_of: date | None = None,
     mode: str = "replace_slice",
     table: config.LakeTable = config.CREDIT_CUSTOMERS,
+    customers_table: config.LakeTable = config.CUSTOMERS,
+    products_table: config.LakeTable = config.PRODUCTS,
+    acquisitions_table: config.LakeTable = config.ACQUISITIONS,
+    salt: str = "",
+    unparsed: str | None = TOP_INCOME_CLASS,
 ) -> dict[str, object]:
-    """Build the silver slice of one load date from the bronze slices of that date."""
+    """Build the silver slice of one load date from the bronze slices of that date.
+
+    The three sources may be tables that arrivals fill. The acquisitions are read by the tasks of the join
+    alone, which also count their text; values that do not parse as numbers are counted and logged.
+    """
     run = RunLog("silver", table.name, load_date)
     try:
         with run.timed("load_total_time"):
-            customers = slice_scan(spark, lake, config.CUSTOMERS, load_date, CUSTOMER_INPUT)
-            products = slice_scan(spark, lake, config.PRODUCTS, load_date, PRODUCT_INPUT)
-            acquisitions = slice_scan(spark, lake, config.ACQUISITIONS, load_date)
+            customers = slice_scan(spark, lake, customers_table, load_date, CUSTOMER_INPUT)
+            products = slice_scan(spark, lake, products_table, load_date, PRODUCT_INPUT)
+            acquisitions = slice_scan(spark, lake, acquisitions_table, load_date)
         found = profile_inputs(lake, acquisitions, customers, products)
-        run.set(data_size_mb_formatted=megabytes(found.chars))
+        read = Observation()
+        size = F.coalesce(F.sum(row_chars(acquisitions.schema)), F.lit(0))
         rows = credit_customers(
-            acquisitions, customers, products, as_of or load_day(load_date), found.joins
+            acquisitions.observe(read, size.alias("chars")),
+            customers,
+            products,
+            as_of or load_day(load_date),
+            found.joins,
+            salt=salt,
+            unparsed=unparsed,
         )
         with run.timed("write_total_time"):
-            written = write_slices(
+            totals = write_slices(
                 spark,
                 lake,
                 table,
                 rows,
                 [load_date],
                 mode,
-                rows_per_file=lake.rows_per_file(found.row_chars),
-            )["rows"]
+                totals=unparsed_counts(_PARSED),
+                rows_per_file=lake.rows_per_file(found.row_chars + sampled_row_chars(acquisitions)),
+            )
+        written = totals["rows"]
+        run.set(data_size_mb_formatted=megabytes(found.chars + read.get["chars"]))
+        run.log_unparsed(totals, _PARSED)
         audit = audit_slice(spark, lake, table, load_date)
         run.set(
             qtd_total_rows_insert=written,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
@@ -50,6 +50,12 @@ class RunLog:
                 raise KeyError(f"{name!r} is no metric of a {self.layer} run")
             self.metrics[name] = value
 
+    def log_unparsed(self, totals: Mapping[str, object], columns: Iterable[str]) -> None:
+        """A warning for each column with values that did not parse as numbers."""
+        for name in columns:
+            if totals[f"unparsed_{name}"]:
+                self.log(f"column {name} has {totals[f'unparsed_{name}']} unparsed values", "WARN")
+
     @contextmanager
     def timed(self, metric: str) -> Iterator[None]:
         """Seconds spent in the block."""

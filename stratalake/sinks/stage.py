@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote, urlparse
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.errors import AlreadyLanded
 from stratalake.sources.stage import list_files, stage_path
-from stratalake.workspace import delete_path, path_exists
+from stratalake.workspace import delete_empty_folder, delete_file, folder_entries, path_exists
 
 
 def snapshot_export(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -60,29 +61,38 @@ def _same_form(path: str) -> str:
     return f"{parts.netloc}{unquote(parts.path)}"
 
 
+#: What writers leave beside their files; nothing is loaded from it.
+_MARKERS = ("_SUCCESS", "._SUCCESS.crc")
+
+
 def purge_stage(
     spark: SparkSession, path: str, loaded: Iterable[str] | None = None
 ) -> Purge:
     """Delete the files of a stage folder; a missing folder is nothing to delete.
 
-    ``loaded`` names the files a load has read, as ``DataFrame.inputFiles`` lists them. Files that
-    arrived since then are kept. When all files were loaded, the folder goes in one call.
-    Only names pass through the driver, as they do when Spark plans the scan.
+    ``loaded`` names the files a load has read, as ``DataFrame.inputFiles`` lists them; without it
+    they are the files listed now. Each of those is deleted by name, several at a time, and a folder only
+    once it is empty, so a file that arrives meanwhile is kept. Only names pass through the driver, as
+    they do when Spark plans the scan.
     """
     if not path_exists(spark, path):
         return Purge(0, 0)
+    found = [row["path"] for row in list_files(spark, path, recursive=True).select("path").collect()]
     read = None if loaded is None else {_same_form(name) for name in loaded}
-    names = list_files(spark, path, recursive=True).select("path")
-    done = kept = 0
-    for row in names.toLocalIterator():
-        if read is None or _same_form(row["path"]) in read:
-            done += 1
-        else:
-            kept += 1
-    if not kept:
-        delete_path(spark, path)
-        return Purge(done, 0)
-    for row in names.toLocalIterator():
-        if _same_form(row["path"]) in read:
-            delete_path(spark, row["path"])
-    return Purge(done, kept)
+    done = [name for name in found if read is None or _same_form(name) in read]
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        deleted = sum(pool.map(lambda name: delete_file(spark, name), done))
+    _delete_empty(spark, path)
+    return Purge(deleted, len(found) - len(done))
+
+
+def _delete_empty(spark: SparkSession, path: str) -> None:
+    """Delete the folders at and below a path that hold nothing but markers."""
+    for entry, is_folder in folder_entries(spark, path):
+        if is_folder:
+            _delete_empty(spark, entry)
+    left = folder_entries(spark, path)
+    if all(not is_folder and entry.rsplit("/", 1)[-1] in _MARKERS for entry, is_folder in left):
+        for entry, _ in left:
+            delete_file(spark, entry)
+        delete_empty_folder(spark, path)

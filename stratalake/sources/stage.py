@@ -15,8 +15,13 @@ from stratalake.schemas import LOAD_DATE
 
 FILE_TYPES = ("csv", "txt", "parquet", "avro")
 
+DELIMITED = ("csv", "txt")
+
 STAGE_FOLDER = "table_ingestion_files"
 
+RAGGED = "__ragged"
+"""Text of a record with more or fewer values than its header; null for all others."""
+
 
 def stage_path(stage_root: str, table: str, load_date: str) -> str:
     """Folder of the files of one table and date."""
@@ -26,28 +31,40 @@ def stage_path(stage_root: str, table: str, load_date: str) -> str:
 
 def scan_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     sep: str = ",",
     multiline: bool = False,
     options: Mapping[str, str] | None = None,
+    ragged: bool = False,
 ) -> DataFrame:
     """Delimited text with a header; every column is text.
 
-    Quotes inside a quoted value are doubled. ``multiline`` accepts line breaks inside values,
-    at a price: such a file cannot be split, so one task reads it whole.
+    All files must have the header of the first one, or the read fails; ``enforceSchema`` among the
+    options lifts that. Quotes inside a quoted value are doubled. ``multiline`` accepts line breaks
+    inside values, at a price: such a file cannot be split, so one task reads it whole. ``ragged`` adds
+    a column with the text of each record that does not fit the header; values too many are not in the
+    others, values too few are null there.
     """
-    return (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .options(**(options or {}))
-        .csv(path)
-    )
+
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("sep", sep)
+            .option("escape", '"')
+            .option("multiLine", multiline)
+            .option("enforceSchema", False)
+            .options(**(options or {}))
+        )
+
+    scan = reader().csv(path)
+    if not ragged:
+        return scan
+    schema = T.StructType([*scan.schema.fields, T.StructField(RAGGED, T.StringType())])
+    return reader().schema(schema).option("columnNameOfCorruptRecord", RAGGED).csv(path)
 
 
-def scan_avro(spark: SparkSession, path: str) -> DataFrame:
+def scan_avro(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Avro files, where Spark's Avro package is on the class path."""
     try:
         return spark.read.format("avro").load(path)
@@ -67,8 +84,9 @@ def check_file_type(file_type: str) -> str:
 
 def check_columns(df: DataFrame, path: str = "", sep: str = "") -> DataFrame:
     """A load has more than one column. Looks at the schema; runs a job only to show a bad row."""
-    if len(df.columns) > 1:
+    if len([c for c in df.columns if c != RAGGED]) > 1:
         return df
+    df = df.drop(RAGGED)
     sample = sample_rows(df).collect() if df.columns else []
     shown = [row[0] for row in sample]
     raise BadInput(
@@ -84,22 +102,26 @@ def sample_rows(df: DataFrame, rows: int = 1) -> DataFrame:
 
 def scan_stage(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     file_type: str = "csv",
     *,
     sep: str = ",",
     multiline: bool = False,
     options: Mapping[str, str] | None = None,
+    ragged: bool = False,
 ) -> DataFrame:
-    """Read a stage folder; raises for an unknown type or an input of one column."""
+    """Read a stage folder, or some of its files; raises for an unknown type or an input of one column."""
     check_file_type(file_type)
-    if file_type in ("csv", "txt"):
-        df = scan_delimited(spark, path, sep=sep, multiline=multiline, options=options)
+    if file_type in DELIMITED:
+        df = scan_delimited(
+            spark, path, sep=sep, multiline=multiline, options=options, ragged=ragged
+        )
     elif file_type == "parquet":
-        df = spark.read.options(**(options or {})).parquet(path)
+        paths = [path] if isinstance(path, str) else path
+        df = spark.read.options(**(options or {})).parquet(*paths)
     else:
         df = scan_avro(spark, path)
-    return check_columns(df, path, sep)
+    return check_columns(df, path if isinstance(path, str) else path[0], sep)
 
 
 def add_load_date(df: DataFrame, load_date: str) -> DataFrame:

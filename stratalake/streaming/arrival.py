@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,16 +13,23 @@ from pyspark.sql import types as T
 from stratalake.config import BronzeLoad, Lake, LakeTable
 from stratalake.functions.dates import load_date_of_path
 from stratalake.operators.profile import data_columns, load_profile, measured, profile_totals
-from stratalake.operators.quality import fail_on_null
+from stratalake.operators.quality import fail_on_null, required_columns
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit, create_database, write_slices
-from stratalake.sources.stage import STAGE_FOLDER, check_file_type
+from stratalake.sources.stage import DELIMITED, STAGE_FOLDER, check_file_type, scan_stage
 from stratalake.sources.tables import scan_table
+from stratalake.workspace import first_line
 
 ARRIVAL = "lote_chegada"
 """Second partition column of a table filled by arrival: the stream and its micro-batch."""
 
+MAX_FILES = 10_000
+"""Files of a micro-batch, unless a call says otherwise."""
+
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+"""Fixed value: the columns of Spark's reader of whole files."""
+
 _QUERY_ID = "sql.streaming.queryId"
 
 
@@ -35,44 +44,62 @@ def arrival_table(load: BronzeLoad) -> LakeTable:
     )
 
 
-def source_schema(load: BronzeLoad) -> T.StructType:
-    """Columns of the files: those of the table without its load date, all text."""
-    return T.StructType([f for f in load.table.schema.fields if f.name != LOAD_DATE])
-
-
-def read_arrivals(
+def new_files(
     spark: SparkSession, lake: Lake, load: BronzeLoad, max_files: int | None = None
 ) -> DataFrame:
-    """Stream of the measured rows of new files, dated by the folder each came from."""
+    """Stream of the paths of new files; their contents are not read here."""
     check_file_type(load.file_type)
-    reader = spark.readStream.schema(source_schema(load)).options(**load.read_options)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
     path = f"{lake.stage_root.rstrip('/')}/{STAGE_FOLDER}/{load.table.name}/*/*"
-    if load.file_type in ("csv", "txt"):
-        rows = (
-            reader.option("header", True)
-            .option("sep", load.sep)
-            .option("escape", '"')
-            .option("multiLine", load.multiline)
-            .csv(path)
+    files = reader.option("maxFilesPerTrigger", max_files or MAX_FILES).load(path)
+    return files.where(F.col("length") > 0).select("path")
+
+
+def read_files(spark: SparkSession, load: BronzeLoad, paths: list[str]) -> DataFrame:
+    """The measured rows of some files, dated by the folder each came from.
+
+    Files of one header are read together and all of them put together by column name, so an added
+    column or another order of columns loses nothing; what a file lacks is null.
+    """
+    groups: dict[str, list[str]] = {"": paths}
+    if load.file_type in DELIMITED:
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            headers = list(pool.map(lambda path: first_line(spark, path), paths))
+        groups = {}
+        for header, path in zip(headers, paths):
+            groups.setdefault(header, []).append(path)
+    parts = []
+    for files in groups.values():
+        scan = scan_stage(
+            spark,
+            files,
+            load.file_type,
+            sep=load.sep,
+            multiline=load.multiline,
+            options=load.read_options,
+            ragged=True,
         )
-    else:
-        rows = reader.format(load.file_type).load(path)
-    return measured(rows, load_date_of_path(F.col("_metadata.file_path")), load.null_markers)
+        dated = load_date_of_path(F.col("_metadata.file_path"))
+        rows = measured(scan, dated, load.null_markers)
+        required_columns(data_columns(rows), load.required)
+        parts.append(rows)
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def ingest_batch(
-    lake: Lake, load: BronzeLoad, table: LakeTable, rows: DataFrame, batch: str
+    spark: SparkSession,
+    lake: Lake,
+    load: BronzeLoad,
+    table: LakeTable,
+    paths: list[str],
+    batch: str,
 ) -> int:
-    """Check one micro-batch and write it to its own partition of each load date.
+    """Check the files of one micro-batch and write them to its own partition of each load date.
 
     A batch that runs again, because its end was not recorded, has the same files and the same
     name, so it replaces its own partitions and no row is kept twice. As in a bronze load, the
     files are read once, by the tasks that write, and a metrics row is kept either way.
     """
-    spark = rows.sparkSession
-    columns = data_columns(rows)
     dated = F.coalesce(
         F.nullif(LOAD_DATE, F.lit("")),
         F.raise_error(f"a file of {load.table.name} is not in a folder named by its load date"),
@@ -80,6 +107,8 @@ def ingest_batch(
     run = RunLog("bronze", table.name)
     run.set(load_total_time=0.0)  # reading is part of the write
     try:
+        rows = read_files(spark, load, paths)
+        columns = data_columns(rows)
         checked = fail_on_null(rows, load.required).withColumn(LOAD_DATE, dated)
         with run.timed("write_total_time"):
             found = write_slices(
@@ -89,11 +118,13 @@ def ingest_batch(
                 checked,
                 None,
                 within={ARRIVAL: batch},
-                totals=profile_totals(columns),
+                totals=profile_totals(columns, load.refuse_ragged),
             )
         if not found["rows"]:
             return 0
         profile = load_profile(columns, found)
+        if profile.ragged:
+            run.log(f"{profile.ragged} records have more or fewer values than their header", "WARN")
         stored = audit(scan_table(spark, lake, table).where(F.col(ARRIVAL) == batch))
         run.set(
             dat_carga=",".join(sorted(found["load_dates"])),
@@ -129,14 +160,21 @@ def arrival_ingest(
     create_database(spark, lake, table.database)
     written = []
 
-    def write_batch(rows: DataFrame, number: int) -> None:
+    def write_batch(files: DataFrame, number: int) -> None:
         # The identity of a stream lives in its checkpoint: a new checkpoint cannot replace the
         # batches of an older one.
-        stream = rows.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
-        written.append(ingest_batch(lake, load, table, rows, f"{stream}-{number}"))
+        session = files.sparkSession
+        stream = session.sparkContext.getLocalProperty(_QUERY_ID)
+        if not stream:
+            raise RuntimeError("the stream has no id to name its batches by")
+        # As many names as a batch may have files.
+        paths = sorted(row["path"] for row in files.distinct().collect())
+        if paths:
+            batch = f"{stream}-{number}"
+            written.append(ingest_batch(session, lake, load, table, paths, batch))
 
     query = (
-        read_arrivals(spark, lake, load, max_files)
+        new_files(spark, lake, load, max_files)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-_local_root: list[str] = []
-
 
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of this machine.
+    Where that is unset, a local session uses a folder of its warehouse; a cluster must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if not _local_root:
-        _local_root.append(tempfile.mkdtemp(prefix="stratalake-"))
-    return _local_root[0]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -39,6 +35,17 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file."""
+    file_system, hadoop_path = _file_system(spark, path)
+    java = spark.sparkContext._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(file_system.open(hadoop_path), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     file_system, hadoop_path = _file_system(spark, path)
     return file_system.exists(hadoop_path)
@@ -48,3 +55,26 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder in one call. A missing path is nothing to delete."""
     file_system, hadoop_path = _file_system(spark, path)
     return file_system.delete(hadoop_path, True)
+
+
+def delete_file(spark: SparkSession, path: str) -> bool:
+    """Delete one file; false if it is not there any more."""
+    file_system, hadoop_path = _file_system(spark, path)
+    return file_system.delete(hadoop_path, False)
+
+
+def folder_entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """Path of each entry of a folder, and whether it is a folder itself."""
+    file_system, hadoop_path = _file_system(spark, path)
+    return [(e.getPath().toString(), e.isDirectory()) for e in file_system.listStatus(hadoop_path)]
+
+
+def delete_empty_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that holds nothing; one that does stays, whenever that came in."""
+    file_system, hadoop_path = _file_system(spark, path)
+    try:
+        return file_system.delete(hadoop_path, False)
+    except Py4JJavaError as error:
+        if "java.io.IOException" in str(error.java_exception):
+            return False
+        raise

@@ -11,7 +11,6 @@ from stratalake import config
 from stratalake.config import BRONZE_LOADS, CREDIT_CUSTOMERS, PRODUCT_TOTALS, Lake
 from stratalake.errors import JobFailed
 from stratalake.functions.customer import hash_document
-from stratalake.operators.joins import HotKey
 from stratalake.operators.totals import product_totals
 from stratalake.plans.bronze import bronze_ingest
 from stratalake.plans.gold import gold_product_totals
@@ -24,7 +23,7 @@ from stratalake.plans.silver import (
 )
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.runlog import run_log
-from stratalake.sinks.stage import land_snapshot
+from stratalake.sinks.stage import Purge, land_snapshot, purge_stage
 from stratalake.sinks.tables import write_slices
 from stratalake.sources.stage import scan_stage, stage_path
 from stratalake.sources.tables import scan_table
@@ -66,15 +65,10 @@ def clean_inputs(spark):
 
 
 @pytest.mark.parametrize(
-    "plan",
-    [
-        JoinPlan(),
-        JoinPlan(broadcast_products=True),
-        JoinPlan(broadcast_products=True, broadcast_customers=True),
-        JoinPlan(hot_customers=[HotKey("1", 3), HotKey(None, 2)], hot_products=[HotKey("4", 4)]),
-    ],
+    "limits", [{}, {"broadcast_chars": 0}, {"broadcast_chars": 0, "rows_per_task": 1}]
 )
-def test_silver_by_hand(spark, plan):
+def test_silver_by_hand(spark, limits):
+    plan = profile_inputs(Lake("", "", **limits), *clean_inputs(spark)).joins
     rows = credit_customers(*clean_inputs(spark), AS_OF, plan)
     assert silver_view(rows, spark) == sorted(bank.SILVER, key=str)
     assert gold_view(product_totals(rows)) == sorted(bank.GOLD)
@@ -91,15 +85,14 @@ def test_products_of_one_name_can_be_kept_apart(spark):
 def test_inputs_decide_the_joins(spark):
     inputs = clean_inputs(spark)
     small = profile_inputs(Lake("", "", rows_per_task=2), *inputs)
-    assert small.joins.broadcast_products
-    assert {h.value for h in small.joins.hot_products} == {"4"}
-    assert small.joins.hot_customers == []
-    assert small.chars == sum(len(str(r)) for df in inputs for r in df.collect())
-    assert small.joins.broadcast_customers
+    assert small.joins == JoinPlan(broadcast_products=True, broadcast_customers=True)
     sizes = [sum(len(str(r)) for r in df.collect()) for df in inputs]
-    large = profile_inputs(Lake("", "", broadcast_chars=sizes[1]), *inputs).joins
+    assert small.chars == sum(sizes[1:]) and sizes[2] > sizes[1]
+    limited = Lake("", "", broadcast_chars=sizes[1], rows_per_task=2)
+    large = profile_inputs(limited, *inputs).joins
     assert not large.broadcast_customers and not large.broadcast_products
-    assert sizes[2] > sizes[1]
+    assert set(dict(large.hot_products.collect())) == {"4"}
+    assert large.hot_customers.count() == 0
 
 
 def test_products_come_before_the_customer_shuffle(spark):
@@ -193,6 +186,68 @@ def test_empty_load(spark, lake, stage):
         bronze_ingest(spark, lake, replace(load, reject_empty=True), D1)
 
 
+def test_an_empty_load_does_not_remove_a_slice(spark, lake, stage):
+    load = BRONZE_LOADS["clientes"]
+    folder = Path(stage("clientes", D1, "client_id,nome,cpf\n1,Ana,11\n"))
+    bronze_ingest(spark, lake, load, D1)
+    (folder / "part.csv").write_text("client_id,nome,cpf\n", encoding="utf-8")
+    with pytest.raises(JobFailed, match="would remove the 1 rows"):
+        bronze_ingest(spark, lake, load, D1)
+    assert scan_table(spark, lake, config.CUSTOMERS).count() == 1
+
+
+def test_late_files_are_added(spark, lake, stage):
+    load = BRONZE_LOADS["clientes"]
+    folder = stage("clientes", D1, "client_id,nome,cpf\n1,Ana,11\n2,Rui,22\n", "a.csv")
+    done = bronze_ingest(spark, lake, load, D1)
+    stage("clientes", D1, "client_id,nome,cpf,canal\n3,Eva,33,web\n", "late.csv")
+    assert purge_stage(spark, folder, done.input_files) == Purge(1, 1)
+    for _ in range(2):
+        metrics = bronze_ingest(spark, lake, load, D1).metrics
+        assert metrics["alerta"] is False
+        names = scan_table(spark, lake, config.CUSTOMERS).select("nome").collect()
+        assert sorted(r[0] for r in names) == ["Ana", "Eva", "Rui"]
+    assert metrics["number_lines_loaded"] == 0
+    (Path(folder) / "late.csv").write_text("client_id,nome,cpf,canal\n4,Leo,44,web\n")
+    with pytest.raises(JobFailed, match="have changed while others are gone"):
+        bronze_ingest(spark, lake, load, D1)
+
+
+def test_headers_that_differ_stop_a_load(spark, lake, stage):
+    stage("clientes", D1, "client_id,nome,cpf\n1,Ana,11\n", "a.csv")
+    stage("clientes", D1, "nome,client_id,cpf\nRui,2,22\n", "b.csv")
+    with pytest.raises(JobFailed, match="(?i)header"):
+        bronze_ingest(spark, lake, BRONZE_LOADS["clientes"], D1)
+    assert scan_table(spark, lake, config.CUSTOMERS).count() == 0
+
+
+def test_ragged_records(spark, lake, stage):
+    load = BRONZE_LOADS["clientes"]
+    stage("clientes", D1, "client_id,nome,cpf,renda\n1,Ana,11,5\n2,Rui,22,5,x\n3,Eva,33\n")
+    with pytest.raises(JobFailed, match="more or fewer values"):
+        bronze_ingest(spark, lake, load, D1)
+    assert scan_table(spark, lake, config.CUSTOMERS).count() == 0
+    done = bronze_ingest(spark, lake, replace(load, refuse_ragged=False), D1)
+    assert (done.profile.rows, done.profile.ragged) == (3, 2)
+    assert "2 records have more or fewer" in run_log(spark, lake).where("success").first()["document"]
+
+
+def test_unparsed_values_are_logged(spark, lake):
+    rows = bank.acquisitions(spark).limit(1).withColumn("valor_aquisicao", F.lit("1.234,50"))
+    rows = rows.unionByName(bank.acquisitions(spark))
+    rows = rows.withColumn("produto_id", F.lit(bank.products(spark).first()["produto_id"]))
+    write_slices(spark, lake, config.ACQUISITIONS, rows, [D1])
+    write_slices(spark, lake, config.CUSTOMERS, bank.customers(spark), [D1])
+    products = bank.products(spark).withColumn("limite_credito", F.lit("10.00"))
+    write_slices(spark, lake, config.PRODUCTS, products, [D1])
+    silver_credit_customers(spark, lake, D1)
+    gold_product_totals(spark, lake, D1)
+    documents = {r["layer"]: r["document"] for r in run_log(spark, lake).collect()}
+    for layer in ("silver", "gold"):
+        logged = [e["Message"] for e in json.loads(documents[layer])["logs"]]
+        assert "column valor_prod_contratado has 2 unparsed values" in logged
+
+
 def test_new_column_in_a_second_load(spark, lake, stage):
     load = BRONZE_LOADS["clientes"]
     stage("clientes", D1, "client_id,nome,cpf\n1,Ana,11\n")
@@ -260,7 +315,7 @@ def test_a_new_checkpoint_does_not_replace_older_batches(spark, lake, stage, tmp
 
 
 def test_a_bad_arrival_stops_the_stream(spark, lake, stage, tmp_path):
-    stage("clientes", D1, "client_id,nome\n1,\n")
+    stage("clientes", D1, "client_id,nome,cpf\n1,,11\n")
     with pytest.raises(Exception, match="required column holds a null: nome"):
         arrival_ingest(spark, lake, BRONZE_LOADS["clientes"], str(tmp_path / "checkpoint"))
 
@@ -273,6 +328,38 @@ def test_a_file_outside_a_dated_folder_stops_the_stream(spark, lake, stage, tmp_
     assert run_log(spark, lake).where("success").count() == 0
 
 
+def test_arrivals_go_by_header_name(spark, lake, stage, tmp_path):
+    header = "id,cliente_id,produto_id,data_aquisicao,valor_aquisicao"
+    stage("clientesxprod", D1, f"{header}\n1,10,20,2025-01-01,1.00\n", "a.csv")
+    swapped = "id,produto_id,cliente_id,data_aquisicao,valor_aquisicao,canal"
+    stage("clientesxprod", D1, f"{swapped}\n2,20,10,2025-01-01,1.00,web\n", "b.csv")
+    load = BRONZE_LOADS["clientesxprod"]
+    assert arrival_ingest(spark, lake, load, str(tmp_path / "checkpoint")) == 2
+    rows = scan_table(spark, lake, arrival_table(load)).select("id", "cliente_id", "produto_id", "canal")
+    assert sorted(map(tuple, rows.collect()), key=str) == [("1", "10", "20", None), ("2", "10", "20", "web")]
+
+
+def test_an_arrival_without_a_required_column_leaves_a_failed_run(spark, lake, stage, tmp_path):
+    stage("clientesxprod", D1, "id,produto_id\n1,2\n")
+    with pytest.raises(Exception, match="cliente_id"):
+        arrival_ingest(spark, lake, BRONZE_LOADS["clientesxprod"], str(tmp_path / "checkpoint"))
+    assert run_log(spark, lake).select("success").collect() == [(False,)]
+
+
+def test_arrivals_reach_gold(spark, lake, tmp_path):
+    land_bank(spark, lake, D1)
+    arrived = {}
+    for name, load in BRONZE_LOADS.items():
+        arrival_ingest(spark, lake, load, str(tmp_path / name))
+        arrived[name] = arrival_table(load)
+    silver_credit_customers(
+        spark, lake, D1, customers_table=arrived["clientes"], products_table=arrived["produtos"],
+        acquisitions_table=arrived["clientesxprod"], as_of=AS_OF,
+    )
+    gold_product_totals(spark, lake, D1)
+    assert gold_view(scan_table(spark, lake, PRODUCT_TOTALS)) == sorted(bank.GOLD)
+
+
 def test_a_load_date_in_the_source_is_replaced(spark, lake, stage):
     stage("clientes", D1, f"client_id,nome,cpf,{LOAD_DATE}\n1,Ana,11,19990101\n")
     bronze_ingest(spark, lake, BRONZE_LOADS["clientes"], D1)
@@ -287,7 +374,7 @@ def test_no_python_in_the_plans(spark, lake):
         scan_table(spark, lake, config.CUSTOMERS),
         scan_table(spark, lake, config.PRODUCTS),
         AS_OF,
-        JoinPlan(hot_customers=[HotKey("1", 3)]),
+        profile_inputs(Lake("", "", broadcast_chars=0, rows_per_task=1), *clean_inputs(spark)).joins,
     )
     plan = product_totals(rows)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ExistingRDD" not in plan

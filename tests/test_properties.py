@@ -100,7 +100,8 @@ def test_data_size_by_hand(spark):
 
 
 def session(master, setting=None):
-    conf = SimpleNamespace(get=lambda name, default: setting or default)
+    known = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": "file:/w/"}
+    conf = SimpleNamespace(get=lambda name, default=None: known[name] or default)
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
@@ -108,6 +109,6 @@ def test_scratch_is_shared_on_a_cluster():
     assert workspace.shared_root(session("yarn", "hdfs:///ck/")) == "hdfs:///ck"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_root(session("yarn"))
-    assert workspace.shared_root(session("local[2]")) == workspace.shared_root(session("local[2]"))
+    assert workspace.shared_root(session("local[2]")) == "file:/w/_scratch"
     one = workspace.new_folder(session("yarn", "/ck"), "x")
     assert one.startswith("/ck/stratalake/x-")
