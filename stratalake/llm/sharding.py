@@ -178,7 +178,45 @@ def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-@query("op3_kd_tree_shards")
+#: A level of the tree in SQL: spreads, the widest dimension, running sums by key, and the halves.
+_SQL_LEVEL = """
+s{i} AS (SELECT node, sum(size) AS total, min(d0) AS a0, max(d0) AS b0, min(d1) AS a1, max(d1) AS b1,
+    min(d2) AS a2, max(d2) AS b2 FROM n{i} GROUP BY node),
+w{i} AS (SELECT node, total,
+    coalesce(CAST(b0 - a0 AS DOUBLE) / nullif((SELECT max(d0) - min(d0) FROM m), 0), 0) AS w0,
+    coalesce(CAST(b1 - a1 AS DOUBLE) / nullif((SELECT max(d1) - min(d1) FROM m), 0), 0) AS w1,
+    coalesce(CAST(b2 - a2 AS DOUBLE) / nullif((SELECT max(d2) - min(d2) FROM m), 0), 0) AS w2 FROM s{i}),
+c{i} AS (SELECT n{i}.*, total, CASE WHEN w0 >= w1 AND w0 >= w2 THEN d0 WHEN w1 >= w2 THEN d1 ELSE d2 END AS v
+    FROM n{i} JOIN w{i} USING (node)),
+k{i} AS (SELECT node, v, key, sum(size) AS b FROM c{i} GROUP BY ALL),
+q{i} AS (SELECT *, sum(b) OVER (PARTITION BY node ORDER BY v, key) AS upto FROM k{i}),
+n{j} AS (SELECT doc_id, size, crc, key, d0, d1, d2, 2 * node + CASE WHEN 2 * upto - b < total THEN 0 ELSE 1 END AS node
+    FROM c{i} JOIN q{i} USING (node, v, key)),"""
+
+_SQL_CODE = (
+    "coalesce(CAST('0x' || rpad(substr(hex(encode({c})), 1, 14), 14, '0') AS BIGINT) + 1, 0)"
+)
+
+#: Eight shards in SQL; the checksum is folded byte by byte through its table.
+_SQL = f"""
+WITH bits AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs),
+m AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+        regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: CAST('0x' || p AS BIGINT))),
+        lambda c, b: xor(c >> 8, crcs[CAST(xor(c, b) & 255 AS BIGINT) + 1]))) AS crc,
+    coalesce(doc_id, {-(1 << 62)}) AS key, coalesce(n_chars, -1) AS d0,
+    {_SQL_CODE.format(c="source")} AS d1, {_SQL_CODE.format(c="lang")} AS d2 FROM documents, bits),
+n0 AS (SELECT *, 0 AS node FROM m),{"".join(_SQL_LEVEL.format(i=i, j=i + 1) for i in range(3))}
+p AS (SELECT *, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+    % greatest(16, (SELECT count(*) FROM m) // 400000 + 1) AS bucket FROM n3)
+SELECT doc_id, size, CAST(crc AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(node AS INTEGER) AS shard,
+    row_number() OVER (PARTITION BY node ORDER BY bucket, doc_id NULLS FIRST, crc, size) - 1 AS slot,
+    CAST(NULL AS INTEGER) AS grown_shard FROM p
+"""
+
+
+@query("op3_kd_tree_shards", _SQL)
 def op3_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_shards(table(spark, sf_dir, "documents"), shards=8)
     return placed.select(

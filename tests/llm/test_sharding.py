@@ -1,9 +1,13 @@
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
+import duckdb
+import pytest
 from helpers import AWKWARD, documents, prose
 
+from stratalake.llm import sharding
 from stratalake.llm.sharding import kd_shards
 
 
@@ -76,3 +80,13 @@ def test_target_bytes_and_reruns(spark):
 def test_empty_and_few_rows(spark):
     assert kd_shards(documents(spark, []), shards=8).collect() == []
     assert [r.slot for r in kd_shards(documents(spark, [(1, "x", "a")]), shards=8).collect()] == [0]
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").is_dir(), reason="no driver tables here")
+def test_query_agrees_with_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    got = sharding.op3_kd_tree_shards(spark, folder)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({sharding._SQL})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
