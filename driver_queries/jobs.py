@@ -27,12 +27,12 @@ from stratalake.plans.run import run_layers
 from stratalake.plans.silver import silver_credit_customers
 from stratalake.schemas import BRONZE_METRICS, LOAD_DATE
 from stratalake.sinks.runlog import run_log
-from stratalake.sinks.stage import land_snapshot
+from stratalake.sinks.stage import land_snapshot, purge_stage, snapshot_export
 from stratalake.sinks.tables import create_database, create_lake, write_slices
-from stratalake.sources.stage import inline_rows, list_files, scan_stage
+from stratalake.sources.stage import inline_rows, list_files, scan_stage, stage_path
 from stratalake.sources.tables import scan_table, slice_of
 from stratalake.streaming.arrival import ARRIVAL, arrival_ingest, arrival_table
-from stratalake.workspace import delete_path, new_folder
+from stratalake.workspace import delete_path, folder_entries, move_file, new_folder
 
 
 def land_masters(spark, sf_dir, lake, load_date: str) -> None:
@@ -116,7 +116,7 @@ def verdicts(spark, sf_dir):
 )
 def reconciled(spark, sf_dir):
     """Loading all slices twice raises the alert when they are appended."""
-    rows = views.dated_acquisitions(spark, sf_dir)
+    rows = views.stored(views.dated_acquisitions(spark, sf_dir))
     parts = []
     for mode in ("replace_slice", "append"):
         lake = views.new_lake(spark)
@@ -336,6 +336,52 @@ def all_layers(spark, sf_dir):
     return views.finished(scan_table(spark, lake, config.PRODUCT_TOTALS), lake)
 
 
+@query("arrivals_to_gold", SQL_GOLD)
+def arrivals_to_gold(spark, sf_dir):
+    """All sources of all dates arrive, and each date is taken to gold from what has arrived."""
+    lake = views.new_lake(spark)
+    create_lake(spark, lake)
+    land_by_date(spark, sf_dir, lake)
+    for load_date in LOAD_DATES:
+        land_masters(spark, sf_dir, lake, load_date)
+    arrived = {}
+    for name, load in BRONZE_LOADS.items():
+        arrival_ingest(spark, lake, load, new_folder(spark, "arrivals"))
+        arrived[name] = arrival_table(load)
+    for load_date in LOAD_DATES:
+        silver_credit_customers(
+            spark,
+            lake,
+            load_date,
+            customers_table=arrived["clientes"],
+            products_table=arrived["produtos"],
+            acquisitions_table=arrived["clientesxprod"],
+        )
+        gold_product_totals(spark, lake, load_date)
+    return views.finished(scan_table(spark, lake, config.PRODUCT_TOTALS), lake)
+
+
+@query("late_files", "SELECT * FROM clientesxprod")
+def late_files(spark, sf_dir):
+    """Half of an export is loaded and purged before the other half lands; a third run adds nothing."""
+    lake = views.new_lake(spark)
+    create_lake(spark, lake)
+    rows = views.stored(views.acquisitions(spark, sf_dir))
+    load = BRONZE_LOADS["clientesxprod"]
+    folder = stage_path(lake.stage_root, "clientesxprod", FIRST)
+    early = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    snapshot_export(rows.where(early), folder)
+    done = bronze_ingest(spark, lake, load, FIRST)
+    snapshot_export(rows.where(~early), f"{lake.stage_root}/late")
+    for name, _ in folder_entries(spark, f"{lake.stage_root}/late"):
+        if not name.endswith("_SUCCESS"):
+            move_file(spark, name, folder)
+    purge_stage(spark, folder, done.input_files)
+    for _ in range(2):
+        bronze_ingest(spark, lake, load, FIRST)
+    return views.finished(scan_table(spark, lake, config.ACQUISITIONS).drop(LOAD_DATE), lake)
+
+
 @query("arrival_ingest", "SELECT * FROM vendas")
 def arrivals(spark, sf_dir):
     """Two dates arrive, then a third; each file is read once."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from driver_queries import views
@@ -11,7 +13,7 @@ from driver_queries.views import CUSTOMER_NAMES, FIRST, LOAD_DATES, SECOND
 from stratalake import config, schemas
 from stratalake.config import BRONZE_LOADS, WRITE_MODES
 from stratalake.errors import AlreadyLanded
-from stratalake.operators.profile import data_size, row_count
+from stratalake.operators.profile import row_count
 from stratalake.plans.bronze import bronze_ingest
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.runlog import run_log
@@ -23,7 +25,7 @@ from stratalake.sinks.tables import (
     table_exists,
     write_slices,
 )
-from stratalake.sources.stage import inline_rows, scan_stage
+from stratalake.sources.stage import inline_rows, list_files, scan_stage
 from stratalake.sources.tables import scan_table, slice_of
 from stratalake.workspace import new_folder
 
@@ -108,7 +110,7 @@ def existing_table(spark, sf_dir):
 def _acquisition_lake(spark, sf_dir):
     lake = views.new_lake(spark)
     create_database(spark, lake, config.ACQUISITIONS.database)
-    return lake, views.dated_acquisitions(spark, sf_dir)
+    return lake, views.stored(views.dated_acquisitions(spark, sf_dir))
 
 
 @query("append_slice", "SELECT * FROM vendas UNION ALL SELECT * FROM vendas")
@@ -191,16 +193,19 @@ def merged_schema(spark, sf_dir):
 
 @query("file_size", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS files_too_large FROM vendas")
 def sized_files(spark, sf_dir):
-    """No file has more rows than fill the target size."""
-    lake, rows = _acquisition_lake(spark, sf_dir)
-    size = data_size(rows).first()
-    limit = lake.rows_per_file(size["chars"] / max(size["rows"], 1))
-    write_slices(
-        spark, lake, config.ACQUISITIONS, rows, LOAD_DATES, rows_per_file=limit, rebalance=True
-    )
-    files = scan_table(spark, lake, config.ACQUISITIONS).groupBy("_metadata.file_path")
-    sizes = files.agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sum("n").alias("n_rows"), F.count_if(F.col("n") > limit).alias("files_too_large")
+    """Of a load with a small target, no file has many more bytes than that."""
+    lake = replace(views.new_lake(spark), target_file_bytes=48 * 1024)
+    create_database(spark, lake, config.ACQUISITIONS.database)
+    rows = views.acquisitions(spark, sf_dir)
+    land_snapshot(rows, lake.stage_root, "clientesxprod", FIRST)
+    bronze_ingest(spark, lake, BRONZE_LOADS["clientesxprod"], FIRST)
+    files = list_files(spark, config.ACQUISITIONS.path(lake), recursive=True)
+    too_large = files.agg(
+        F.count_if(F.col("length") > 2 * lake.target_file_bytes).alias("files_too_large")
+    ).first()["files_too_large"]
+    counted = row_count(scan_table(spark, lake, config.ACQUISITIONS))
+    sizes = counted.select(
+        F.col("rows").alias("n_rows"), F.lit(too_large).cast("long").alias("files_too_large")
     )
     return views.finished(sizes, lake)
 

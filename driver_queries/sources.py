@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +11,7 @@ from driver_queries import views
 from driver_queries.registry import query
 from driver_queries.views import FIRST, LOAD_DATES, PRODUCT_NAMES, SECOND
 from stratalake import config
-from stratalake.errors import BadInput, MissingPackage, UnsupportedFormat
+from stratalake.errors import BadInput, UnsupportedFormat
 from stratalake.functions.dates import load_date_of_path
 from stratalake.operators.profile import row_count
 from stratalake.plans.silver import CUSTOMER_INPUT
@@ -23,7 +22,6 @@ from stratalake.sources.stage import (
     inline_rows,
     list_files,
     sample_rows,
-    scan_avro,
     scan_stage,
     stage_path,
     with_input_file,
@@ -42,7 +40,7 @@ def header_bytes(columns: list[str]) -> int:
 
 def land_by_date(spark, sf_dir, lake, dates=LOAD_DATES) -> None:
     """Land the acquisitions of each load date in its own folder."""
-    dated = views.dated_acquisitions(spark, sf_dir)
+    dated = views.stored(views.dated_acquisitions(spark, sf_dir))  # joined once for all dates
     for load_date in dates:
         land_snapshot(
             slice_of(dated, load_date).drop(LOAD_DATE), lake.stage_root, "clientesxprod", load_date
@@ -96,23 +94,12 @@ def reject_format(spark, sf_dir):
     return views.finished(union(parts), lake)
 
 
-@query("scan_avro")
+@query("scan_avro", "SELECT * FROM produtos")
 def scan_avro_files(spark, sf_dir):
-    """The products through Avro files; without Spark's Avro package, that it is missing."""
+    """The products through Avro files; fails where Spark's Avro package is not on the class path."""
     path = stage_path(views.new_lake(spark).stage_root, "produtos", FIRST)
-    products = views.products(spark, sf_dir)
-    try:
-        scan_avro(spark, path)
-    except MissingPackage:
-        return row_count(products).select(
-            F.lit("package missing").alias("outcome"), F.col("rows").alias("n_rows")
-        )
-    except AnalysisException:
-        pass  # the folder is not written yet
-    products.write.format("avro").save(path)
-    return row_count(scan_stage(spark, path, "avro")).select(
-        F.lit("read").alias("outcome"), F.col("rows").alias("n_rows")
-    )
+    views.products(spark, sf_dir).write.format("avro").save(path)
+    return scan_stage(spark, path, "avro")
 
 
 @query(

@@ -42,7 +42,6 @@ class Lake:
     root: str
     stage_root: str
     database_prefix: str = ""
-    table_format: str = "parquet"
     rows_per_task: int = 2_000_000
     broadcast_chars: int = 64 * 1024 * 1024
     target_file_bytes: int = 128 * 1024 * 1024

@@ -36,9 +36,11 @@ def trimmed_names(names: Sequence[str]) -> list[str]:
     Spark resolves names without regard to case, so the comparison does too.
     """
     trimmed = [name.strip() for name in names]
-    seen: dict[str, str] = {}
-    for before, after in zip(names, trimmed):
-        other = seen.setdefault(after.lower(), before)
-        if other is not before:
-            raise BadInput(f"columns {other!r} and {before!r} have the same name once trimmed")
+    seen: dict[str, int] = {}
+    for place, after in enumerate(trimmed):
+        other = seen.setdefault(after.lower(), place)
+        if other != place:
+            raise BadInput(
+                f"columns {names[other]!r} and {names[place]!r} have the same name once trimmed"
+            )
     return trimmed

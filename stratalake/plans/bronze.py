@@ -17,6 +17,7 @@ from stratalake.operators.profile import (
     measured,
     profile_load,
     profile_totals,
+    sampled_row_chars,
 )
 from stratalake.operators.quality import (
     REQUIRED_IS_NULL,
@@ -28,7 +29,7 @@ from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.ledger import compare, remember
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, table_exists, write_slices
-from stratalake.sources.stage import scan_stage, stage_path
+from stratalake.sources.stage import RAGGED, scan_stage, stage_path
 
 
 @dataclass(frozen=True)
@@ -48,12 +49,20 @@ def _write(
     load_date: str,
     mode: str,
     totals: dict[str, Column],
+    rows_per_file: int,
 ) -> dict[str, int] | None:
     """Write a load and return its totals; None when a required column turned out to hold nulls."""
     checked = fail_on_null(rows, load.required)
     try:
         return write_slices(
-            spark, lake, load.table, checked, [load_date], mode, totals=totals
+            spark,
+            lake,
+            load.table,
+            checked,
+            [load_date],
+            mode,
+            totals=totals,
+            rows_per_file=rows_per_file,
         )
     except PySparkException as error:
         if REQUIRED_IS_NULL in str(error):
@@ -113,6 +122,7 @@ def bronze_ingest(
             totals = _write(
                 spark, lake, load, rows, load_date, "append" if late else mode,
                 profile_totals(columns, load.refuse_ragged),
+                lake.rows_per_file(sampled_row_chars(scan.drop(RAGGED))),
             )
         if totals is None:
             profile = profile_load(scan, load_date, load.null_markers)

@@ -15,6 +15,10 @@ from stratalake.schemas import LOAD_DATE
 from stratalake.workspace import delete_path, path_exists
 
 
+TABLE_FORMAT = "parquet"
+"""Format of the files of all tables."""
+
+
 def create_database(spark: SparkSession, lake: Lake, name: str) -> None:
     database = lake.database(name)
     location = sql_text(f"{lake.root}/{database}")
@@ -39,10 +43,10 @@ def create_table(spark: SparkSession, lake: Lake, table: LakeTable) -> None:
     columns = ", ".join(_column_ddl(f) for f in table.schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.full_name(lake)} ({columns}) "
-        f"USING {lake.table_format} PARTITIONED BY ({', '.join(table.partition_by)}) "
+        f"USING {TABLE_FORMAT} PARTITIONED BY ({', '.join(table.partition_by)}) "
         f"LOCATION {sql_text(table.path(lake))}"
     )
-    if has_data and _tracks_partitions(lake):
+    if has_data:
         spark.catalog.recoverPartitions(table.full_name(lake))
 
 
@@ -58,11 +62,6 @@ def table_exists(spark: SparkSession, lake: Lake, table: LakeTable) -> bool:
     return spark.catalog.tableExists(table.full_name(lake))
 
 
-def _tracks_partitions(lake: Lake) -> bool:
-    """File tables list their partitions in the catalog; Delta keeps them in its own log."""
-    return lake.table_format != "delta"
-
-
 def evolve_table(spark: SparkSession, lake: Lake, table: LakeTable, df: DataFrame) -> list[str]:
     """Add the columns ``df`` has and the table lacks; older slices read them as null.
 
@@ -147,11 +146,11 @@ def write_slices(
         extra.append(F.collect_set(LOAD_DATE).alias("load_dates"))
     out = df.observe(written, _counted(df, load_dates), *extra).select(*columns)
     options = {"maxRecordsPerFile": rows_per_file} if rows_per_file else {}
-    writer = out.write.format(lake.table_format).options(**options)
+    writer = out.write.format(TABLE_FORMAT).options(**options)
     whole = len(fixed) == len(table.partition_by)
-    if mode == "append" and whole and _tracks_partitions(lake):
+    if mode == "append" and whole:
         # Straight into the slice, so that appends to other slices can run at the same time.
-        rows = out.drop(*fixed).write.format(lake.table_format).options(**options)
+        rows = out.drop(*fixed).write.format(TABLE_FORMAT).options(**options)
         rows.mode("append").save(slice_path(lake, table, fixed[LOAD_DATE], within))
     elif mode == "append":
         writer.mode("append").partitionBy(*table.partition_by).save(table.path(lake))
@@ -180,14 +179,10 @@ def _register(
 ) -> None:
     """Tell the catalog about the partitions of a write."""
     name = table.full_name(lake)
-    if _tracks_partitions(lake):
-        deeper = "".join(f", {c} = {sql_text(v)}" for c, v in within.items())
-        specs = [
-            f"PARTITION ({LOAD_DATE} = {sql_text(d)}{deeper})"
-            for d in load_dates
-        ]
-        if specs:
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
+    deeper = "".join(f", {c} = {sql_text(v)}" for c, v in within.items())
+    specs = [f"PARTITION ({LOAD_DATE} = {sql_text(d)}{deeper})" for d in load_dates]
+    if specs:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs)}")
     spark.catalog.refreshTable(name)
 
 
@@ -201,9 +196,6 @@ def slice_path(
 
 def slices(spark: SparkSession, lake: Lake, table: LakeTable) -> list[str]:
     """Load dates the table holds."""
-    if not _tracks_partitions(lake):
-        dates = spark.table(table.full_name(lake)).select(LOAD_DATE).distinct()
-        return sorted(row[0] for row in dates.toLocalIterator())
     rows = spark.sql(f"SHOW PARTITIONS {table.full_name(lake)}").toLocalIterator()
     return sorted({row[0].split("/")[0].split("=", 1)[1] for row in rows})
 
@@ -212,9 +204,6 @@ def drop_slice(spark: SparkSession, lake: Lake, table: LakeTable, load_date: str
     """Remove one load date."""
     value = sql_text(load_date)
     name = table.full_name(lake)
-    if not _tracks_partitions(lake):
-        spark.sql(f"DELETE FROM {name} WHERE {LOAD_DATE} = {value}")
-        return
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({LOAD_DATE} = {value})")
     delete_path(spark, slice_path(lake, table, load_date))
     spark.catalog.refreshTable(name)

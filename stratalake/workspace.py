@@ -63,6 +63,13 @@ def delete_file(spark: SparkSession, path: str) -> bool:
     return file_system.delete(hadoop_path, False)
 
 
+def move_file(spark: SparkSession, path: str, folder: str) -> None:
+    """Move a file into a folder, under its own name."""
+    file_system, hadoop_path = _file_system(spark, path)
+    if not file_system.rename(hadoop_path, _path(spark, f"{folder}/{hadoop_path.getName()}")):
+        raise OSError(f"{path} could not be moved to {folder}")
+
+
 def folder_entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """Path of each entry of a folder, and whether it is a folder itself."""
     file_system, hadoop_path = _file_system(spark, path)
