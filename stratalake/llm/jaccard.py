@@ -18,10 +18,10 @@ from stratalake.llm.registry import query
 
 #: Token orders whose prefix filters a candidate must pass.
 ORDERS = 3
-#: Pivots of a token group in the first round; four times as many in each round after it.
+#: Pivots of a token group in the first round; sixteen times as many in each round after it.
 _PIVOTS = 16
 
-_SET = "doc_id long, n long, digest binary, prefix array<long>, others array<binary>, tokens binary"
+_SET = "doc_id long, n long, digest binary, prefix array<struct<token: long, place: int>>, others array<binary>, tokens binary"
 _LINK = "a long, b long"
 
 
@@ -50,16 +50,18 @@ def jaccard_links(
     all documents), and within a class by one of three hashes: three global orders. Of n tokens in
     an order, similar sets share one of the first n - ceil(percent * n / 100) + 1. Documents that share
     such a token in the first order are candidates if they do so in the others too; then the whole sets
-    are compared. Tokens of one document only are not sent, equal sets are one class, and token groups
-    with the same members are one group.
+    are compared. A shared token at places i and j bounds the intersection by what comes from there on, so a
+    pair is only taken where min(n - i, m - j) suffices, as it does at the first token two similar sets share.
+    Tokens of one document only are not sent, equal sets are one class, and token groups with the same
+    members are one group, that of the first token in the order.
 
-    Large groups are not paired out: each round compares sixteen members (then 64, 256 …) with those of
+    Large groups are not paired out: each round compares sixteen members (then 256, 4,096 …) with those of
     their group that are not in their component yet. A pivot leaves its group, and a group ends when it
     lies in one component or every pair left has been compared, so no link between components is lost.
 
-    Null, empty and blank texts have no shingles and link with nothing. A null id orders last. Rows of one id are one
-    document, whose sets link as any others. An empty table gives no rows. Only the named columns are
-    read. Returns ``doc_id``, ``n_shingles``, ``component_id`` and ``class_id`` (the smallest id of an
+    Null, empty and blank texts have no shingles and link with nothing. A null id orders last. Rows of one
+    id are one document, whose sets link as any others. An empty table gives no rows. Only the named columns
+    are read. Returns ``doc_id``, ``n_shingles``, ``component_id`` and ``class_id`` (the smallest id of an
     equal set) for every row.
     """
     packs = packed(docs, id_col, text_col)
@@ -77,8 +79,7 @@ def jaccard_links(
         .dropDuplicates(["doc_id", "tokens"]),
         "set-firsts",
     )
-    links = _linked(firsts, percent)
-    groups = components(links).withColumnRenamed("id", "class_id")
+    groups = _labelled(firsts, percent).withColumnRenamed("id", "class_id")
     named = sets.select("doc_id", "n", "digest").join(classes, "digest", "left").join(groups, "class_id", "left")
     known = {
         "doc_id": F.col("doc_id"),
@@ -104,12 +105,14 @@ def _sets_of(k: int, percent: int):
             edges = np.searchsorted(doc, np.arange(len(ids) + 1))
             n = np.diff(edges)
             length = prefix_length(n, percent)
-            firsts = []
+            firsts, places = [], None
             for order in range(ORDERS):
                 rank = mix(h ^ np.uint64(0x9E37 * (order + 1)))
                 placed = np.lexsort((rank, rarity, doc))
                 in_prefix = np.arange(len(h)) - edges[doc] < length[doc]
-                firsts.append(placed[in_prefix & (counts[placed] > 1)])
+                at = np.flatnonzero(in_prefix & (counts[placed] > 1))
+                firsts.append(placed[at])
+                places = at - edges[doc[at]] if places is None else places
             bounds = [np.searchsorted(doc[f], np.arange(len(ids) + 1)) for f in firsts]
             seen: dict[bytes, int] = {}
             digests = [xxhash.xxh3_128_digest(h[a:z].tobytes()) for a, z in zip(edges[:-1], edges[1:])]
@@ -120,13 +123,18 @@ def _sets_of(k: int, percent: int):
             for i in range(len(ids)):
                 cuts = [f[b[i] : b[i + 1]] for f, b in zip(firsts, bounds)]
                 going = bool(n[i]) and seen[digests[i]] == i and all(len(c) for c in cuts)
-                out["prefix"].append(h[cuts[0]].view(np.int64) if going else None)
+                if going:
+                    place = places[bounds[0][i] : bounds[0][i + 1]]
+                    tokens = h[cuts[0]].view(np.int64)
+                    out["prefix"].append([{"token": t, "place": p} for t, p in zip(tokens.tolist(), place.tolist())])
+                else:
+                    out["prefix"].append(None)
                 out["others"].append([np.sort(h[c]).tobytes() for c in cuts[1:]] if going else None)
                 out["tokens"].append(h[edges[i] : edges[i + 1]].tobytes() if going else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array(out["prefix"], pa.list_(pa.int64())),
+                    pa.array(out["prefix"], pa.list_(pa.struct([("token", pa.int64()), ("place", pa.int32())]))),
                     pa.array(out["others"], pa.list_(pa.binary())),
                     pa.array(out["tokens"], pa.binary()),
                 ],
@@ -136,46 +144,66 @@ def _sets_of(k: int, percent: int):
     return run
 
 
-def _linked(firsts: DataFrame, percent: int) -> DataFrame:
-    """Links between first documents of classes: enough of them to join what any chain of links joins."""
-    entries = firsts.select("doc_id", "n", F.explode("prefix").alias("token"))
+def _labelled(firsts: DataFrame, percent: int) -> DataFrame:
+    """The component of each first document of a class that has a candidate: ``id`` and ``component``."""
+    entries = firsts.select("doc_id", "n", F.explode("prefix").alias("p")).select("doc_id", "n", "p.token", "p.place")
     members = entries.groupBy("token").agg(
         F.count("*").alias("q"),
         F.bit_xor(F.xxhash64("doc_id")).alias("x"),
         F.bit_xor(F.xxhash64("doc_id", F.lit(5))).alias("y"),
+        F.sum("place").alias("place"),
     ).where("q > 1")
-    # Tokens with the same members are one group.
-    groups = members.groupBy("q", "x", "y").agg(F.min("token").alias("token")).select("token")
-    entries = stored(entries.join(groups, "token"), "token-entries")
-    labels, links, pivots, round_ = None, None, _PIVOTS, 0
+    # Of tokens with the same members, the first in the order stands for all.
+    groups = members.groupBy("q", "x", "y").agg(F.min(F.struct("place", "token"))["token"].alias("token")).select("token")
+    # The largest partner that what follows the place leaves room for.
+    reach = F.floor((100 * F.col("n") - (100 + percent) * F.col("place")) / percent)
+    entries = stored(entries.join(groups, "token").withColumn("reach", reach), "token-entries")
+    sizes = entries.groupBy("token", "n").agg(F.max("reach").alias("mr")).withColumnsRenamed({"token": "t", "n": "m"})
+    # Members without any partner in reach, on either side, go before pairs are made.
+    possible = (F.col("token") == F.col("t")) & (F.col("m") <= F.col("reach")) & (F.col("mr") >= F.col("n"))
+    entries = stored(entries.join(sizes, possible, "left_semi"), "token-entries")
+    labels = stored(entries.select("doc_id").distinct().withColumn("label", F.col("doc_id")), "labels")
+    pivots, round_ = _PIVOTS, 0
     while True:
-        if labels is None:
-            marked = entries.withColumn("label", F.col("doc_id"))
-        else:
-            marked = entries.join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+        marked = entries.join(labels, "doc_id")
         open_ = (
             marked.groupBy("token")
             .agg(F.count("*").alias("q"), F.min("label").alias("l"), F.max("label").alias("m"))
             .where("l <> m")
             .select("token", "q")
         )
-        luck = F.pmod(F.xxhash64("doc_id", F.lit(round_)), F.ceil(F.col("q") / pivots).cast("long"))
-        marked = stored(marked.join(open_, "token").withColumn("pivot", luck == 0), "token-round")
+        # The same documents are pivots of all groups of their size.
+        luck = F.xxhash64("doc_id", F.lit(round_)) / (2.0**64) + 0.5
+        chosen = (F.col("q") <= pivots) | (luck * F.col("q") < pivots)
+        marked = stored(marked.join(open_, "token").withColumn("pivot", chosen), "token-round")
         # Members one at a time against the pivots of their group; equal pairs of many groups are one.
-        pair = marked.where("pivot").select("token", F.col("doc_id").alias("p"), F.col("n").alias("pn"), F.col("label").alias("pl"))
-        near = (F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent) & (F.col("label") != F.col("pl"))
+        names = {"doc_id": "p", "n": "pn", "label": "pl", "reach": "pr"}
+        pair = marked.where("pivot").select("token", *(F.col(c).alias(n) for c, n in names.items()))
+        near = (F.col("n") <= F.col("pr")) & (F.col("pn") <= F.col("reach")) & (F.col("label") != F.col("pl"))
         candidates = (
             marked.join(pair, "token").where(near)
             .select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b"))
             .where("a <> b").distinct()
         )
-        new = _verified(candidates, firsts, percent)
-        links = new if links is None else stored(links.unionByName(new), "all-links")
-        entries = marked.where("NOT pivot").select("token", "doc_id", "n")
+        links = _verified(candidates, firsts, percent)
+        if not links.isEmpty():
+            labels = _relabelled(labels, links)
+        entries = marked.where("NOT pivot").select("token", "doc_id", "n", "reach")
         if entries.isEmpty():
-            return links
-        labels = components(links).select(F.col("id").alias("doc_id"), F.col("component").alias("label"))
-        pivots, round_ = pivots * 4, round_ + 1
+            return labels.select(F.col("doc_id").alias("id"), F.col("label").alias("component"))
+        pivots, round_ = pivots * 16, round_ + 1
+
+
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels joined by links: only the links between components are looked at again."""
+    ends = [labels.select(F.col("doc_id").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b")]
+    between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    joined = components(between)
+    return stored(
+        labels.join(joined, F.col("label") == F.col("id"), "left")
+        .select("doc_id", F.coalesce("component", "label").alias("label")),
+        "labels",
+    )
 
 
 def _verified(candidates: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
