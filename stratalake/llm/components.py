@@ -15,12 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     neighbours are combined before they are shuffled, and no neighbourhood is ever collected.
     """
     edges = stored(_ordered(links), "links")
-    state = _digest(edges)
-    while True:
+    while not _all_stars(edges):
         edges = stored(_small_star(_large_star(edges)), "links")
-        seen, state = state, _digest(edges)
-        if seen == state:
-            break
     roots = edges.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
 
@@ -31,8 +27,12 @@ def _ordered(links: DataFrame) -> DataFrame:
     return pair.distinct()
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 65521)).first())
+def _all_stars(edges: DataFrame) -> bool:
+    """True when no node has two smaller neighbours, nor a smaller and a larger one."""
+    lower = edges.select(F.col("a").alias("v"), F.lit(1).alias("lower"), F.lit(0).alias("upper"))
+    upper = edges.select(F.col("b").alias("v"), F.lit(0).alias("lower"), F.lit(1).alias("upper"))
+    sides = lower.unionByName(upper).groupBy("v").agg(F.sum("lower").alias("lower"), F.max("upper").alias("upper"))
+    return sides.where("lower + upper > 1 AND lower > 0").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
     moved = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.where("a <> b").distinct()
+    return moved.where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
