@@ -6,7 +6,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.workspace import new_folder
+from stratalake.workspace import delete_path, new_folder
 
 #: A word of the mixing and joining contracts: what lies between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,6 +19,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of stored rows that nothing reads any more."""
+    for df in frames:
+        for file in df.inputFiles()[:1]:
+            delete_path(df.sparkSession, file.rsplit("/", 1)[0])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import stored, table
+from stratalake.llm.common import discard, stored, table
 from stratalake.llm.components import components
 from stratalake.llm.hashing import NOT_SPACE, distinct, mix, shingles, words
 from stratalake.llm.packs import NO_ID, Counts, Docs, packed, rows_of, shared_keys, unpacked
@@ -68,6 +68,7 @@ def jaccard_links(
     counts = shared_keys(packs, lambda d: shingle_sets(d, words_per_shingle)[0], bytes_per_key=7.0)
     joined = packs.join(counts, "pack", "left")
     sets = stored(joined.mapInArrow(_sets_of(words_per_shingle, percent), _SET), "shingle-sets")
+    discard(packs, counts)
     classes = stored(
         sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("class_id")), "set-classes"
     )
@@ -75,11 +76,11 @@ def jaccard_links(
     firsts = stored(
         sets.where("tokens IS NOT NULL")
         .join(classes.withColumnRenamed("digest", "_digest"), (F.col("digest") == F.col("_digest")) & (F.col("doc_id") == F.col("class_id")))
-        .select("doc_id", "n", "prefix", "others", "tokens")
-        .dropDuplicates(["doc_id", "tokens"]),
+        .select("doc_id", "n", "prefix", "others", "tokens"),
         "set-firsts",
     )
     groups = _labelled(firsts, percent).withColumnRenamed("id", "class_id")
+    discard(firsts)
     named = sets.select("doc_id", "n", "digest").join(classes, "digest", "left").join(groups, "class_id", "left")
     known = {
         "doc_id": F.col("doc_id"),
@@ -147,9 +148,10 @@ def _sets_of(k: int, percent: int):
 def _labelled(firsts: DataFrame, percent: int) -> DataFrame:
     """The component of each first document of a class that has a candidate: ``id`` and ``component``."""
     entries = firsts.select("doc_id", "n", F.explode("prefix").alias("p")).select("doc_id", "n", "p.token", "p.place")
+    entries = entries.distinct()
     members = entries.groupBy("token").agg(
         F.count("*").alias("q"),
-        F.bit_xor(F.xxhash64("doc_id")).alias("x"),
+        F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("x"),
         F.bit_xor(F.xxhash64("doc_id", F.lit(5))).alias("y"),
         F.sum("place").alias("place"),
     ).where("q > 1")
