@@ -33,11 +33,16 @@ _HIT_ARROW = pa.list_(pa.struct([
 ]))
 
 
-def fingerprints(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """SimHash of the shingles from ``first`` to before ``last`` of each window, each as often as it occurs."""
+def bit_sums(hashes: np.ndarray) -> np.ndarray:
+    """Running sums of the bits of shingles, 1 for a set bit and -1 for any other."""
     bits = ((hashes[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(np.int32) * 2 - 1
     sums = np.zeros((len(hashes) + 1, 64), np.int32)
     np.cumsum(bits, axis=0, out=sums[1:])
+    return sums
+
+
+def fingerprints(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """SimHash of the shingles from ``first`` to before ``last`` of each window, each as often as it occurs."""
     positive = (sums[last] - sums[first]) > 0
     return np.packbits(positive, axis=1, bitorder="little").view(np.uint64).ravel()
 
@@ -101,7 +106,8 @@ class Benchmark:
                 by_size.setdefault(len(h), []).append((item_id, s))
         self.groups = []
         for size, members in sorted(by_size.items()):
-            prints = np.array([fingerprints(s, np.array([0]), np.array([len(s)]))[0] for _, s in members], np.uint64)
+            zero = np.array([0])
+            prints = np.concatenate([fingerprints(bit_sums(s), zero, zero + len(s)) for _, s in members])
             bags = [Counter(s.tolist()) for _, s in members]
             self.groups.append(ItemGroup(size, [i for i, _ in members], bags, BlockIndex(prints)))
         #: Shingle lengths in use, and the shingles of items for each.
@@ -110,6 +116,10 @@ class Benchmark:
             n: np.array(sorted({s for g in self.groups if min(k, g.size) == n for bag in g.bags for s in bag}), np.uint64)
             for n in self.lengths
         }
+        #: For each of them, which leading bits some shingle has: a quick look before the exact one.
+        self.leading = {n: np.zeros(1 << 20, bool) for n in self.lengths}
+        for n, known in self.known.items():
+            self.leading[n][known >> np.uint64(44)] = True
 
 
 def find_items(offsets: np.ndarray, data: np.ndarray, benchmark: Benchmark, threshold: float) -> list[list[dict]]:
@@ -125,14 +135,16 @@ def find_items(offsets: np.ndarray, data: np.ndarray, benchmark: Benchmark, thre
         whole = n_words[of] >= k
         s, of, at = s[whole], of[whole], at[whole]
         known = benchmark.known[k]
-        flag = known[np.minimum(np.searchsorted(known, s), len(known) - 1)] == s
+        flag = benchmark.leading[k][s >> np.uint64(44)]
+        maybe = np.flatnonzero(flag)
+        flag[maybe] = known[np.minimum(np.searchsorted(known, s[maybe]), len(known) - 1)] == s[maybe]
         if not flag.any():
             continue
         # Documents without any shingle of an item have no similar window.
         docs = np.unique(of[flag])
         keep = np.isin(of, docs)
         s, of, at, flag = s[keep], of[keep], at[keep], flag[keep]
-        seen = np.r_[0, np.cumsum(flag)]
+        seen, sums = np.r_[0, np.cumsum(flag)], bit_sums(s)
         start_of = np.searchsorted(of, docs)
         count_of = np.searchsorted(of, docs, side="right") - start_of
         for group in benchmark.groups:
@@ -144,13 +156,14 @@ def find_items(offsets: np.ndarray, data: np.ndarray, benchmark: Benchmark, thre
             row = np.repeat(np.arange(len(docs)), windows)
             begin = start_of[row] + np.arange(windows.sum()) - np.repeat(np.r_[0, np.cumsum(windows)[:-1]], windows)
             end = begin + span[row]
-            # A window without a shingle of an item has similarity 0.
-            live = np.flatnonzero(seen[end] > seen[begin])
+            # Similar bags share threshold/(1 + threshold) of their shingles together, or more: windows with
+            # fewer shingles of items than that are similar to none.
+            least = threshold / (1 + threshold) * (span[row] + group.size - k + 1)
+            live = np.flatnonzero(seen[end] - seen[begin] >= least - 1e-9)
             for a in range(0, len(live), 1 << 14):
                 b, e = begin[live[a : a + (1 << 14)]], end[live[a : a + (1 << 14)]]
-                low, high = int(b.min()), int(e.max())
-                prints = fingerprints(s[low:high], b - low, e - low)
-                for place, item, distance in zip(*(x.tolist() for x in group.index.search(prints))):
+                found_pairs = group.index.search(fingerprints(sums, b, e))
+                for place, item, distance in zip(*(x.tolist() for x in found_pairs)):
                     similarity = _similarity(Counter(s[b[place] : e[place]].tolist()), group.bags[item])
                     if similarity >= threshold:
                         d = int(of[b[place]])
@@ -186,7 +199,7 @@ def hits_column(benchmark: Benchmark, threshold: float):
         for column in texts:
             offsets, data = text_buffers(column)
             found: list[list[dict]] = []
-            for a, z in slices(offsets):
+            for a, z in slices(offsets, max_bytes=2 << 20, max_rows=4096):
                 found += find_items(offsets[a : z + 1] - offsets[a], data[offsets[a] : offsets[z]], benchmark, threshold)
             yield pa.array(found, _HIT_ARROW)
 
@@ -206,12 +219,12 @@ def contaminated(
     """Every document with every benchmark item that one of its windows is similar to.
 
     Words are runs of letters and digits, A-Z lower-cased. For an item of m words, every window of m words
-    of a document (all of a shorter one) that has a shingle of some item gets a 64-bit SimHash of its
+    of a document (all of a shorter one) that holds enough shingles of items gets a 64-bit SimHash of its
     shingles, weighted by how often they occur. An index of four 16-bit blocks finds all fingerprints
     within 15 bits: two of them differ by three bits at most in some block. The shingles of those windows
     are then compared exactly: the sum of the smaller counts over the sum of the larger must reach the
-    threshold. An item of fewer words than a shingle is one shingle. Windows without a shingle of any item
-    have similarity 0 and get no fingerprint.
+    threshold. An item of fewer words than a shingle is one shingle. Windows with so few shingles of items
+    that they cannot reach the threshold get no fingerprint.
 
     Null and empty texts and items hold nothing. Items of equal text are all found; a repeated row is found
     for itself; an empty table gives no rows. Only the named columns are read. Returns ``doc_id``,
