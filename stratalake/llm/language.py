@@ -1,4 +1,4 @@
-"""Language identification: the family first, then one-versus-rest linear machines within it."""
+"""Language identification: the family first, then one linear machine for each pair of its languages."""
 
 from __future__ import annotations
 
@@ -86,28 +86,80 @@ class Machines:
         return p / p.sum(axis=1, keepdims=True)
 
 
+@dataclass
+class PairMachines:
+    """One linear machine for each pair of names, in the order of ``pairs_of``, and their temperature."""
+
+    names: list[str]
+    weights: np.ndarray
+    bias: np.ndarray
+    temperature: float = 1.0
+
+    def probabilities(self, rows: np.ndarray) -> np.ndarray:
+        """Pairwise probabilities r coupled as 1 / (sum of 1 / r over the others - (k - 2)), set to sum to 1.
+
+        As r is logistic in the margin, that is 1 / (1 + sum of exp(-margin) over the others).
+        """
+        margins = np.clip((rows @ self.weights + self.bias) * self.temperature, -50, 50).astype(np.float64)
+        against = np.ones((len(rows), len(self.names)))
+        for p, (i, j) in enumerate(pairs_of(len(self.names))):
+            against[:, i] += np.exp(-margins[:, p])
+            against[:, j] += np.exp(margins[:, p])
+        p = 1 / against
+        return p / p.sum(axis=1, keepdims=True)
+
+
+def pairs_of(n: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(n) for j in range(i + 1, n)]
+
+
 def fit_machines(rows: np.ndarray, names: list[str], steps: int = 200, penalty: float = 1e-4) -> Machines:
-    """Squared-hinge machines of the names, with the temperature fitted on every fifth row left out."""
+    """Squared-hinge machines of each name against all others, with a fitted temperature."""
+
+    def fit(rows: np.ndarray, place: np.ndarray, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
+        sign = np.where(place[:, None] == np.arange(n_classes), 1.0, -1.0).astype(np.float32)
+        return _hinge(rows, sign, steps, penalty)
+
+    return _tempered(Machines, fit, rows, names)
+
+
+def fit_pairs(rows: np.ndarray, names: list[str], steps: int = 200, penalty: float = 1e-4) -> PairMachines:
+    """Squared-hinge machines, one for each pair of names on the rows of these two, with a fitted temperature."""
+
+    def fit(rows: np.ndarray, place: np.ndarray, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
+        found = []
+        for i, j in pairs_of(n_classes):
+            both = (place == i) | (place == j)
+            sign = np.where(place[both, None] == i, 1.0, -1.0).astype(np.float32)
+            found.append(_hinge(rows[both], sign, steps, penalty))
+        return np.hstack([w for w, _ in found]), np.concatenate([b for _, b in found])
+
+    return _tempered(PairMachines, fit, rows, names)
+
+
+def _tempered(kind, fit, rows: np.ndarray, names: list[str]):
+    """Machines of the names, with the temperature fitted on every fifth row left out."""
     classes = sorted(set(names))
     place = np.array([classes.index(n) for n in names])
     if len(classes) == 1:
-        return Machines(classes, np.zeros((rows.shape[1], 1), np.float32), np.zeros(1, np.float32))
+        n = 1 if kind is Machines else 0
+        return kind(classes, np.zeros((rows.shape[1], n), np.float32), np.zeros(n, np.float32))
     aside = np.arange(len(rows)) % 5 == 4
-    found = _hinge(rows[~aside], place[~aside], len(classes), steps, penalty)
+    found = fit(rows[~aside], place[~aside], len(classes))
     held, truth = rows[aside], place[aside]
     losses = []
     for t in 2.0 ** np.arange(-2, 7):
-        trial = Machines(classes, *found, t)
+        trial = kind(classes, *found, t)
         losses.append((-np.log(trial.probabilities(held)[np.arange(len(held)), truth] + 1e-12).mean(), t))
-    return Machines(classes, *_hinge(rows, place, len(classes), steps, penalty), min(losses)[1])
+    return kind(classes, *fit(rows, place, len(classes)), min(losses)[1])
 
 
-def _hinge(rows, place, n_classes, steps, penalty) -> tuple[np.ndarray, np.ndarray]:
-    sign = np.where(place[:, None] == np.arange(n_classes), 1.0, -1.0).astype(np.float32)
-    # Each machine weighs its own class as much as all others together.
+def _hinge(rows: np.ndarray, sign: np.ndarray, steps: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
+    """A machine for each column of signs."""
+    # Each machine weighs both of its sides the same.
     share = np.maximum((sign > 0).mean(axis=0), 1e-6)
     weight = np.where(sign > 0, 0.5 / share, 0.5 / np.maximum(1 - share, 1e-6)).astype(np.float32)
-    w, b = np.zeros((rows.shape[1], n_classes), np.float32), np.zeros(n_classes, np.float32)
+    w, b = np.zeros((rows.shape[1], sign.shape[1]), np.float32), np.zeros(sign.shape[1], np.float32)
     m = [np.zeros_like(w), np.zeros_like(b), np.zeros_like(w), np.zeros_like(b)]
     for t in range(1, steps + 1):
         slack = np.maximum(0, 1 - sign * (rows @ w + b)) * weight
@@ -121,10 +173,10 @@ def _hinge(rows, place, n_classes, steps, penalty) -> tuple[np.ndarray, np.ndarr
 
 @dataclass
 class LanguageModel:
-    """Machines between families, and between the languages of each."""
+    """Machines of each family against the others, and between each two languages of a family."""
 
     families: Machines
-    members: Mapping[str, Machines] = field(default_factory=dict)
+    members: Mapping[str, PairMachines] = field(default_factory=dict)
 
     def predict(self, rows: np.ndarray) -> tuple[list[str], np.ndarray]:
         by_family = self.families.probabilities(rows)
@@ -179,7 +231,7 @@ def fit_languages(docs: DataFrame, may_learn: Column, sample_rows: int = SAMPLE_
     members = {}
     for family in sorted(set(families)):
         mine = [i for i, f in enumerate(families) if f == family]
-        members[family] = fit_machines(rows[mine], [names[i] for i in mine])
+        members[family] = fit_pairs(rows[mine], [names[i] for i in mine])
     return LanguageModel(fit_machines(rows, families), members)
 
 

@@ -59,3 +59,29 @@ def test_one_language_and_unknown_codes(spark):
     model = language.fit_languages(docs, F.lit(True))
     assert {r.lang_pred for r in language.identify(docs, model).collect()} == {"zz"}
     assert language.family_of("zz") == "zz" and language.family_of("pt") == "romance"
+
+
+def test_one_machine_for_each_pair_of_languages():
+    rng = np.random.default_rng(3)
+    names = [n for n in "abc" for _ in range(60)]
+    # The second class lies between the others: no line parts it from both.
+    middle = np.repeat([-1.0, 0.0, 1.0], 60)[:, None]
+    rows = (np.c_[middle, np.zeros(180)] + rng.normal(0, 0.1, (180, 2))).astype(np.float32)
+    model = language.fit_pairs(rows, names)
+    assert model.weights.shape == (2, 3)
+    p = model.probabilities(rows)
+    assert np.allclose(p.sum(axis=1), 1) and [model.names[i] for i in p.argmax(axis=1)] == names
+    # A machine knows the rows of its two names only.
+    outer = [i for i, n in enumerate(names) if n != "b"]
+    alone = language.fit_pairs(rows[outer], [names[i] for i in outer])
+    assert np.allclose(model.weights[:, 1], alone.weights[:, 0], atol=1e-4)
+
+
+def test_families_of_three_languages_have_three_machines(spark):
+    words = {"es": "el perro y la casa con los ojos", "pt": "o cachorro e a casa com os olhos não", "it": "il cane e la casa con gli occhi che"}
+    rows = [(3 * i + k, f"{words[lang]} {i}", lang) for i in range(40) for k, lang in enumerate(words)]
+    docs = documents(spark, rows).withColumn("lang", F.col("source"))
+    model = language.fit_languages(docs, F.lit(True))
+    assert model.members["romance"].weights.shape[1] == 3
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, model).collect()}
+    assert got == {i: lang for i, _, lang in rows}
