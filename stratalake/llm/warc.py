@@ -113,7 +113,8 @@ class _Archive:
         self.path, self.count, self.size = path, 0, 0
         trained = trained_dictionary(records)
         self.compressor = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(trained), write_checksum=True)
-        self.out = files.open_output_stream(path)
+        # Written and read as it is: the ending of the name must not choose a codec.
+        self.out = files.open_output_stream(path, compression=None)
         frame = zstandard.ZstdCompressor(level=3).compress(trained)
         self.write(struct.pack("<II", DICTIONARY_FRAME, len(frame)) + frame)
         for record in records:
@@ -180,7 +181,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 files, name = open_folder(path)
-                with files.open_input_stream(name) as stream:
+                with files.open_input_stream(name, compression=None) as stream:
                     rows: list[dict] = []
                     size = 0
                     for record in records_of(stream):

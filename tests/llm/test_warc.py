@@ -1,3 +1,5 @@
+import base64
+import hashlib
 import io
 import struct
 from pathlib import Path
@@ -67,6 +69,42 @@ def records(data):
     return list(warc.records_of(io.BytesIO(data)))
 
 
+def test_bytes_on_disk(spark, tmp_path):
+    """The dictionary stands in a skippable frame at the very start; each frame after it is one record, readable by offset."""
+    written, _ = read(spark, ROWS[:2], tmp_path / "w")
+    kinds = []
+    for row in written.collect():
+        data = Path(row.path.removeprefix("file://")).read_bytes()
+        assert data[:4] == bytes.fromhex("5D2A4D18")
+        (length,) = struct.unpack("<I", data[4:8])
+        dictionary = zstandard.ZstdDecompressor().decompress(data[8 : 8 + length])
+        reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
+        at = 8 + length
+        while at < len(data):
+            frame = reader.decompressobj()
+            record = frame.decompress(data[at:])
+            assert frame.eof and record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+            kinds.append(warc.parsed(record)["record_type"])
+            at = len(data) - len(frame.unused_data)
+    assert sorted(kinds) == ["response", "revisit"]
+
+
+def test_archive_of_another_writer(spark, tmp_path):
+    """An archive built here, by hand, with a plain dictionary and names that end in .zst, is read from a folder."""
+    payload, out = b"<p>elsewhere</p>", tmp_path / "other.warc.zst"
+    digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    block = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n%s" % (len(payload), payload)
+    record = (
+        f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:77>\r\nWARC-Date: 2020-01-01T00:00:00Z\r\n"
+        f"WARC-Target-URI: http://z/\r\nWARC-Payload-Digest: sha1:{digest}\r\nContent-Length: {len(block)}\r\n\r\n"
+    ).encode() + block + b"\r\n\r\n"
+    dictionary = b"WARC-Type: response HTTP/1.1 200 OK Content-Length: " * 8
+    compressor = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+    out.write_bytes(struct.pack("<II", 0x184D2A5D, len(dictionary)) + dictionary + compressor.compress(record))
+    got = warc.read_archives(spark.createDataFrame([(f"file://{out}",)], "path string")).collect()
+    assert [(r.page_id, r.url, bytes(r.payload)) for r in got] == [(77, "http://z/", payload)]
+
+
 def test_broken_archives_are_refused(spark, tmp_path):
     data = archive(spark, tmp_path)
     assert records(data)
@@ -77,7 +115,7 @@ def test_broken_archives_are_refused(spark, tmp_path):
 
 def test_broken_records_are_refused():
     row = {"page_id": 1, "url": "u", "payload": b"abc", "digest": bytes(20), "refers_to": None}
-    good = warc._record(row | {"digest": __import__("hashlib").sha1(b"abc").digest()})
+    good = warc._record(row | {"digest": hashlib.sha1(b"abc").digest()})
     assert warc.parsed(good)["payload"] == b"abc"
     changes = [
         (b"WARC/1.1", b"WORK/1.1"), (b"Content-Length: ", b"Content-Length: 1"), (b"abc", b"abd"), (b"WARC-Type", b"WARC Type"),
@@ -95,7 +133,7 @@ def test_broken_records_are_refused():
 def test_frames_hold_one_record_each():
     dictionary = b"WARC/1.1\r\nWARC-Type: response\r\n" * 4
     head = struct.pack("<II", warc.DICTIONARY_FRAME, len(dictionary)) + dictionary
-    good = warc._record({"page_id": 1, "url": None, "payload": b"", "digest": __import__("hashlib").sha1(b"").digest(), "refers_to": None})
+    good = warc._record({"page_id": 1, "url": None, "payload": b"", "digest": hashlib.sha1(b"").digest(), "refers_to": None})
     compressor = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
     assert len(records(head + compressor.compress(good) * 3)) == 3
     with pytest.raises(warc.WarcError):
