@@ -171,7 +171,8 @@ def find_items(offsets: np.ndarray, data: np.ndarray, benchmark: Benchmark, thre
                         key = (d, group.ids[item])
                         found[key] = min(found.get(key, hit), hit)
     hits: list[list[dict]] = [[] for _ in range(len(offsets) - 1)]
-    for (d, item), (similarity, distance, start, size) in sorted(found.items()):
+    for d, item in sorted(found, key=lambda key: (key[0], key[1] is not None, key[1] or 0)):
+        similarity, distance, start, size = found[d, item]
         hits[d].append({"item_id": item, "similarity": -similarity, "distance": distance, "start_word": start, "n_words": size})
     return hits
 
@@ -226,7 +227,8 @@ def contaminated(
     threshold. An item of fewer words than a shingle is one shingle. Windows with so few shingles of items
     that they cannot reach the threshold get no fingerprint.
 
-    Null and empty texts and items hold nothing. Items of equal text are all found; a repeated row is found
+    Null and empty texts and items hold nothing. An item without an id is found under a null id (all such
+    items in a document are one hit, the best), before those with one. Items of equal text are all found; a repeated row is found
     for itself; an empty table gives no rows. Only the named columns are read. Returns ``doc_id``,
     ``item_id`` and, of the best window (the first, in a tie), ``similarity``, ``distance``, ``start_word``
     and ``n_words``.

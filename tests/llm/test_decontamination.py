@@ -86,3 +86,12 @@ def test_index_finds_all_within_the_radius():
     full = np.bitwise_count(queries[:, None] ^ prints[None, :])
     want = {(q, i, int(full[q, i])) for q, i in zip(*np.nonzero(full <= decontamination.RADIUS))}
     assert set(zip(place.tolist(), item.tolist(), distance.tolist())) == want
+
+
+def test_items_without_an_id(spark):
+    text = "an item whose id is missing but whose words are all here"
+    items = spark.createDataFrame([(None, text), (5, text), (None, text + " too")], "item_id long, text string")
+    docs = documents(spark, [(1, text, "a"), (2, "clean words only", "a")])
+    got = decontamination.contaminated(docs, items).collect()
+    assert [(r.doc_id, r.item_id, r.similarity) for r in got] == [(1, None, 1.0), (1, 5, 1.0)]
+    assert [r.doc_id for r in decontamination.without_items(docs, items).collect()] == [2]
