@@ -99,3 +99,46 @@ def id_hash(column: Column) -> Column:
     """The first 32 bits of the md5 of an id as text, the same in Spark and in SQL."""
     digest = F.md5(F.coalesce(column.cast("string"), F.lit("")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
+def placed(df: DataFrame, groups: list[str], order: list[Column], name: str, total: str) -> DataFrame:
+    """Rows numbered from 0 within their group in a total order, and the rows of the group.
+
+    Rows are dealt to ranges of the groups and the order, so a group of any size fills as many partitions
+    as it needs; a row's number is its place in the partition and the counts of its group in those before.
+    ``order`` should tell the rows of a group apart: rows that it does not are kept in one partition.
+    Null is a group of its own. The result is stored.
+    """
+    ranges = [F.col(g).asc_nulls_first() for g in groups]
+    parted = stored(df.repartitionByRange(*ranges, *order).withColumn("_part", F.spark_partition_id()), "parted")
+    of_group = Window.partitionBy(*groups)
+    before = of_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # A row for each partition and each group within it.
+    offsets = parted.groupBy("_part", *groups).agg(F.count("*").alias("_here")).select(
+        F.col("_part").alias("_at"),
+        *(F.col(g).alias(f"_at_{g}") for g in groups),
+        F.coalesce(F.sum("_here").over(before), F.lit(0)).alias("_before"),
+        F.sum("_here").over(of_group).alias(total),
+    )
+    within = F.row_number().over(Window.partitionBy("_part", *groups).orderBy(*order))
+    same = F.col("_part") == F.col("_at")
+    for g in groups:
+        same &= F.col(g).eqNullSafe(F.col(f"_at_{g}"))
+    numbered_rows = parted.withColumn("_within", within).join(offsets, same)
+    result = stored(
+        numbered_rows.select(*df.columns, (F.col("_before") + F.col("_within") - 1).alias(name), total), "placed"
+    )
+    discard(parted)
+    return result
+
+
+#: A CTE for SQL, ``bits``: the table of the byte-wise checksum.
+SQL_BITS = """bits AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs)"""
+
+
+def sql_crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text in UTF-8; needs ``bits`` in its FROM clause."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+        regexp_extract_all(hex(encode({text})), '..'), lambda p: CAST('0x' || p AS BIGINT))),
+        lambda c, b: xor(c >> 8, crcs[CAST(xor(c, b) & 255 AS BIGINT) + 1])))"""
