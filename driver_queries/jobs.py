@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from unittest.mock import patch
 
 from pyspark.sql import functions as F
 
@@ -19,13 +20,15 @@ from stratalake.operators.quality import (
     metrics_complete,
     null_report,
     reconcile,
+    reconcile_content,
     required_columns,
 )
 from stratalake.plans.bronze import bronze_ingest
 from stratalake.plans.gold import gold_product_totals
 from stratalake.plans.run import run_layers
-from stratalake.plans.silver import silver_credit_customers
-from stratalake.schemas import BRONZE_METRICS, LOAD_DATE
+from stratalake.plans.silver import CUSTOMER_INPUT, PRODUCT_INPUT, silver_credit_customers
+from stratalake.schemas import BRONZE_METRICS, LOAD_DATE, REFINED_METRICS, SILVER_COLUMNS
+from stratalake.sinks.ledger import Ledger
 from stratalake.sinks.runlog import run_log
 from stratalake.sinks.stage import land_snapshot, purge_stage, snapshot_export
 from stratalake.sinks.tables import create_database, create_lake, write_slices
@@ -167,30 +170,93 @@ def _run_all_loads(spark, sf_dir):
     return views.finished(runs, lake)
 
 
+def _sql_chars(source: str, columns: list[str]) -> str:
+    """SQL for the text size, in megabytes, of rows written out with their names; nulls as None."""
+    fixed = len("Row()") + len(", ") * (len(columns) - 1) + sum(len(c) + 1 for c in columns)
+    values = " + ".join(f"coalesce(length({c}) + 2, 4)" for c in columns)
+    return f"(SELECT round(sum({fixed} + {values}) / 1048576.0, 2) FROM {source})"
+
+
+_DATED = {
+    "clientes": f"(SELECT *, '{FIRST}' AS {LOAD_DATE} FROM clientes)",
+    "produtos": f"(SELECT *, '{FIRST}' AS {LOAD_DATE} FROM produtos)",
+    "clientesxprod": f"(SELECT *, '{FIRST}' AS {LOAD_DATE} FROM clientesxprod)",
+}
+_READ_BY_SILVER = {
+    "clientes_limpos": CUSTOMER_INPUT,
+    "produtos_limpos": PRODUCT_INPUT,
+    _DATED["clientesxprod"]: [*views.ACQUISITION_NAMES, LOAD_DATE],
+}
+_SILVER_OF_DATE = f"({sql_silver('clientesxprod', 'clientes_limpos', 'produtos_limpos', '', '')})"
+
+
 @query(
     "run_metrics",
-    " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS number_lines_loaded,"
-        f" count(*) AS qtd_total_rows_insert, CAST({columns} AS BIGINT) AS num_columns_table,"
-        f" '{FIRST}' AS dat_carga, false AS alerta, true AS execution_succes FROM {source}"
-        for name, columns, source in (
-            ("clientes", 22, "clientes"),
-            ("produtos", 17, "produtos"),
-            ("clientesxprod", 6, "vendas"),
-        )
+    " UNION ALL ".join([
+        *(
+            f"SELECT 'bronze' AS layer, '{name}' AS table_name, count(*) AS rows_read, count(*) AS rows_in_slice,"
+            f" CAST({columns} AS BIGINT) AS num_columns_table,"
+            f" {_sql_chars(_DATED[name], [*names, LOAD_DATE])} AS data_size_mb_formatted,"
+            f" true AS files_counted, true AS timed, '{FIRST}' AS dat_carga, false AS alerta,"
+            f" true AS execution_succes, true AS stamped FROM {name}"
+            for name, columns, names in (
+                ("clientes", 22, views.CUSTOMER_NAMES),
+                ("produtos", 17, views.PRODUCT_NAMES),
+                ("clientesxprod", 6, views.ACQUISITION_NAMES),
+            )
+        ),
+        f"SELECT 'silver', 'clie_limit', count(*), count(*), CAST(13 AS BIGINT),"
+        f" {{silver_mb}}, true, true, '{FIRST}', false, true, true FROM {_SILVER_OF_DATE}",
+        f"SELECT 'gold', 'prod_contrat_diario', count(*), count(*), CAST(4 AS BIGINT),"
+        f" {{gold_mb}}, true, true, '{FIRST}', false, true, true"
+        f" FROM (SELECT DISTINCT prod_contratado FROM {_SILVER_OF_DATE})",
+    ])
+    .replace(
+        "{silver_mb}",
+        "(SELECT round((" + " + ".join(
+            _sql_chars(source, list(names)).replace("round(sum(", "sum(").replace(" / 1048576.0, 2)", "")
+            for source, names in _READ_BY_SILVER.items()
+        ) + ") / 1048576.0, 2))",
+    )
+    .replace(
+        "{gold_mb}",
+        _sql_chars(
+            f"(SELECT *, '{FIRST}' AS {LOAD_DATE} FROM {_SILVER_OF_DATE})", [n for n, _ in SILVER_COLUMNS] + [LOAD_DATE]
+        ),
     ),
 )
 def run_metrics(spark, sf_dir):
-    """The metrics of three loads that do not depend on clocks or file names."""
-    return _run_all_loads(spark, sf_dir).select(
-        "m.table_name",
-        "m.number_lines_loaded",
-        "m.qtd_total_rows_insert",
-        "m.num_columns_table",
-        "m.dat_carga",
-        "m.alerta",
-        "m.execution_succes",
-    )
+    """The metrics of one date in all layers; clocks and file counts by whether they are there."""
+    lake = views.new_lake(spark)
+    create_lake(spark, lake)
+    land_exports(spark, sf_dir, lake)
+    run_layers(spark, lake, FIRST)
+    document = F.get_json_object("document", "$.metrics")
+    parts = []
+    for schema, layers, read, in_slice in (
+        (BRONZE_METRICS, ("bronze",), "number_lines_loaded", "qtd_total_rows_insert"),
+        (REFINED_METRICS, ("silver", "gold"), "qtd_total_rows_insert", "qts_total_rows_insert_verify"),
+    ):
+        runs = run_log(spark, lake).where(F.col("layer").isin(*layers))
+        metrics = runs.select("layer", F.from_json(document, schema).alias("m"))
+        clocks = [F.col(f"m.{c}") >= 0 for c in ("load_total_time", "write_total_time", "total_execution")]
+        parts.append(
+            metrics.select(
+                "layer",
+                "m.table_name",
+                F.col(f"m.{read}").alias("rows_read"),
+                F.col(f"m.{in_slice}").alias("rows_in_slice"),
+                "m.num_columns_table",
+                "m.data_size_mb_formatted",
+                (F.col("m.num_files") > 0).alias("files_counted"),
+                (clocks[0] & clocks[1] & clocks[2]).alias("timed"),
+                "m.dat_carga",
+                "m.alerta",
+                "m.execution_succes",
+                F.col("m.datetime_execution").isNotNull().alias("stamped"),
+            )
+        )
+    return views.finished(union(parts), lake)
 
 
 @query(
@@ -245,6 +311,73 @@ def complete_metrics(spark, sf_dir):
     return views.finished(found, lake)
 
 
+@query(
+    "reconcile_content",
+    "SELECT dat_ref_carga, count(*) AS rows_loaded, count(*) AS rows_in_slice, false AS count_alert,"
+    f" dat_ref_carga <> '{FIRST}' AS alert FROM vendas GROUP BY dat_ref_carga",
+)
+def reconciled_content(spark, sf_dir):
+    """In every slice but the first a row is lost and another doubled: counts agree, contents do not."""
+    lake = views.new_lake(spark)
+    create_database(spark, lake, config.ACQUISITIONS.database)
+    rows = views.stored(views.dated_acquisitions(spark, sf_dir))
+    parts = []
+    for load_date in LOAD_DATES:
+        loaded = slice_of(rows, load_date)
+        stored = loaded
+        if load_date != FIRST:
+            single = loaded.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n = 1")
+            ends = single.agg(F.min("id").alias("lost"), F.max("id").alias("doubled")).first()
+            doubled = loaded.where(F.col("id") == ends["doubled"])
+            stored = loaded.where(F.col("id") != ends["lost"]).unionByName(doubled)
+        write_slices(spark, lake, config.ACQUISITIONS, stored, [load_date])
+        found = slice_of(scan_table(spark, lake, config.ACQUISITIONS), load_date)
+        parts.append(reconcile_content(loaded, found).withColumn(LOAD_DATE, F.lit(load_date)))
+    return views.finished(union(parts), lake)
+
+
+_STRICT = replace(BRONZE_LOADS["clientes"], required=("nome", "cargo"), bad_rows="quarantine")
+
+
+def _quarantined(spark, sf_dir):
+    lake = views.new_lake(spark)
+    create_lake(spark, lake)
+    land_masters(spark, sf_dir, lake, FIRST)
+    done = bronze_ingest(spark, lake, _STRICT, FIRST)
+    return lake, done
+
+
+@query(
+    "quarantine_good",
+    f"SELECT *, '{FIRST}' AS {LOAD_DATE} FROM clientes_limpos WHERE cargo IS NOT NULL",
+)
+def quarantine_good(spark, sf_dir):
+    """Of a load that requires a column with nulls, the good rows."""
+    lake, _ = _quarantined(spark, sf_dir)
+    return views.finished(scan_table(spark, lake, config.CUSTOMERS), lake)
+
+
+@query(
+    "quarantine_rejects",
+    "SELECT client_id, 'cargo is null' AS motivo, true AS from_a_staged_file, true AS adds_up,"
+    f" '{FIRST}' AS {LOAD_DATE} FROM clientes_limpos WHERE cargo IS NULL",
+)
+def quarantine_rejects(spark, sf_dir):
+    """Of the same load the refused rows, by the first value of their text; both add up to the input."""
+    lake, done = _quarantined(spark, sf_dir)
+    good = row_count(scan_table(spark, lake, config.CUSTOMERS)).first()["rows"]
+    rejects = scan_table(spark, lake, config.rejects_of(config.CUSTOMERS))
+    folder = stage_path(lake.stage_root, "clientes", FIRST)
+    found = rejects.select(
+        F.split("registro", ",")[0].alias("client_id"),
+        "motivo",
+        F.col("arquivo").contains(folder).alias("from_a_staged_file"),
+        F.lit(good + done.rejected == done.profile.rows).alias("adds_up"),
+        LOAD_DATE,
+    )
+    return views.finished(found, lake)
+
+
 # Jobs
 
 
@@ -376,12 +509,46 @@ def late_files(spark, sf_dir):
     for name, _ in folder_entries(spark, f"{lake.stage_root}/late"):
         if not name.endswith("_SUCCESS"):
             move_file(spark, name, folder)
-    purge_stage(spark, folder, done.input_files)
+    purge_stage(spark, folder, done.loaded)
     for _ in range(2):
         bronze_ingest(spark, lake, load, FIRST)
     return views.finished(scan_table(spark, lake, config.ACQUISITIONS).drop(LOAD_DATE), lake)
 
 
+class _Died(Exception):
+    """Stands for the death of a run."""
+
+
+def _die_before_the_end(*_):
+    raise _Died
+
+
+@query(
+    "crash_safe_load",
+    "SELECT id, cliente_id, produto_id, data_aquisicao, valor_aquisicao, false AS alert FROM clientesxprod",
+)
+def crash_safe_load(spark, sf_dir):
+    """Late files are written and committed by a run that dies before it notes that; the next run repeats it."""
+    lake = views.new_lake(spark)
+    create_lake(spark, lake)
+    rows = views.stored(views.acquisitions(spark, sf_dir))
+    load = BRONZE_LOADS["clientesxprod"]
+    folder = stage_path(lake.stage_root, "clientesxprod", FIRST)
+    early = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    snapshot_export(rows.where(early), folder)
+    done = bronze_ingest(spark, lake, load, FIRST)
+    purge_stage(spark, folder, done.loaded)
+    snapshot_export(rows.where(~early), folder)
+    with patch.object(Ledger, "end", _die_before_the_end):
+        try:
+            bronze_ingest(spark, lake, load, FIRST)
+        except JobFailed:
+            pass
+    repeated = bronze_ingest(spark, lake, load, FIRST)
+    found = scan_table(spark, lake, config.ACQUISITIONS).drop(LOAD_DATE)
+    return views.finished(found.withColumn("alert", F.lit(repeated.metrics["alerta"])), lake)
+
+
 @query("arrival_ingest", "SELECT * FROM vendas")
 def arrivals(spark, sf_dir):
     """Two dates arrive, then a third; each file is read once."""

@@ -11,10 +11,12 @@ from driver_queries.registry import query
 from driver_queries.sources import union
 from driver_queries.views import CUSTOMER_NAMES, FIRST, LOAD_DATES, SECOND
 from stratalake import config, schemas
-from stratalake.config import BRONZE_LOADS, WRITE_MODES
+from stratalake.config import ALL_TABLES, BRONZE_LOADS, DATABASES, WRITE_MODES
 from stratalake.errors import AlreadyLanded
 from stratalake.operators.profile import row_count
 from stratalake.plans.bronze import bronze_ingest
+from stratalake.plans.gold import gold_product_totals
+from stratalake.plans.silver import silver_credit_customers
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.runlog import run_log
 from stratalake.sinks.stage import first_row_peek, land_snapshot, purge_stage, snapshot_export
@@ -30,61 +32,106 @@ from stratalake.sources.tables import scan_table, slice_of
 from stratalake.workspace import new_folder
 
 
+# Rows of the five tables after one date: none in a new lake, then as many as the exports and joins give.
+_TABLE_ROWS = {
+    "clientes": "(SELECT count(*) FROM clientes)",
+    "produtos": "(SELECT count(*) FROM produtos)",
+    "clientesxprod": "(SELECT count(*) FROM vendas)",
+    "clie_limit": "(SELECT count(*) FROM vendas v JOIN produtos_limpos p USING (produto_id)"
+    " WHERE p.limite_credito IS NOT NULL)",
+    "prod_contrat_diario": "(SELECT count(DISTINCT p.nome) FROM vendas v JOIN produtos_limpos p USING (produto_id)"
+    " WHERE p.limite_credito IS NOT NULL)",
+}
+# Written out by hand: database, table, columns and how many of them have a comment.
+_TABLES = (
+    ("b_cad", "clientes", 22, 22),
+    ("b_cad", "produtos", 17, 17),
+    ("b_vend", "clientesxprod", 6, 6),
+    ("s_vend", "clie_limit", 13, 13),
+    ("g_vend", "prod_contrat_diario", 4, 4),
+)
+
+
+def _filled(spark, sf_dir, lake) -> None:
+    """The tables of a lake, filled for one date."""
+    write_slices(spark, lake, config.CUSTOMERS, views.clean_customers(spark, sf_dir), [FIRST])
+    write_slices(spark, lake, config.PRODUCTS, views.clean_products(spark, sf_dir), [FIRST])
+    write_slices(spark, lake, config.ACQUISITIONS, views.acquisitions(spark, sf_dir), [FIRST])
+    silver_credit_customers(spark, lake, FIRST)
+    gold_product_totals(spark, lake, FIRST)
+
+
 @query(
     "create_database",
-    "SELECT 'b_cad' AS database_name, true AS present,"
-    " (SELECT count(*) FROM clientes_datas) + (SELECT count(*) FROM produtos_datas) AS n_rows"
-    " UNION ALL SELECT 'b_vend', true, (SELECT count(*) FROM vendas)",
+    " UNION ALL ".join(
+        f"SELECT '{database}' AS database_name, false AS existed, true AS present, true AS twice_is_once,"
+        f" {' + '.join(_TABLE_ROWS[t] for d, t, *_ in _TABLES if d == database)} AS n_rows"
+        for database in ("b_cad", "b_vend", "s_vend", "g_vend")
+    ),
 )
 def databases(spark, sf_dir):
-    """The bronze databases and the rows of their tables."""
-    lake = views.bronze_lake(spark, sf_dir)
-    tables = {
-        "b_cad": (config.CUSTOMERS, config.PRODUCTS),
-        "b_vend": (config.ACQUISITIONS,),
-    }
-    parts = []
-    for database, members in tables.items():
+    """All databases of a lake that has none yet, made twice, and the rows of the tables then made in them."""
+    lake = views.new_lake(spark)
+    existed = {d: spark.catalog.databaseExists(lake.database(d)) for d in DATABASES}
+    present = {}
+    for database in DATABASES * 2:
         create_database(spark, lake, database)
-        present = spark.catalog.databaseExists(lake.database(database))
+        found = len(spark.catalog.listDatabases(lake.database(database)))
+        present.setdefault(database, []).append(found)
+    create_lake(spark, lake)
+    _filled(spark, sf_dir, lake)
+    parts = []
+    for database in DATABASES:
+        members = [t for t in ALL_TABLES if t.database == database]
         counted = union([row_count(scan_table(spark, lake, t)) for t in members])
         parts.append(
             counted.agg(F.sum("rows").alias("n_rows")).select(
-                F.lit(database).alias("database_name"), F.lit(present).alias("present"), "n_rows"
+                F.lit(database).alias("database_name"),
+                F.lit(existed[database]).alias("existed"),
+                F.lit(spark.catalog.databaseExists(lake.database(database))).alias("present"),
+                F.lit(present[database] == [1, 1]).alias("twice_is_once"),
+                "n_rows",
             )
         )
-    return union(parts)
+    return views.finished(union(parts), lake)
 
 
 @query(
     "create_table",
     " UNION ALL ".join(
-        f"SELECT '{t.name}' AS table_name, {len(t.schema)} AS n_columns,"
-        f" '{LOAD_DATE}' AS partition_column, {rows} AS n_rows"
-        for t, rows in (
-            (config.CUSTOMERS, "(SELECT count(*) FROM clientes_datas)"),
-            (config.PRODUCTS, "(SELECT count(*) FROM produtos_datas)"),
-            (config.ACQUISITIONS, "(SELECT count(*) FROM vendas)"),
-        )
+        f"SELECT '{database}' AS database_name, '{name}' AS table_name, {columns} AS n_columns,"
+        f" {commented} AS n_comments, '{LOAD_DATE}' AS partition_column, true AS below_the_root,"
+        f" {_TABLE_ROWS[name]} AS n_rows"
+        for database, name, columns, commented in _TABLES
     ),
 )
 def created_tables(spark, sf_dir):
-    """The bronze tables as the catalog describes them, with their rows."""
-    lake = views.bronze_lake(spark, sf_dir)
-    parts = []
-    for table in (config.CUSTOMERS, config.PRODUCTS, config.ACQUISITIONS):
+    """The five tables, made in an empty lake, as the catalog describes them, and the rows they then take."""
+    lake = views.new_lake(spark)
+    for database in DATABASES:
+        create_database(spark, lake, database)
+    described = {}
+    for table in ALL_TABLES:
         create_table(spark, lake, table)
         columns = spark.catalog.listColumns(table.full_name(lake))
-        partitions = [c.name for c in columns if c.isPartition]
+        detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table.full_name(lake)}").collect()}
+        described[table.name] = (columns, detail["Location"])
+    _filled(spark, sf_dir, lake)
+    parts = []
+    for table in ALL_TABLES:
+        columns, location = described[table.name]
         parts.append(
             row_count(scan_table(spark, lake, table)).select(
+                F.lit(table.database).alias("database_name"),
                 F.lit(table.name).alias("table_name"),
                 F.lit(len(columns)).alias("n_columns"),
-                F.lit(",".join(partitions)).alias("partition_column"),
+                F.lit(sum(bool(c.description) for c in columns)).alias("n_comments"),
+                F.lit(",".join(c.name for c in columns if c.isPartition)).alias("partition_column"),
+                F.lit(location.endswith(table.path(lake).split(":", 1)[-1].lstrip("/"))).alias("below_the_root"),
                 F.col("rows").alias("n_rows"),
             )
         )
-    return union(parts)
+    return views.finished(union(parts), lake)
 
 
 @query(
@@ -283,7 +330,7 @@ def purged(spark, sf_dir):
         done = bronze_ingest(spark, lake, load, load_date)
         if load_date == FIRST:
             rows.write.mode("append").option("header", True).csv(path)
-        outcome = purge_stage(spark, path, done.input_files)
+        outcome = purge_stage(spark, path, done.loaded)
         stored = slice_of(scan_table(spark, lake, config.ACQUISITIONS), load_date)
         parts.append(
             row_count(stored).select(

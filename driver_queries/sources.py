@@ -15,7 +15,7 @@ from stratalake.errors import BadInput, UnsupportedFormat
 from stratalake.functions.dates import load_date_of_path
 from stratalake.operators.profile import row_count
 from stratalake.plans.silver import CUSTOMER_INPUT
-from stratalake.schemas import LOAD_DATE
+from stratalake.schemas import FILE, LOAD_DATE
 from stratalake.sinks.stage import land_snapshot
 from stratalake.sources.stage import (
     add_load_date,
@@ -54,6 +54,32 @@ def scan_csv(spark, sf_dir):
     return scan_stage(spark, path, "csv")
 
 
+#: A description over three lines, with quotes and a carriage return.
+_LINES = "concat(descricao, chr(10), '\"', nome, '\",', chr(13), chr(10), 'fim')"
+
+
+@query(
+    "scan_csv_multiline",
+    f"SELECT {', '.join(c if c != 'descricao' else f'{_LINES} AS descricao' for c in PRODUCT_NAMES)}"
+    " FROM produtos",
+)
+def scan_csv_multiline(spark, sf_dir):
+    """An export in one file, with line breaks inside values, read by as many tasks as it has blocks."""
+    lake = views.new_lake(spark)
+    rows = views.products(spark, sf_dir).withColumn("descricao", F.expr(_LINES)).select(PRODUCT_NAMES)
+    path = land_snapshot(rows.coalesce(1), lake.stage_root, "produtos", FIRST)
+    length = list_files(spark, path).agg(F.max("length").alias("n")).first()["n"]
+    sizes = {"spark.sql.files.maxPartitionBytes": length // 16 + 1, "spark.sql.files.openCostInBytes": 0}
+    before = {name: spark.conf.get(name) for name in sizes}
+    try:
+        for name, size in sizes.items():
+            spark.conf.set(name, size)
+        return views.stored(scan_stage(spark, path, "csv", multiline=True).drop(FILE))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @query("scan_txt", "SELECT * FROM clientesxprod")
 def scan_txt(spark, sf_dir):
     lake = views.new_lake(spark)

@@ -76,7 +76,10 @@ class BronzeLoad:
     """How the dated files of one source become a bronze table.
 
     ``refuse_ragged`` fails a load with records of more or fewer values than their header; without it
-    they are counted and logged.
+    they are counted and logged. ``bad_rows`` says what becomes of those, and of rows with a null in a required column:
+    ``"fail"`` fails the load, ``"quarantine"`` writes them to a table of rejects beside the good ones.
+    ``verify`` is what a load is reconciled by before its files may be purged: the ``"content"`` of the slice, read back, or
+    only the number of its ``"rows"``.
     """
 
     table: LakeTable
@@ -88,9 +91,16 @@ class BronzeLoad:
     multiline: bool = False
     reject_empty: bool = False
     refuse_ragged: bool = True
+    bad_rows: str = "fail"
+    verify: str = "content"
     read_options: dict[str, str] = field(default_factory=dict)
 
 
+def rejects_of(table: LakeTable) -> LakeTable:
+    """The table of the rows that a table's loads refused."""
+    return LakeTable(table.database, f"{table.name}_rejeitos", schemas.REJECTS)
+
+
 CUSTOMERS = LakeTable("b_cad", "clientes", schemas.CUSTOMERS)
 PRODUCTS = LakeTable("b_cad", "produtos", schemas.PRODUCTS)
 ACQUISITIONS = LakeTable("b_vend", "clientesxprod", schemas.ACQUISITIONS)

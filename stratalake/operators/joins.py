@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from stratalake.workspace import new_folder
 
+BROADCAST_KEYS = 1_000_000
+"""Hot keys that may be broadcast: a key and a number each."""
+
 _SALT = "__salt"
 _SALTS = "__salts"
 _HOT = "__hot"
@@ -17,7 +20,7 @@ def find_hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
 
     Counted exactly, with counts combined in each task before the shuffle; a null key is a key. There are
     at most rows/``rows_per_task`` of them. They are stored, so that both sides of a join read the same
-    small table, which Spark broadcasts or shuffles by its size.
+    small table.
     """
     counts = df.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("rows"))
     hot = counts.where(F.col("rows") > rows_per_task).select(

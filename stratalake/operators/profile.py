@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from stratalake.functions.text import sql_name
 from stratalake.operators.cleaning import cleaned_columns
 from stratalake.schemas import LOAD_DATE
-from stratalake.sources.stage import RAGGED
+from stratalake.operators.quality import refusal
+from stratalake.sources.stage import FILE, RAGGED
 
 MEGABYTE = 1024 * 1024
 
@@ -41,9 +42,9 @@ def megabytes(chars: int) -> float:
 
 
 def sampled_row_chars(df: DataFrame, rows: int = 1000) -> float:
-    """Mean text length of the first rows: enough to size files, and no pass over the input."""
+    """Mean text length of the first rows: enough to size files, and no pass over the input. 0 without rows."""
     found = df.limit(rows).agg(F.avg(row_chars(df.schema)).alias("mean")).first()
-    return found["mean"] or 1.0
+    return found["mean"] or 0.0
 
 
 def unparsed_counts(parsers: Mapping[str, Callable[[Column], Column]]) -> dict[str, Column]:
@@ -108,12 +109,12 @@ def measured(
     The size is that of the row as read plus the load date, which replaces a column of that name.
     The helper columns are for ``profile_totals``; a write leaves them out.
     """
-    source = scan.drop(LOAD_DATE, RAGGED)
+    source = scan.drop(LOAD_DATE, RAGGED, FILE)
     misfit = F.col(RAGGED).isNotNull() if RAGGED in scan.columns else F.lit(False)
     dated = T.StructType([*source.schema.fields, T.StructField(LOAD_DATE, T.StringType())])
     return scan.withColumns({
         LOAD_DATE: load_date,
-        _SOURCE_FILE: F.xxhash64("_metadata.file_path"),
+        _SOURCE_FILE: F.xxhash64(source_file(scan)),
     }).select(
         *[c.alias(name) for name, c in cleaned_columns(source, markers).items()],
         LOAD_DATE,
@@ -123,6 +124,31 @@ def measured(
     )
 
 
+def source_file(scan: DataFrame) -> Column:
+    """The file each row of a scan came from."""
+    return F.col(FILE if FILE in scan.columns else "_metadata.file_path")
+
+
+def rejected_rows(
+    scan: DataFrame, required: Sequence[str], refuse_ragged: bool, markers: Sequence[str] = ("NULL", "null")
+) -> DataFrame:
+    """The refused rows of a file scan: why, the file, and the row as delimited text.
+
+    A record that does not fit its header is kept as it stood, any other is written out again.
+    """
+    source = scan.drop(LOAD_DATE, RAGGED, FILE)
+    cleaned = {f"__{name}": c for name, c in cleaned_columns(source, markers).items() if name in required}
+    ragged = F.col(RAGGED) if RAGGED in scan.columns else F.lit(None).cast("string")
+    as_it_is = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    written = F.to_csv(F.struct(*[F.col(sql_name(c)) for c in source.columns]), as_it_is)
+    reason = refusal([f"__{name}" for name in required], ragged.isNotNull() if refuse_ragged else None)
+    rows = scan.select("*", source_file(scan).alias("__from")).withColumns(cleaned)
+    return rows.select(
+        F.ltrim(reason, F.lit("_")).alias("motivo"), F.col("__from").alias("arquivo"),
+        F.coalesce(ragged, written).alias("registro"),
+    ).where("motivo IS NOT NULL")
+
+
 def data_columns(rows: DataFrame) -> list[str]:
     """The columns that come from the source: not the load date, not the helper columns."""
     return [c for c in rows.columns if c != LOAD_DATE and not c.startswith("__")]
@@ -141,6 +167,7 @@ def profile_totals(columns: Sequence[str], refuse_ragged: bool = False) -> dict[
     if refuse_ragged:
         misfit = F.when(misfit, F.raise_error(RAGGED_RECORD).cast("boolean")).otherwise(False)
     totals = {
+        "read": F.count(F.lit(1)),
         "ragged": F.count_if(misfit),
         "chars": F.coalesce(F.sum(_ROW_CHARS), F.lit(0)),
         "files": F.size(F.collect_set(_SOURCE_FILE)),

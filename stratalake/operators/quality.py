@@ -11,6 +11,29 @@ from stratalake.errors import QualityError
 from stratalake.functions.text import sql_name
 
 
+def row_hash(values: Mapping[str, Column]) -> Column:
+    """64 bits of a row: each value with its column's name, nulls left out.
+
+    A column that was added later, and so is null, changes nothing; nor does the order of the columns.
+    """
+    parts = [
+        F.when(values[name].isNotNull(), F.xxhash64(F.lit(name.lower()), values[name]))
+        for name in sorted(values, key=str.lower)
+    ]
+    return F.xxhash64(F.array_compact(F.array(*parts)))
+
+
+def fingerprint_totals(values: Mapping[str, Column], kept: Column | None = None) -> list[Column]:
+    """Aggregates that tell one multiset of rows from another: the sum and the exclusive or of their hashes."""
+    hashed = row_hash(values)
+    if kept is not None:
+        hashed = F.when(kept, hashed)
+    return [
+        F.sum(hashed.cast("decimal(20,0)")).alias("fingerprint_sum"),
+        F.bit_xor(hashed).alias("fingerprint_xor"),
+    ]
+
+
 def required_columns(columns: Sequence[str], required: Sequence[str]) -> None:
     """Raise when a required column is absent."""
     missing = [name for name in required if name not in columns]
@@ -27,6 +50,8 @@ def required_not_null(nulls: Mapping[str, int], required: Sequence[str]) -> dict
     return {name: n for name, n in nulls.items() if n > 0 and name not in required}
 
 
+MISFIT = "more or fewer values than the header"
+
 REQUIRED_IS_NULL = "a required column holds a null: "
 
 
@@ -38,6 +63,17 @@ def fail_on_null(df: DataFrame, required: Sequence[str]) -> DataFrame:
     })
 
 
+def refusal(required: Sequence[str], misfit: Column | None = None) -> Column:
+    """Why a row is refused: a record that does not fit its header, or the first required column that is null.
+
+    Null for a good row.
+    """
+    reason = F.lit(None).cast("string")
+    for name in reversed(required):
+        reason = F.when(F.col(sql_name(name)).isNull(), f"{name} is null").otherwise(reason)
+    return reason if misfit is None else F.when(misfit, MISFIT).otherwise(reason)
+
+
 def null_report(counts: DataFrame, required: Sequence[str]) -> DataFrame:
     """``null_counts`` with the verdict of each column: ok, error for a required one, else noted."""
     needed = F.col("column_name").isin(*required)
@@ -58,6 +94,30 @@ def reconcile(loaded: DataFrame, in_slice: DataFrame) -> DataFrame:
     return counts.withColumn("alert", F.col("rows_loaded") != F.col("rows_in_slice"))
 
 
+def reconcile_content(loaded: DataFrame, in_slice: DataFrame) -> DataFrame:
+    """One row: rows loaded, rows now in the slice, whether their counts and whether their contents differ.
+
+    Contents are compared by an order-free fingerprint of all columns, so a lost row and a doubled one do not
+    cancel out. Columns are compared by name; one that only one side has must be null throughout.
+    """
+
+    def summed(df: DataFrame, side: str) -> DataFrame:
+        values = {c: F.col(sql_name(c)).cast("string") for c in df.columns}
+        found = df.agg(F.count(F.lit(1)).alias("rows"), *fingerprint_totals(values))
+        return found.select(*[F.col(c).alias(f"{c}_{side}") for c in found.columns])
+
+    def differs(name: str) -> Column:
+        return ~F.col(f"{name}_loaded").eqNullSafe(F.col(f"{name}_slice"))
+
+    both = summed(loaded, "loaded").crossJoin(summed(in_slice, "slice"))  # one row each
+    return both.select(
+        F.col("rows_loaded"),
+        F.col("rows_slice").alias("rows_in_slice"),
+        differs("rows").alias("count_alert"),
+        (differs("rows") | differs("fingerprint_sum") | differs("fingerprint_xor")).alias("alert"),
+    )
+
+
 def metrics_complete(columns: Sequence[str], flag: str = "execution_succes") -> Column:
     """True when every metric but the flag itself is set."""
     complete = F.lit(True)

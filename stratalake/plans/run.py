@@ -26,7 +26,7 @@ def _load_and_purge(
         if done.metrics["alerta"]:
             raise JobFailed(f"{load.table.name} holds other rows than were loaded; stage kept")
         folder = stage_path(lake.stage_root, load.table.name, load_date)
-        purge_stage(spark, folder, done.input_files)
+        purge_stage(spark, folder, done.loaded)
     return done
 
 

@@ -7,6 +7,12 @@ from pyspark.sql import types as T
 LOAD_DATE = "dat_ref_carga"
 """Partition column of every lake table: the load date as ``yyyyMMdd`` text."""
 
+RAGGED = "__ragged"
+"""Text of a record with more or fewer values than its header; null for all others."""
+
+FILE = "__file"
+"""The file of each row, in a scan that did not come straight from Spark's reader."""
+
 # Table layouts (name, source type, comment).
 CUSTOMER_COLUMNS = [
     ("client_id", T.IntegerType(), "customer key"),
@@ -100,6 +106,12 @@ ACQUISITIONS = _lake(_text(ACQUISITION_COLUMNS))
 CREDIT_CUSTOMERS = _lake(_text(SILVER_COLUMNS))
 PRODUCT_TOTALS = _lake(GOLD_COLUMNS)
 
+REJECTS = _lake([
+    ("motivo", T.StringType(), "why the row was refused"),
+    ("arquivo", T.StringType(), "file it came from"),
+    ("registro", T.StringType(), "the row as delimited text"),
+])
+
 LOG_ENTRY = T.StructType([
     T.StructField("Timestamp", T.StringType()),
     T.StructField("Level", T.StringType()),

@@ -71,6 +71,14 @@ class RunLog:
             self.log(f"{loaded} rows loaded, {in_slice} rows in the slice", "WARNING")
         return alert
 
+    def reconcile_content(self, expected: object, found: object) -> bool:
+        """Alert when the slice holds as many rows as it should, but not the same ones."""
+        alert = expected != found
+        self.set(alerta=alert)
+        if alert:
+            self.log("the slice holds other rows than were loaded", "WARNING")
+        return alert
+
     def finish(self, error: Exception | None = None) -> dict[str, object]:
         self.set(total_execution=time.monotonic() - self._started)
         if error is not None:

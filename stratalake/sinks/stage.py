@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.errors import AlreadyLanded
-from stratalake.sources.stage import list_files, stage_path
+from stratalake.sinks.ledger import StagedFile, same_form, staged_files
+from stratalake.sources.stage import stage_path
 from stratalake.workspace import delete_empty_folder, delete_file, folder_entries, path_exists
 
 
@@ -55,34 +55,35 @@ class Purge:
     kept: int
 
 
-def _same_form(path: str) -> str:
-    """A file path without scheme spelling differences (``file:/x``, ``file:///x``)."""
-    parts = urlparse(path)
-    return f"{parts.netloc}{unquote(parts.path)}"
-
-
 #: What writers leave beside their files; nothing is loaded from it.
 _MARKERS = ("_SUCCESS", "._SUCCESS.crc")
 
 
 def purge_stage(
-    spark: SparkSession, path: str, loaded: Iterable[str] | None = None
+    spark: SparkSession, path: str, loaded: Iterable[str | StagedFile] | None = None
 ) -> Purge:
     """Delete the files of a stage folder; a missing folder is nothing to delete.
 
-    ``loaded`` names the files a load has read, as ``DataFrame.inputFiles`` lists them; without it
-    they are the files listed now. Each of those is deleted by name, several at a time, and a folder only
-    once it is empty, so a file that arrives meanwhile is kept. Only names pass through the driver, as
-    they do when Spark plans the scan.
+    ``loaded`` are the files a load has read, as it listed them or by name; without it they are the
+    files listed now. Each of those is deleted by name, several at a time, unless it has changed since that
+    listing, and a folder only once it is empty; so a file that arrives or is replaced meanwhile is kept. Only names pass
+    through the driver, as they do when Spark plans the scan.
     """
-    if not path_exists(spark, path):
-        return Purge(0, 0)
-    found = [row["path"] for row in list_files(spark, path, recursive=True).select("path").collect()]
-    read = None if loaded is None else {_same_form(name) for name in loaded}
-    done = [name for name in found if read is None or _same_form(name) in read]
+    found = staged_files(spark, path)
+    read = None
+    if loaded is not None:
+        read = {}
+        for file in loaded:
+            read |= {same_form(file): None} if isinstance(file, str) else {file.key: file.state}
+
+    def may_go(file: StagedFile) -> bool:
+        return read is None or (file.key in read and read[file.key] in (None, file.state))
+
+    done = [f.path for f in found if may_go(f)]
     with ThreadPoolExecutor(max_workers=8) as pool:
         deleted = sum(pool.map(lambda name: delete_file(spark, name), done))
-    _delete_empty(spark, path)
+    if path_exists(spark, path):
+        _delete_empty(spark, path)
     return Purge(deleted, len(found) - len(done))
 
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.config import ALL_TABLES, DATABASES, WRITE_MODES, Lake, LakeTable
+from stratalake.errors import BadInput
 from stratalake.functions.text import sql_name, sql_text
+from stratalake.operators.quality import fingerprint_totals
 from stratalake.schemas import LOAD_DATE
 from stratalake.workspace import delete_path, path_exists
 
@@ -108,6 +110,9 @@ def write_slices(
     totals: Mapping[str, Column] | None = None,
     rows_per_file: int = 0,
     rebalance: bool = False,
+    kept: Column | None = None,
+    file_prefix: str = "",
+    fingerprint: bool = False,
 ) -> dict[str, object]:
     """Write the slices of ``load_dates``; returns ``rows`` written and the ``totals`` asked for.
 
@@ -120,19 +125,21 @@ def write_slices(
     and a second run gives the same table. ``totals`` are aggregates of ``df`` taken while it is
     written; columns whose names start with two underscores are for them and are not stored.
     ``rows_per_file`` caps the size of a file; ``rebalance`` lets AQE merge small ones, for the
-    price of a shuffle.
+    price of a shuffle. Where ``kept`` is given, only rows it holds for are written, and ``rows`` counts those,
+    while ``totals`` see all; a slice is then never replaced by none. ``file_prefix`` begins the names of the files, and
+    ``fingerprint`` adds the totals ``fingerprint_sum`` and ``fingerprint_xor`` of the rows as stored.
     """
     check_mode(mode)
     if load_dates is None and LOAD_DATE not in df.columns:
         raise ValueError("a write needs load dates, as an argument or as a column")
     create_table(spark, lake, table)
-    kept = df.drop(*[c for c in df.columns if c.startswith("__")])
-    evolve_table(spark, lake, table, kept)
+    data = df.drop(*[c for c in df.columns if c.startswith("__")])
+    evolve_table(spark, lake, table, data)
     fixed = dict(within or {})
     if load_dates and len(load_dates) == 1:
         fixed[LOAD_DATE] = load_dates[0]
     stored = {f.name.lower(): f for f in spark.table(table.full_name(lake)).schema.fields}
-    columns = [_stored_as(c, stored[c.lower()]) for c in kept.columns if c not in fixed]
+    columns = [_stored_as(c, stored[c.lower()]) for c in data.columns if c not in fixed]
     # A partition column with one value is a literal of the last projection: Spark then knows the
     # rows are ordered by it and need no sort before the write.
     columns += [F.lit(value).alias(name) for name, value in fixed.items()]
@@ -144,8 +151,17 @@ def write_slices(
     extra = [total.alias(name) for name, total in (totals or {}).items()]
     if LOAD_DATE in df.columns:
         extra.append(F.collect_set(LOAD_DATE).alias("load_dates"))
-    out = df.observe(written, _counted(df, load_dates), *extra).select(*columns)
+    if fingerprint:
+        values = {
+            c: F.col(sql_name(c)).cast(stored[c.lower()].dataType) for c in data.columns if c not in table.partition_by
+        }
+        extra += fingerprint_totals(values, kept)
+    rows = _counted(df, load_dates) if kept is None else F.count_if(kept).alias("rows")
+    out = df.observe(written, rows, *extra)
+    out = (out if kept is None else out.where(kept)).select(*columns)
     options = {"maxRecordsPerFile": rows_per_file} if rows_per_file else {}
+    if file_prefix:
+        options["mapreduce.output.basename"] = file_prefix
     writer = out.write.format(TABLE_FORMAT).options(**options)
     whole = len(fixed) == len(table.partition_by)
     if mode == "append" and whole:
@@ -160,6 +176,8 @@ def write_slices(
         writer.partitionBy(*table.partition_by).save(table.path(lake))
     found = written.get
     filled = found.get("load_dates", load_dates if found["rows"] else [])
+    if mode != "append" and kept is not None and not found["rows"]:
+        raise BadInput("no row of the load is good: the slice stays as it was")
     if mode != "append" and not within:
         for load_date in set(load_dates or ()) - set(filled):
             drop_slice(spark, lake, table, load_date)
@@ -211,27 +229,38 @@ def drop_slice(spark: SparkSession, lake: Lake, table: LakeTable, load_date: str
 
 @dataclass(frozen=True)
 class SliceAudit:
-    """What is in a slice after a write."""
+    """What is in a slice after a write; ``found`` holds its fingerprint, where that was asked for."""
 
     rows: int
     files: int
     columns: int
+    found: Mapping[str, object] = field(default_factory=dict)
 
 
-def slice_files(df: DataFrame) -> DataFrame:
-    """``rows`` and ``num_table_files`` of a table scan. Reads no column, only footers."""
+def slice_files(df: DataFrame, *others: Column) -> DataFrame:
+    """``rows`` and ``num_table_files`` of a table scan. Reads no column but those of ``others``, only footers."""
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("_metadata.file_path").alias("num_table_files"),
+        *others,
     )
 
 
-def audit(rows: DataFrame) -> SliceAudit:
-    """Rows, files and columns of a part of a table, in one pass that reads no column."""
-    row = slice_files(rows).first()
-    return SliceAudit(row["rows"], row["num_table_files"], len(rows.columns))
+def audit(rows: DataFrame, partition_by: Sequence[str] | None = None) -> SliceAudit:
+    """Rows, files and columns of a part of a table, in one pass that reads no column.
 
-
-def audit_slice(spark: SparkSession, lake: Lake, table: LakeTable, load_date: str) -> SliceAudit:
-    """What a load date of a table holds."""
-    return audit(spark.table(table.full_name(lake)).where(F.col(LOAD_DATE) == load_date))
+    With ``partition_by`` the fingerprint of all other columns is taken too; that pass reads them.
+    """
+    extra = []
+    if partition_by is not None:
+        extra = fingerprint_totals({c: F.col(sql_name(c)) for c in rows.columns if c not in partition_by})
+    row = slice_files(rows, *extra).first()
+    return SliceAudit(row["rows"], row["num_table_files"], len(rows.columns), row.asDict())
+
+
+def audit_slice(
+    spark: SparkSession, lake: Lake, table: LakeTable, load_date: str, content: bool = False
+) -> SliceAudit:
+    """What a load date of a table holds; ``content`` adds its fingerprint."""
+    rows = spark.table(table.full_name(lake)).where(F.col(LOAD_DATE) == load_date)
+    return audit(rows, table.partition_by if content else None)

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from stratalake.config import load_day
 from stratalake.errors import BadInput, MissingPackage, UnsupportedFormat
-from stratalake.schemas import LOAD_DATE
+from stratalake.schemas import FILE, LOAD_DATE, RAGGED
+from stratalake.sources import records
 
 FILE_TYPES = ("csv", "txt", "parquet", "avro")
 
@@ -19,9 +20,6 @@ DELIMITED = ("csv", "txt")
 
 STAGE_FOLDER = "table_ingestion_files"
 
-RAGGED = "__ragged"
-"""Text of a record with more or fewer values than its header; null for all others."""
-
 
 def stage_path(stage_root: str, table: str, load_date: str) -> str:
     """Folder of the files of one table and date."""
@@ -42,7 +40,7 @@ def scan_delimited(
 
     All files must have the header of the first one, or the read fails; ``enforceSchema`` among the
     options lifts that. Quotes inside a quoted value are doubled. ``multiline`` accepts line breaks
-    inside values, at a price: such a file cannot be split, so one task reads it whole. ``ragged`` adds
+    inside values; one task then reads a whole file, where ``records.scan_records`` splits it. ``ragged`` adds
     a column with the text of each record that does not fit the header; values too many are not in the
     others, values too few are null there.
     """
@@ -84,9 +82,9 @@ def check_file_type(file_type: str) -> str:
 
 def check_columns(df: DataFrame, path: str = "", sep: str = "") -> DataFrame:
     """A load has more than one column. Looks at the schema; runs a job only to show a bad row."""
-    if len([c for c in df.columns if c != RAGGED]) > 1:
+    if len([c for c in df.columns if c not in (RAGGED, FILE)]) > 1:
         return df
-    df = df.drop(RAGGED)
+    df = df.drop(RAGGED, FILE)
     sample = sample_rows(df).collect() if df.columns else []
     shown = [row[0] for row in sample]
     raise BadInput(
@@ -112,10 +110,10 @@ def scan_stage(
 ) -> DataFrame:
     """Read a stage folder, or some of its files; raises for an unknown type or an input of one column."""
     check_file_type(file_type)
-    if file_type in DELIMITED:
-        df = scan_delimited(
-            spark, path, sep=sep, multiline=multiline, options=options, ragged=ragged
-        )
+    if file_type in DELIMITED and multiline:
+        df = records.scan_records(spark, path, sep=sep, options=options, ragged=ragged)
+    elif file_type in DELIMITED:
+        df = scan_delimited(spark, path, sep=sep, options=options, ragged=ragged)
     elif file_type == "parquet":
         paths = [path] if isinstance(path, str) else path
         df = spark.read.options(**(options or {})).parquet(*paths)

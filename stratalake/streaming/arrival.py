@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.config import BronzeLoad, Lake, LakeTable
+from stratalake.errors import QualityError
 from stratalake.functions.dates import load_date_of_path
-from stratalake.operators.profile import data_columns, load_profile, measured, profile_totals
+from stratalake.operators.profile import (
+    data_columns,
+    load_profile,
+    measured,
+    profile_totals,
+    source_file,
+)
 from stratalake.operators.quality import fail_on_null, required_columns
 from stratalake.schemas import LOAD_DATE
+from stratalake.sinks.ledger import same_form
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit, create_database, write_slices
 from stratalake.sources.stage import DELIMITED, STAGE_FOLDER, check_file_type, scan_stage
 from stratalake.sources.tables import scan_table
-from stratalake.workspace import first_line
 
 ARRIVAL = "lote_chegada"
 """Second partition column of a table filled by arrival: the stream and its micro-batch."""
@@ -30,6 +38,9 @@ MAX_FILES = 10_000
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 """Fixed value: the columns of Spark's reader of whole files."""
 
+_UNREADABLE = "FAILED_READ_FILE"
+"""Fixed value: Spark's condition for a file a scan cannot read, one with another header among them."""
+
 _QUERY_ID = "sql.streaming.queryId"
 
 
@@ -55,21 +66,34 @@ def new_files(
     return files.where(F.col("length") > 0).select("path")
 
 
-def read_files(spark: SparkSession, load: BronzeLoad, paths: list[str]) -> DataFrame:
-    """The measured rows of some files, dated by the folder each came from.
+def files_by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Some delimited files, those of one header together.
+
+    The first lines are taken by tasks, through the reader that also expands compressed files; the driver
+    gets names and headers.
+    """
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    found = {same_form(r["file"]): r["header"] for r in first.collect()}
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        groups.setdefault(found.get(same_form(path), ""), []).append(path)
+    return list(groups.values())
+
+
+def read_files(spark: SparkSession, load: BronzeLoad, groups: list[list[str]]) -> DataFrame:
+    """The measured rows of groups of files, dated by the folder each came from.
 
-    Files of one header are read together and all of them put together by column name, so an added
+    Files of one group are read by one scan. Groups are put together by column name, so an added
     column or another order of columns loses nothing; what a file lacks is null.
     """
-    groups: dict[str, list[str]] = {"": paths}
-    if load.file_type in DELIMITED:
-        with ThreadPoolExecutor(max_workers=8) as pool:
-            headers = list(pool.map(lambda path: first_line(spark, path), paths))
-        groups = {}
-        for header, path in zip(headers, paths):
-            groups.setdefault(header, []).append(path)
     parts = []
-    for files in groups.values():
+    for files in groups:
         scan = scan_stage(
             spark,
             files,
@@ -79,13 +103,27 @@ def read_files(spark: SparkSession, load: BronzeLoad, paths: list[str]) -> DataF
             options=load.read_options,
             ragged=True,
         )
-        dated = load_date_of_path(F.col("_metadata.file_path"))
-        rows = measured(scan, dated, load.null_markers)
+        rows = measured(scan, load_date_of_path(source_file(scan)), load.null_markers)
         required_columns(data_columns(rows), load.required)
         parts.append(rows)
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
+def _write_files(
+    spark: SparkSession, lake: Lake, load: BronzeLoad, table: LakeTable, groups: list[list[str]], batch: str
+) -> tuple[list[str], dict[str, object]]:
+    """The columns and totals of a batch written from groups of files."""
+    dated = F.coalesce(
+        F.nullif(LOAD_DATE, F.lit("")),
+        F.raise_error(f"a file of {load.table.name} is not in a folder named by its load date"),
+    )
+    rows = read_files(spark, load, groups)
+    columns = data_columns(rows)
+    checked = fail_on_null(rows, load.required).withColumn(LOAD_DATE, dated)
+    totals = profile_totals(columns, load.refuse_ragged)
+    return columns, write_slices(spark, lake, table, checked, None, within={ARRIVAL: batch}, totals=totals)
+
+
 def ingest_batch(
     spark: SparkSession,
     lake: Lake,
@@ -100,26 +138,21 @@ def ingest_batch(
     name, so it replaces its own partitions and no row is kept twice. As in a bronze load, the
     files are read once, by the tasks that write, and a metrics row is kept either way.
     """
-    dated = F.coalesce(
-        F.nullif(LOAD_DATE, F.lit("")),
-        F.raise_error(f"a file of {load.table.name} is not in a folder named by its load date"),
-    )
     run = RunLog("bronze", table.name)
     run.set(load_total_time=0.0)  # reading is part of the write
     try:
-        rows = read_files(spark, load, paths)
-        columns = data_columns(rows)
-        checked = fail_on_null(rows, load.required).withColumn(LOAD_DATE, dated)
         with run.timed("write_total_time"):
-            found = write_slices(
-                spark,
-                lake,
-                table,
-                checked,
-                None,
-                within={ARRIVAL: batch},
-                totals=profile_totals(columns, load.refuse_ragged),
-            )
+            try:
+                columns, found = _write_files(spark, lake, load, table, [paths], batch)
+            except (PySparkException, Py4JJavaError, QualityError) as error:
+                # One scan for all files holds as long as they share a header, which its tasks check.
+                groups = []
+                if load.file_type in DELIMITED and (isinstance(error, QualityError) or _UNREADABLE in str(error)):
+                    groups = files_by_header(spark, paths)
+                if len(groups) < 2:
+                    raise
+                run.log(f"the {len(paths)} files have {len(groups)} different headers")
+                columns, found = _write_files(spark, lake, load, table, groups, batch)
         if not found["rows"]:
             return 0
         profile = load_profile(columns, found)

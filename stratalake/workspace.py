@@ -35,15 +35,27 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    """The first line of a text file."""
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
     file_system, hadoop_path = _file_system(spark, path)
-    java = spark.sparkContext._jvm.java.io
-    reader = java.BufferedReader(java.InputStreamReader(file_system.open(hadoop_path), "UTF-8"))
+    stream = file_system.open(hadoop_path)
     try:
-        return reader.readLine() or ""
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
-        reader.close()
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that is there whole or not at all."""
+    file_system, hadoop_path = _file_system(spark, path)
+    written = _path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = file_system.create(written, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if not file_system.rename(written, hadoop_path):
+        raise OSError(f"{path} could not be written")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
