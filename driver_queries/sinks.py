@@ -18,12 +18,14 @@ from stratalake.plans.bronze import bronze_ingest
 from stratalake.plans.gold import gold_product_totals
 from stratalake.plans.silver import silver_credit_customers
 from stratalake.schemas import LOAD_DATE
+from stratalake.sinks.compact import compact_slice
 from stratalake.sinks.runlog import run_log
 from stratalake.sinks.stage import first_row_peek, land_snapshot, purge_stage, snapshot_export
 from stratalake.sinks.tables import (
     create_database,
     create_lake,
     create_table,
+    slice_path,
     table_exists,
     write_slices,
 )
@@ -257,6 +259,28 @@ def sized_files(spark, sf_dir):
     return views.finished(sizes, lake)
 
 
+@query(
+    "compaction",
+    "SELECT *, true AS as_few_as_fit, true AS untouched_once_more FROM clientesxprod",
+)
+def compacted(spark, sf_dir):
+    """A slice of two hundred small files, put together to as many as its bytes fill; the rows stay."""
+    lake = views.new_lake(spark)
+    create_database(spark, lake, config.ACQUISITIONS.database)
+    rows = views.acquisitions(spark, sf_dir).repartition(200)
+    write_slices(spark, lake, config.ACQUISITIONS, rows, [FIRST])
+    folder = slice_path(lake, config.ACQUISITIONS, FIRST)
+    held = list_files(spark, folder).agg(F.sum("length").alias("n")).first()["n"]
+    target = held // 3 + 1
+    done = compact_slice(spark, lake, config.ACQUISITIONS, FIRST, target)
+    listed = list_files(spark, folder).count()
+    few = done.before == 200 and done.after == listed == 3
+    again = compact_slice(spark, lake, config.ACQUISITIONS, FIRST, held // 30)
+    found = scan_table(spark, lake, config.ACQUISITIONS).drop(LOAD_DATE)
+    marks = {"as_few_as_fit": F.lit(few), "untouched_once_more": F.lit(again.rewritten_bytes == 0)}
+    return views.finished(found.withColumns(marks), lake)
+
+
 @query("snapshot_export", "SELECT * FROM produtos")
 def exported(spark, sf_dir):
     """Descriptions hold quotes and commas; they come back as they were."""

@@ -28,6 +28,7 @@ from stratalake.operators.quality import (
     required_not_null,
 )
 from stratalake.schemas import LOAD_DATE
+from stratalake.sinks.compact import finish_compaction
 from stratalake.sinks.ledger import (
     Fingerprint,
     Ledger,
@@ -124,6 +125,8 @@ def bronze_ingest(
         folder = stage_path(lake.stage_root, table.name, load_date)
         existed = table_exists(spark, lake, table)
         run.log(f"table {table.full_name(lake)} {'exists' if existed else 'is new'}")
+        if finish_compaction(spark, lake, table, load_date):
+            run.log("a compaction that was cut off is finished", "WARN")
         ledger = Ledger(spark, lake, table, load_date)
         staged = staged_files(spark, folder)
         written_to = [slice_path(lake, t, load_date) for t in (table, rejects)]

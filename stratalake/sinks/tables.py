@@ -227,6 +227,15 @@ def drop_slice(spark: SparkSession, lake: Lake, table: LakeTable, load_date: str
     spark.catalog.refreshTable(name)
 
 
+def drop_partition(spark: SparkSession, lake: Lake, table: LakeTable, spec: Mapping[str, str]) -> None:
+    """Remove one partition of a table with further partition columns."""
+    listed = ", ".join(f"{name} = {sql_text(value)}" for name, value in spec.items())
+    spark.sql(f"ALTER TABLE {table.full_name(lake)} DROP IF EXISTS PARTITION ({listed})")
+    within = {name: value for name, value in spec.items() if name != LOAD_DATE}
+    delete_path(spark, slice_path(lake, table, spec[LOAD_DATE], within))
+    spark.catalog.refreshTable(table.full_name(lake))
+
+
 @dataclass(frozen=True)
 class SliceAudit:
     """What is in a slice after a write; ``found`` holds its fingerprint, where that was asked for."""
