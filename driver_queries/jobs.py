@@ -15,7 +15,7 @@ from driver_queries.views import FIRST, LOAD_DATES, SECOND, THIRD
 from stratalake import config
 from stratalake.config import BRONZE_LOADS
 from stratalake.errors import JobFailed, QualityError
-from stratalake.operators.profile import distinct_file_count, null_counts, row_count
+from stratalake.operators.profile import FILE_SKETCH_ERROR, distinct_file_count, null_counts, row_count
 from stratalake.operators.quality import (
     metrics_complete,
     null_report,
@@ -70,6 +70,22 @@ def files_read(spark, sf_dir):
     return views.finished(counted, lake)
 
 
+@query(
+    "sketched_file_count",
+    "SELECT count(*) AS \"rows\", CAST(300 AS BIGINT) AS num_files, true AS within_bound FROM clientesxprod",
+)
+def files_sketched(spark, sf_dir):
+    """Three hundred files, counted exactly and by a sketch whose error is bounded."""
+    path = f"{views.new_lake(spark).stage_root}/many"
+    views.acquisitions(spark, sf_dir).repartition(300).write.csv(path, header=True)
+    scan = scan_stage(spark, path)
+    exact = distinct_file_count(scan).first()["num_files"]
+    about = distinct_file_count(scan, sketch=True).first()["num_files"]
+    within = abs(about - exact) <= FILE_SKETCH_ERROR * exact
+    counted = row_count(scan).withColumns({"num_files": F.lit(exact).cast("long"), "within_bound": F.lit(within)})
+    return views.stored(counted)
+
+
 @query(
     "required_columns",
     "SELECT 'nome,cpf' AS required, 'ok' AS outcome, count(*) AS n_rows FROM clientes"

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driver_queries import views
 from driver_queries.registry import query
 from driver_queries.sources import union
 from driver_queries.views import CUSTOMER_NAMES, FIRST, LOAD_DATES, SECOND
 from stratalake import config, schemas
-from stratalake.config import ALL_TABLES, BRONZE_LOADS, DATABASES, WRITE_MODES
-from stratalake.errors import AlreadyLanded
+from stratalake.config import ALL_TABLES, BRONZE_LOADS, DATABASES, WRITE_MODES, LakeTable
+from stratalake.errors import AlreadyLanded, BadInput
 from stratalake.operators.profile import row_count
 from stratalake.plans.bronze import bronze_ingest
 from stratalake.plans.gold import gold_product_totals
@@ -240,6 +242,66 @@ def merged_schema(spark, sf_dir):
     return scan_table(spark, lake, config.CUSTOMERS)
 
 
+_MEASURES = LakeTable(
+    "b_vend",
+    "medidas",
+    T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("valor", T.IntegerType()), T.StructField(LOAD_DATE, T.StringType()),
+    ]),
+)
+# Each load in turn: the type its values come in, and their SQL.
+_KINDS = (
+    ("int", "CAST(l_linenumber AS INT)"),
+    ("bigint", "CAST(l_orderkey AS BIGINT) * 10000000000"),
+    ("decimal(12,2)", "CAST(l_extendedprice AS DECIMAL(12,2))"),
+    ("string", "concat(' ', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR(20)))"),
+    ("string", "CASE WHEN l_linenumber = 1 THEN 'n/d' ELSE '1.25' END"),
+)
+
+
+@query(
+    "type_reconciliation",
+    "SELECT 'int' AS incoming, 'int' AS stored_as, 'kept' AS outcome, count(*) AS n_rows,"
+    " CAST(sum(l_linenumber) AS DOUBLE) AS total FROM lineitem"
+    " UNION ALL SELECT 'bigint', 'bigint', 'kept', 2 * count(*),"
+    " CAST(sum(CAST(l_linenumber AS DECIMAL(38,2)) + CAST(l_orderkey AS DECIMAL(28,0)) * 10000000000) AS DOUBLE) FROM lineitem"
+    " UNION ALL SELECT 'decimal(12,2)', 'decimal(22,2)', 'kept', 3 * count(*), CAST(sum(CAST(l_linenumber AS DECIMAL(38,2))"
+    " + CAST(l_orderkey AS DECIMAL(28,0)) * 10000000000 + CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) FROM lineitem"
+    " UNION ALL SELECT 'text', 'decimal(22,2)', 'kept', 4 * count(*), CAST(sum(CAST(l_linenumber AS DECIMAL(38,2))"
+    " + CAST(l_orderkey AS DECIMAL(28,0)) * 10000000000 + 2 * CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) FROM lineitem"
+    " UNION ALL SELECT 'text', 'decimal(22,2)', concat('refused, ', CAST(sum(CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END)"
+    " AS VARCHAR), ' values'), 4 * count(*), CAST(sum(CAST(l_linenumber AS DECIMAL(38,2))"
+    " + CAST(l_orderkey AS DECIMAL(28,0)) * 10000000000 + 2 * CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) FROM lineitem",
+)
+def reconciled_types(spark, sf_dir):
+    """Loads of one column in ever wider types, then as text: the table widens, and refuses what it would lose."""
+    lake = views.new_lake(spark)
+    create_database(spark, lake, _MEASURES.database)
+    lines = views.driver_table(spark, sf_dir, "lineitem")
+    parts = []
+    for day, (kind, value) in enumerate(_KINDS, 1):
+        path = new_folder(spark, "typed")
+        lines.selectExpr("CAST(l_orderkey AS BIGINT) AS id", f"{value} AS valor").write.parquet(path)
+        try:
+            write_slices(spark, lake, _MEASURES, scan_stage(spark, path, "parquet"), [f"2025010{day}"])
+            outcome = "kept"
+        except BadInput as error:
+            outcome = f"refused, {re.search(r'table: ([0-9]+) of valor', str(error))[1]} values"
+        stored = scan_table(spark, lake, _MEASURES)
+        parts.append(
+            stored.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("valor").cast("decimal(38,2)")).cast("double").alias("total")).select(
+                F.lit("text" if kind == "string" else kind).alias("incoming"),
+                F.lit(stored.schema["valor"].dataType.simpleString()).alias("stored_as"),
+                F.lit(outcome).alias("outcome"),
+                "n_rows",
+                "total",
+            )
+        )
+        # The table changes under the next load.
+        parts[-1] = views.stored(parts[-1])
+    return views.finished(union(parts), lake)
+
+
 @query("file_size", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS files_too_large FROM vendas")
 def sized_files(spark, sf_dir):
     """Of a load with a small target, no file has many more bytes than that."""

@@ -323,6 +323,24 @@ def text_size(spark, sf_dir):
 # Scalar functions
 
 
+# A text with both quotes, a backslash, a line feed, a control character and a character that does not print.
+_ESCAPED = "concat(nome, '\"it', chr(39), 's', chr(92), chr(10), chr(7), 'é', decode(unhex('E2808B'), 'UTF-8'))"
+_SQL_ESCAPED_LENGTH = "(length(nome) + 2 + length('\"its\"') - 1 + 2 + 2 + 2 + 4 + 1 + 6)"
+
+
+@query(
+    "data_size_exact",
+    "SELECT count(*) AS \"rows\", CAST(sum(length('Row(produto_id=, nome=, texto=)') + length(produto_id) + 2"
+    f" + length(nome) + 2 + {_SQL_ESCAPED_LENGTH}) AS BIGINT) AS chars,"
+    " round(sum(length('Row(produto_id=, nome=, texto=)') + length(produto_id) + 2"
+    f" + length(nome) + 2 + {_SQL_ESCAPED_LENGTH}) / 1048576.0, 2) AS size_mb FROM produtos",
+)
+def exact_size(spark, sf_dir):
+    """The size of rows written out as text, escapes written out too."""
+    rows = views.products(spark, sf_dir).select("produto_id", "nome").withColumn("texto", F.expr(_ESCAPED))
+    return data_size(rows, exact=True)
+
+
 @query("fn_trim", "SELECT client_id, trim(renda) AS trimmed FROM clientes")
 def fn_trim(spark, sf_dir):
     return views.customers(spark, sf_dir).select("client_id", F.trim("renda").alias("trimmed"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.functions.python_text import quoted_length
 from stratalake.functions.text import sql_name
 from stratalake.operators.cleaning import cleaned_columns
 from stratalake.schemas import LOAD_DATE
@@ -21,11 +22,14 @@ _SOURCE_FILE = "__source_file"
 _ROW_CHARS = "__row_chars"
 
 
-def row_chars(schema: T.StructType) -> Column:
+def row_chars(schema: T.StructType, exact: bool = False) -> Column:
     """Length of a row written out as ``Row(name='value', other=None)``.
 
-    Characters that such a text would escape count once.
+    Characters that such a text would escape count once, unless it is to be ``exact``, for the price of a
+    pattern match per value.
     """
+    if exact:
+        return _exact_row_chars(schema)
     chars = len("Row()") + len(", ") * (len(schema.fields) - 1)
     chars += sum(len(f.name) + len("=") for f in schema.fields)
     terms = [str(chars)]
@@ -37,6 +41,16 @@ def row_chars(schema: T.StructType) -> Column:
     return F.expr(" + ".join(terms))
 
 
+def _exact_row_chars(schema: T.StructType) -> Column:
+    fixed = len("Row()") + len(", ") * (len(schema.fields) - 1) + sum(len(f.name) + len("=") for f in schema.fields)
+    total = F.lit(fixed)
+    for f in schema.fields:
+        value = F.col(sql_name(f.name))
+        length = quoted_length(value) if isinstance(f.dataType, T.StringType) else F.length(value.cast("string"))
+        total += F.coalesce(length, F.lit(len("None")))
+    return total
+
+
 def megabytes(chars: int) -> float:
     return round(chars / MEGABYTE, 2)
 
@@ -55,9 +69,9 @@ def unparsed_counts(parsers: Mapping[str, Callable[[Column], Column]]) -> dict[s
     }
 
 
-def data_size(df: DataFrame) -> DataFrame:
+def data_size(df: DataFrame, exact: bool = False) -> DataFrame:
     """One row: ``rows``, ``chars`` and ``size_mb`` of the rows written out as text."""
-    totals = df.select(row_chars(df.schema).alias("n")).agg(
+    totals = df.select(row_chars(df.schema, exact).alias("n")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("chars"),
     )
@@ -75,9 +89,25 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def distinct_file_count(df: DataFrame) -> DataFrame:
-    """Number of files that gave at least one row. ``df`` must come straight from a file scan."""
-    return df.agg(F.count_distinct("_metadata.file_path").alias("num_files"))
+FILE_SKETCH = 14
+"""Size of a sketch of files, as a power of two: sixteen kilobytes, whatever the number of files."""
+
+FILE_SKETCH_ERROR = 3 * 0.0065
+"""Bound on the relative error of a sketched count: three standard errors. Some hundreds of files count exactly."""
+
+
+def sketched_count(values: Column) -> Column:
+    """Aggregate: about how many distinct values, from sketches that tasks build and the driver merges."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(values, F.lit(FILE_SKETCH)))
+
+
+def distinct_file_count(df: DataFrame, sketch: bool = False) -> DataFrame:
+    """Number of files that gave at least one row. ``df`` must come straight from a file scan.
+
+    ``sketch`` counts by a sketch, within ``FILE_SKETCH_ERROR``, and shuffles no names.
+    """
+    file = F.col("_metadata.file_path")
+    return df.agg((sketched_count(file) if sketch else F.count_distinct(file)).alias("num_files"))
 
 
 @dataclass(frozen=True)
@@ -160,7 +190,7 @@ RAGGED_RECORD = "a record has more or fewer values than its header"
 def profile_totals(columns: Sequence[str], refuse_ragged: bool = False) -> dict[str, Column]:
     """Aggregates of a measured load: text size, files, records that do not fit, nulls of each column.
 
-    The files are a set of hashes, eight bytes for each file the driver has listed for the scan.
+    The files are counted by a sketch of bounded size, so a task sends the driver the same whatever their number.
     ``refuse_ragged`` fails the job, before a write commits anything, on a record that does not fit.
     """
     misfit = F.col(RAGGED)
@@ -170,7 +200,7 @@ def profile_totals(columns: Sequence[str], refuse_ragged: bool = False) -> dict[
         "read": F.count(F.lit(1)),
         "ragged": F.count_if(misfit),
         "chars": F.coalesce(F.sum(_ROW_CHARS), F.lit(0)),
-        "files": F.size(F.collect_set(_SOURCE_FILE)),
+        "files": sketched_count(F.col(_SOURCE_FILE)),
     }
     for i, name in enumerate(columns):
         totals[f"nulls_{i}"] = F.expr(f"count_if({sql_name(name)} IS NULL)")

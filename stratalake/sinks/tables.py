@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from stratalake.config import ALL_TABLES, DATABASES, WRITE_MODES, Lake, LakeTabl
 from stratalake.errors import BadInput
 from stratalake.functions.text import sql_name, sql_text
 from stratalake.operators.quality import fingerprint_totals
+from stratalake.operators.types import WIDEN, lost_counts, merges
 from stratalake.schemas import LOAD_DATE
 from stratalake.workspace import delete_path, path_exists
 
@@ -65,10 +66,13 @@ def table_exists(spark: SparkSession, lake: Lake, table: LakeTable) -> bool:
 
 
 def evolve_table(spark: SparkSession, lake: Lake, table: LakeTable, df: DataFrame) -> list[str]:
-    """Add the columns ``df`` has and the table lacks; older slices read them as null.
+    """Add the columns ``df`` has and the table lacks, and widen the types that do not hold its own.
 
-    The schema lives in the catalog, so no reader has to merge the footers of all files.
+    Older slices read new columns as null, and their narrower numbers as wider ones. Where a type of the load can
+    be neither widened to nor cast without loss, its values are counted, and one that would be lost refuses the load. The
+    schema lives in the catalog, so no reader has to merge the footers of all files.
     """
+    _merge_types(spark, lake, table, df)
     known = {f.name.lower() for f in spark.table(table.full_name(lake)).schema.fields}
     new = [f for f in df.schema.fields if f.name.lower() not in known]
     if new:
@@ -77,6 +81,27 @@ def evolve_table(spark: SparkSession, lake: Lake, table: LakeTable, df: DataFram
     return [f.name for f in new]
 
 
+def _merge_types(spark: SparkSession, lake: Lake, table: LakeTable, df: DataFrame) -> None:
+    name = table.full_name(lake)
+    stored = spark.table(name).schema
+    found = merges(stored, df.schema)
+    if lost := lost_counts(df, found):
+        listed = ", ".join(f"{n} of {c} ({found[c].kind.simpleString()})" for c, n in sorted(lost.items()))
+        raise BadInput(f"values of {table.name} would be lost in the types of the table: {listed}")
+    wider = {c: merge.kind for c, merge in found.items() if merge.action == WIDEN and c not in table.partition_by}
+    if not wider:
+        return
+    # An external table of the same files under a wider schema: the catalog offers no change of a type. Readers
+    # of this moment may miss the table, none can miss rows.
+    comments = {c.name: c.description for c in spark.catalog.listColumns(name)}
+    fields = [
+        T.StructField(f.name, wider.get(f.name, f.dataType), True, {"comment": comments.get(f.name) or ""})
+        for f in stored.fields
+    ]
+    spark.sql(f"DROP TABLE {name}")
+    create_table(spark, lake, replace(table, schema=T.StructType(fields)))
+
+
 def _stored_as(name: str, field: T.StructField) -> Column:
     """A column under the name and type it has in the table."""
     kind = field.dataType.simpleString()
