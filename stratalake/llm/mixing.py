@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import ranked, stored, table, unit_interval, word_count
+from stratalake.llm.common import placed, ranked, stored, table, unit_interval, word_count
 from stratalake.llm.registry import query
 
 #: Copy probabilities are whole multiples of 2^-30, so that transfers of mass are exact.
@@ -13,19 +13,21 @@ _BITS = 30
 _ONE = 1 << _BITS
 #: Most documents, or survivors of the level below, that are rounded together.
 FAN_IN = 256
+#: Equal rows that are written out together.
+CHUNK = 10_000
 
-_FIELDS = "id BIGINT, size BIGINT, rows BIGINT, mass BIGINT, luck BIGINT"
+_FIELDS = "id BIGINT, size BIGINT, rows BIGINT, sure BIGINT, mass BIGINT, luck BIGINT"
 _UNIT = "STRUCT<" + ", ".join(f.replace(" ", ": ") for f in _FIELDS.split(", ")) + ">"
-_DONE = "STRUCT<id: BIGINT, size: BIGINT, rows: BIGINT, extra: INT>"
+_DONE = "STRUCT<id: BIGINT, size: BIGINT, rows: BIGINT, sure: BIGINT, extra: INT>"
 
 
 def _done(unit: str, extra: int) -> str:
-    return f"array(named_struct('id', {unit}.id, 'size', {unit}.size, 'rows', {unit}.rows, 'extra', {extra}))"
+    return f"array(named_struct('id', {unit}.id, 'size', {unit}.size, 'rows', {unit}.rows, 'sure', {unit}.sure, 'extra', {extra}))"
 
 
 def _kept(unit: str, mass: str) -> str:
     return (
-        f"named_struct('id', {unit}.id, 'size', {unit}.size, 'rows', {unit}.rows, "
+        f"named_struct('id', {unit}.id, 'size', {unit}.size, 'rows', {unit}.rows, 'sure', {unit}.sure, "
         f"'mass', {mass}, 'luck', {unit}.luck)"
     )
 
@@ -80,29 +82,68 @@ def mix_sources(
     for each other, so a source misses its target by less than its longest document. Luck is a hash of
     the id and ``seed``: reruns agree.
 
-    Null or empty text has no words and is taken 0 words. Rows of one id, size and source are decided
-    together. An empty table gives no rows; only the named columns are read. Returns ``doc_id``,
+    Null or empty text has no words and is taken 0 words. Rows of one id, size and source cannot be told apart: as
+    many of them as their probabilities add up to get one copy more, and only what is left of the sum, less than
+    one row, is rounded with the others. An empty table gives no rows; only the named columns are read. Returns ``doc_id``,
     ``size``, ``source``, ``source_size``, ``target``, ``copies`` and ``taken`` for every row.
     """
     units = decided_copies(docs, weights, total_share, max_repeat, seed, id_col, text_col, source_col)
-    return (
-        units.withColumn("taken", F.col("size") * F.col("copies"))
-        .withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
-        .select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
+    return _each_row(units).select(
+        "doc_id", "size", "source", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
+def _each_row(units: DataFrame) -> DataFrame:
+    """A row for each row of a unit, with its ``copies``: the first ``extras`` have one more than the others.
+
+    A unit of many rows is cut to ``CHUNK`` of them first, and those are dealt out.
+    """
+
+    def numbered_from(start, rows) -> Column:
+        return F.explode(F.sequence(start + 1, start + rows))
+
+    few = units.where(F.col("rows") <= CHUNK).withColumn("nth", numbered_from(F.lit(0).cast("long"), F.col("rows")))
+    many = units.where(F.col("rows") > CHUNK)
+    starts = F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(CHUNK).cast("long"))
+    many = many.withColumn("start", F.explode(starts)).repartition("doc_id", "start")
+    many = many.withColumn("nth", numbered_from(F.col("start"), F.least(F.lit(CHUNK), F.col("rows") - F.col("start")))).drop("start")
+    more = F.when(F.col("nth") <= F.col("extras"), 1).otherwise(0)
+    return few.unionByName(many).withColumn("copies", F.col("whole") + more)
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The documents, each row as often as :func:`mix_sources` takes it, with their own columns."""
     units = decided_copies(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
-    units = units.where("copies > 0").select(*(F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "size", "source", "copies")))
+    units = stored(units.where("whole + extras > 0"), "mix-decided")
+    # Rows of a unit that get the same copies need not be told apart.
+    alike = F.col("extras").isin(0) | (F.col("extras") == F.col("rows"))
+    even = units.where(alike).withColumn("copies", F.col("whole") + F.when(F.col("extras") > 0, 1).otherwise(0))
+    taken = _of_units(docs, even, ["copies"], id_col, text_col, source_col)
+    uneven = units.where(~alike)
+    if not uneven.isEmpty():
+        met = _of_units(docs, uneven, ["rows", "whole", "extras"], id_col, text_col, source_col)
+        met = met.withColumns({
+            "_mix_id": F.col(id_col).cast("long"), "_mix_of": F.col(source_col), "_mix_words": word_count(F.col(text_col)),
+            "_mix_hash": F.xxhash64(text_col), "_mix_row": F.monotonically_increasing_id(),
+        })
+        keys = ["_mix_id", "_mix_of", "_mix_words"]
+        order = [F.col("_mix_hash"), F.col("_mix_row")]
+        placed_rows = placed(met, keys, order, "_mix_nth", "_mix_n")
+        copies = F.col("_mix_whole") + F.when(F.col("_mix_nth") < F.col("_mix_extras"), 1).otherwise(0)
+        chosen = placed_rows.withColumn("_mix_copies", copies).where("_mix_copies > 0")
+        taken = taken.unionByName(chosen.select(*docs.columns, "_mix_copies"))
+    return taken.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
+
+
+def _of_units(docs: DataFrame, units: DataFrame, along: list[str], id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """The documents of some units, with columns of their unit."""
+    held = units.select(*(F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "size", "source", *along)))
     same = (
         F.col(id_col).cast("long").eqNullSafe(F.col("_mix_doc_id"))
         & F.col(source_col).eqNullSafe(F.col("_mix_source"))
         & (word_count(F.col(text_col)) == F.col("_mix_size"))
     )
-    repeated = docs.join(units, same).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-    return repeated.select(*docs.columns)
+    return docs.join(held, same).select(*docs.columns, *(f"_mix_{c}" for c in along))
 
 
 def decided_copies(
@@ -115,7 +156,7 @@ def decided_copies(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """The copies of each distinct id, size and source, with the number of its ``rows``."""
+    """The copies of each distinct id, size and source: ``rows`` rows get ``whole`` copies, ``extras`` of them one more."""
     read = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         word_count(F.col(text_col)).alias("size"),
@@ -134,18 +175,23 @@ def decided_copies(
     })
     keyed = stored(
         units.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-        .drop("_source"),
+        .drop("_source")
+        # The probabilities of equal rows add up: so many rows for sure, and a probability that is left.
+        .withColumns({
+            "sure": F.shiftright(F.col("rows") * F.col("mass"), _BITS),
+            "mass": F.pmod(F.col("rows") * F.col("mass"), F.lit(_ONE)),
+        }),
         "mix-keyed",
     )
     decided = _rounded(keyed.where("mass > 0"), seed).join(
         sources.select("rank", "source", "source_size", "target", "whole"), "rank"
     )
     settled = keyed.where("mass = 0").withColumn("extra", F.lit(0))
-    columns = ["doc_id", "size", "source", "source_size", "target", "whole", "rows", "extra"]
+    columns = ["doc_id", "size", "source", "source_size", "target", "whole", "rows", "sure", "extra"]
     return (
         settled.select(*columns).unionByName(decided.select(*columns))
-        .withColumn("copies", F.col("whole") + F.col("extra"))
-        .select("doc_id", "size", "source", "rows", "source_size", "target", "copies")
+        .withColumn("extras", F.col("sure") + F.col("extra"))
+        .select("doc_id", "size", "source", "rows", "source_size", "target", "whole", "extras")
     )
 
 
@@ -176,12 +222,12 @@ def source_targets(units: DataFrame, weights: tuple[int, ...], total_share: floa
 
 
 def _rounded(units: DataFrame, seed: int) -> DataFrame:
-    """0 or 1 copies more for each unit: (rank, doc_id, size, rows, extra)."""
+    """0 or 1 copies more for each unit: (rank, doc_id, size, rows, sure, extra)."""
     spark = units.sparkSession
     level = units.select(
         "rank",
         F.floor(F.log(1.0 + F.col("size")) / F.log(F.lit(1.3))).cast("int").alias("class"),
-        F.col("doc_id").alias("id"), "size", "rows", "mass",
+        F.col("doc_id").alias("id"), "size", "rows", "sure", "mass",
     )
     counts = level.groupBy("rank", "class").agg(F.count("*").alias("n"))
     sized = level.join(counts, ["rank", "class"]).withColumn(
@@ -205,7 +251,7 @@ def _rounded(units: DataFrame, seed: int) -> DataFrame:
         decided = done if decided is None else decided.unionByName(done)
     left = _survivors(roots, "rank")
     luck = unit_interval(F.col("id"), F.lit(seed), F.lit(depth + 1), bits=_BITS)
-    last_ones = left.select("rank", "id", "size", "rows", F.when(luck < F.col("mass"), 1).otherwise(0).alias("extra"))
+    last_ones = left.select("rank", "id", "size", "rows", "sure", F.when(luck < F.col("mass"), 1).otherwise(0).alias("extra"))
     return decided.unionByName(last_ones).withColumnRenamed("id", "doc_id")
 
 
@@ -216,7 +262,7 @@ def _survivors(folded: DataFrame, *keys: str) -> DataFrame:
 def _fold(units: DataFrame, keys: list[str], seed: int, depth: int, by_class: bool = False) -> DataFrame:
     """Rounds the units of each group in order of falling size; groups hold some 256 units."""
     luck: Column = unit_interval(F.col("id"), F.lit(seed), F.lit(depth), bits=_BITS)
-    unit = F.struct("id", "size", "rows", "mass", luck.alias("luck"))
+    unit = F.struct("id", "size", "rows", "sure", "mass", luck.alias("luck"))
     first = F.struct((-F.col("class") if by_class else F.lit(0)).alias("c"), (-F.col("size")).alias("o"),
                      F.col("id").alias("i"), unit.alias("unit"))
     ordered = F.transform(F.sort_array(F.collect_list(first)), lambda x: x["unit"])

@@ -37,6 +37,8 @@ UNKNOWN = math.log(26)
 BITS = 20
 SAMPLE_TOXIC = 4000
 SAMPLE_CLEAN = 10000
+#: Evidence, as twice a log likelihood ratio, that a feature must give of toxic documents.
+LEAST_EVIDENCE = 15.0
 
 
 # --- Character model -------------------------------------------------------------------------------
@@ -413,29 +415,49 @@ def _parts(entries: np.ndarray, size: int = 1 << 20) -> Iterator[slice]:
     return (slice(a, a + size) for a in range(0, len(entries), size))
 
 
+def _telling(at: np.ndarray, of: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Features that toxic documents have more often than chance: the likelihood ratio must reach ``LEAST_EVIDENCE``.
+
+    Long texts are full of rare words, each of which may fall to a few toxic documents by luck; a word of four toxic
+    documents and no other, where one in eight is toxic, is the least that counts.
+    """
+    n = sum((np.bincount(at[p], minlength=1 << BITS) for p in _parts(at)), np.zeros(1 << BITS))
+    t = sum((np.bincount(at[p], y[of[p]], 1 << BITS) for p in _parts(at)), np.zeros(1 << BITS))
+    share = t / np.maximum(n, 1)
+    toxic = t * np.log(np.maximum(share, 1e-12) / y.mean())
+    clean = (n - t) * np.log(np.maximum(1 - share, 1e-12) / (1 - y.mean()))
+    return (share > y.mean()) & (2 * (toxic + clean) >= LEAST_EVIDENCE)
+
+
 def _logistic(
-    at: np.ndarray, offsets: np.ndarray, y: np.ndarray, steps: int = 150, penalty: float = 7e-4
+    at: np.ndarray, offsets: np.ndarray, y: np.ndarray, steps: int = 600, expected: float = 2.0, penalty: float = 0.5
 ) -> tuple[np.ndarray, float]:
-    """L2 logistic regression on sparse binary rows, by Adam over all of them, a million entries at a time."""
+    """Logistic regression on the telling features of sparse binary rows, by Adam over all rows.
+
+    A weight is drawn to the one ``expected`` of a feature that was chosen for telling, with the strength of a normal prior
+    of variance 1/``penalty``: the same pull whatever the number of rows, so that a word seen in a few toxic documents
+    is not shrunk to nothing.
+    """
+    weights = np.zeros(1 << BITS)
+    if not 0 < y.mean() < 1:
+        return weights, math.log((y.mean() + 1e-9) / (1 - y.mean() + 1e-9))
     of = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(offsets))
-    # A feature of one document says nothing of others.
-    often = sum((np.bincount(at[p], minlength=1 << BITS) for p in _parts(at)), np.zeros(1 << BITS, int)) >= 2
-    keep = often[at]
-    of, at = of[keep], at[keep].astype(np.int32)
-    del keep, often
-    w, b = np.zeros(1 << BITS), math.log((y.mean() + 1e-9) / (1 - y.mean() + 1e-9))
+    keep = _telling(at, of, y)[at]
+    chosen, at = np.unique(at[keep], return_inverse=True)
+    of = of[keep]
+    w, b = np.full(len(chosen), expected), math.log(y.mean() / (1 - y.mean()))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    for t in range(1, steps + 1):
-        margin = sum((np.bincount(of[p], w[at[p]], len(y)) for p in _parts(at)), np.full(len(y), b))
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / len(y)
-        pull = sum((np.bincount(at[p], error[of[p]], len(w)) for p in _parts(at)), penalty * w)
-        slope = np.append(pull, error.sum())
+    for step in range(1, steps + 1):
+        margin = b + np.bincount(of, w[at], len(y))
+        error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y
+        slope = np.append(np.bincount(at, error[of], len(w)) + penalty * (w - expected), error.sum())
         m += 0.1 * (slope - m)
         v += 0.001 * (slope**2 - v)
-        step = 0.08 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-        w -= step[:-1]
-        b -= step[-1]
-    return w, float(b)
+        move = 0.1 * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
+        w -= move[:-1]
+        b -= move[-1]
+    weights[chosen] = w
+    return weights, float(b)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

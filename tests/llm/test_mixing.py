@@ -73,3 +73,30 @@ def test_mixed_rows_and_empty(spark):
     assert mixed.count() == sum(copies.values())
     assert mixing.mix_sources(documents(spark, [])).collect() == []
     assert mixing.mixed(documents(spark, [])).collect() == []
+
+
+def test_equal_rows_share_the_copies(spark, monkeypatch):
+    """A third of all rows has one id, and half of a source's words; its rows are not all taken alike."""
+    monkeypatch.setattr(mixing, "CHUNK", 64)
+    text = " ".join(["word"] * 100)
+    rows = [(7, text, "A")] * 400 + [(1000 + i, text, "B") for i in range(400)] + [(2000 + i, text, "C") for i in range(400)]
+    rows += [(None, text, "C")] * 15
+    docs = documents(spark, rows)
+    got = mixing.mix_sources(docs).collect()
+    assert len(got) == len(rows)
+    taken, targets = defaultdict(int), {}
+    for r in got:
+        taken[r.source] += r.taken
+        targets[r.source] = r.target
+    assert all(abs(taken[s] - targets[s]) <= 100 for s in "ABC")
+    assert {r.copies for r in got if r.doc_id == 7} == {0, 1}
+    again = mixing.mix_sources(docs.repartition(5)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    # The copies that are handed out are those that were decided.
+    mixed = defaultdict(int)
+    for r in mixing.mixed(docs).collect():
+        mixed[r.doc_id, r.source] += 1
+    decided = defaultdict(int)
+    for r in got:
+        decided[r.doc_id, r.source] += r.copies
+    assert mixed == {k: n for k, n in decided.items() if n}

@@ -91,6 +91,22 @@ def test_restored_text_is_scored(spark):
     assert toxicity.score_toxicity(documents(spark, []), model).collect() == []
 
 
+def test_rare_words_are_not_shrunk_and_chance_is_not_learned():
+    """A word of six toxic documents tells as much as one of sixty; words that fall to few toxic ones by chance tell nothing."""
+    rng = np.random.default_rng(4)
+    rows, y = [], []
+    for i in range(2000):
+        toxic = i % 10 == 0
+        own = rng.choice(np.arange(5000, 60_000), 60, replace=False)
+        row = set(own.tolist()) | ({1 if i % 300 else 2} if toxic else set())
+        rows.append(sorted(row))
+        y.append(float(toxic))
+    at = np.array([f for row in rows for f in row], np.uint32)
+    weights, bias = toxicity._logistic(at, np.r_[0, np.cumsum([len(r) for r in rows])], np.array(y))
+    assert weights[1] + bias > 0 and weights[2] + bias > 0
+    assert np.count_nonzero(weights[5000:60_000]) < 60
+
+
 def test_labels_of_one_kind_and_conflicts(spark):
     docs, labels = labelled(spark, 40)
     only_clean = toxicity.fit_toxicity(docs, labels.where("toxic = 0"), F.lit(True))
@@ -116,7 +132,6 @@ def test_held_out_rows(spark):
     truth = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
     held = [r for r in got.join(truth, "doc_id").collect() if r.held_out]
     hits = sum(r.predicted and r.toxic for r in held)
-    # The words differ between languages and are rare in a small table; precision must not suffer for it.
-    assert hits / sum(r.predicted for r in held) > 0.9
-    assert hits / sum(r.toxic for r in held) > 0.5
+    assert hits / sum(r.predicted for r in held) >= 0.9
+    assert hits / sum(r.toxic for r in held) >= 0.9
     assert got.count() == 10_000
