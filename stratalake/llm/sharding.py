@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.llm.common import id_hash, numbered, stored, table, utf8_size
+from stratalake.llm.common import id_hash, numbered, ranked, stored, table, utf8_size
 from stratalake.llm.registry import query
 
 #: Ranges a key interval is cut into in one pass of the search for a median.
 _RANGES = 1024
+#: Distinct values of a dimension, with their ranks, that are broadcast; salts of a value beyond that.
+_BROADCAST_BYTES = 8 << 20
+_SALTS = 16
 DIMENSIONS = ("n_chars", "source", "lang")
 
 
@@ -33,26 +36,28 @@ def kd_shards(
     dimension and then by id, so that ties are cut as well; rows of one id and one value stay together.
     Each pass narrows the intervals of all nodes of a level at once, by sums over 1,024 ranges.
 
-    Numbers order by value, text by its first seven bytes. A null orders first; a missing dimension
+    Whole numbers order by value, and a null as one below the least; all else by the dense rank of its
+    distinct values, text by its UTF-8 bytes and null first. A missing dimension
     is left out. Null text has size 1 and the checksum of no bytes; an empty table gives no rows;
-    repeated rows are kept. Only the named columns are read, so other columns never clash. Returns
+    repeated rows are kept. Rows of equal text are groups for the checksum only: they are not kept together.
+    Only the named columns are read, so other columns never clash. Returns
     ``doc_id``, ``size``, ``text_crc32``, ``shard`` and ``slot`` (gapless within a shard).
     """
     if (shards is None) == (target_bytes is None):
         raise ValueError("give either shards or target_bytes")
     present = [d for d in dimensions if d in docs.columns]
-    codes = [_code(docs, d).alias(f"d{i}") for i, d in enumerate(present)] or [F.lit(0).alias("d0")]
-    rows = stored(
-        docs.select(
-            F.col(id_col).cast("long").alias("doc_id"),
-            (utf8_size(F.col(text_col)) + 1).alias("size"),
-            F.crc32(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")).alias("text_crc32"),
-            F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("key"),
-            *codes,
-            F.lit(0).alias("node"),
-        ),
-        "kd",
+    codes = [f"d{i}" for i in range(max(1, len(present)))]
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        (utf8_size(F.col(text_col)) + 1).alias("size"),
+        F.crc32(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")).alias("text_crc32"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("key"),
+        *([F.col(d).alias(c) for d, c in zip(present, codes)] or [F.lit(0).alias("d0")]),
+        F.lit(0).alias("node"),
     )
+    for c in codes:
+        rows = _coded(rows, c)
+    rows = stored(rows, "kd")
     spread = [f(f"d{i}").alias(f"{n}{i}") for i in range(len(codes)) for n, f in (("lo", F.min), ("hi", F.max))]
     whole = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *spread).first()
     if shards is None:
@@ -164,18 +169,41 @@ def _dealt(rows: DataFrame, cuts: dict[int, _Cut]) -> DataFrame:
     )
 
 
-def _code(docs: DataFrame, name: str):
-    """A whole number that orders as the column does; 0 for null text, the least number for others."""
-    column, kind = F.col(name), docs.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        return F.coalesce(column.cast("long"), F.lit(-1))
-    prefix = F.rpad(F.substring(F.hex(F.encode(column.cast("string"), "UTF-8")), 1, 14), 14, "0")
-    return F.coalesce(F.conv(prefix, 16, 10).cast("long") + 1, F.lit(0))
+def _coded(rows: DataFrame, name: str) -> DataFrame:
+    """The rows with a whole number in place of a column, that orders as the column does, null first."""
+    kind = rows.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        found = rows.agg(F.min(name).alias("lo"), F.max(name).alias("hi")).first()
+        lo, hi = found.lo or 0, found.hi or 0
+        # Beyond that, the width of an interval is no long any more.
+        if hi - lo < 1 << 62 and lo > -(1 << 63):
+            return rows.withColumn(name, F.coalesce(F.col(name).cast("long"), F.lit(lo - 1).cast("long")))
+    value = F.col(name) if isinstance(kind, T.NumericType) else F.col(name).cast("string")
+    values = rows.where(F.col(name).isNotNull()).select(value.alias("_value")).distinct()
+    codes = stored(ranked(values, [F.col("_value")], "_rank"), "kd-codes")
+    size = codes.agg(F.sum(F.octet_length(F.col("_value").cast("string")) + 16)).first()[0] or 0
+    rows = rows.withColumn("_value_of", value)
+    if size <= _BROADCAST_BYTES:
+        joined = rows.join(F.broadcast(codes), F.col("_value_of") == F.col("_value"), "left")
+    else:
+        # One value may hold a third of the rows: each has a row for every salt.
+        codes = codes.withColumn("_salt_of", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        salt = F.pmod(F.xxhash64("key", "text_crc32", "size", F.spark_partition_id()), F.lit(_SALTS)).cast("int")
+        joined = rows.withColumn("_salt", salt).join(
+            codes, (F.col("_value_of") == F.col("_value")) & (F.col("_salt") == F.col("_salt_of")), "left"
+        )
+    coded = joined.withColumn(name, F.coalesce(F.col("_rank") + 1, F.lit(0)).cast("long"))
+    return coded.select(*[c for c in rows.columns if c != "_value_of"])
 
 
 def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A table of one row for each node: no more than there are shards."""
-    return spark.createDataFrame(rows, schema)
+    """A table of one row for each node, no more than there are shards, as literals of the plan."""
+    names = [c.split() for c in schema.split(", ")]
+    if not rows:
+        return spark.range(0).select(*(F.lit(None).cast(kind).alias(name) for name, kind in names))
+    made = ", ".join("(" + ", ".join("NULL" if v is None else str(v) for v in row) + ")" for row in rows)
+    columns = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in names)
+    return spark.sql(f"SELECT {columns} FROM VALUES {made} AS t({', '.join(name for name, _ in names)})")
 
 
 #: A level of the tree in SQL: spreads, the widest dimension, running sums by key, and the halves.
@@ -193,9 +221,7 @@ q{i} AS (SELECT *, sum(b) OVER (PARTITION BY node ORDER BY v, key) AS upto FROM
 n{j} AS (SELECT doc_id, size, crc, key, d0, d1, d2, 2 * node + CASE WHEN 2 * upto - b < total THEN 0 ELSE 1 END AS node
     FROM c{i} JOIN q{i} USING (node, v, key)),"""
 
-_SQL_CODE = (
-    "coalesce(CAST('0x' || rpad(substr(hex(encode({c})), 1, 14), 14, '0') AS BIGINT) + 1, 0)"
-)
+_SQL_CODE = "dense_rank() OVER (ORDER BY {c} NULLS FIRST)"
 
 #: Eight shards in SQL; the checksum is folded byte by byte through its table.
 _SQL = f"""
@@ -205,7 +231,7 @@ m AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT
     xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
         regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: CAST('0x' || p AS BIGINT))),
         lambda c, b: xor(c >> 8, crcs[CAST(xor(c, b) & 255 AS BIGINT) + 1]))) AS crc,
-    coalesce(doc_id, {-(1 << 62)}) AS key, coalesce(n_chars, -1) AS d0,
+    coalesce(doc_id, {-(1 << 62)}) AS key, coalesce(n_chars, (SELECT min(n_chars) - 1 FROM documents)) AS d0,
     {_SQL_CODE.format(c="source")} AS d1, {_SQL_CODE.format(c="lang")} AS d2 FROM documents, bits),
 n0 AS (SELECT *, 0 AS node FROM m),{"".join(_SQL_LEVEL.format(i=i, j=i + 1) for i in range(3))}
 p AS (SELECT *, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)

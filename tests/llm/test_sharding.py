@@ -18,10 +18,12 @@ def made(spark, n=400):
     return rows + AWKWARD
 
 
-def code(value):
-    if value is None or isinstance(value, int):
-        return -1 if value is None else value
-    return int(value.encode().hex()[:14].ljust(14, "0"), 16) + 1
+def codes(values):
+    """Whole numbers as they are and null below the least; other values by rank, null first."""
+    known = sorted({v for v in values if v is not None}, key=lambda v: v if isinstance(v, int) else str(v).encode())
+    if known and isinstance(known[0], int):
+        return {None: known[0] - 1} | {v: v for v in known}
+    return {None: 0} | {v: i + 1 for i, v in enumerate(known)}
 
 
 def brute(rows, leaves, spans, first=0):
@@ -51,8 +53,9 @@ def brute(rows, leaves, spans, first=0):
 def test_agrees_with_a_plain_tree(spark):
     rows = made(spark)
     got = kd_shards(documents(spark, rows), shards=5).collect()
+    lengths, sources = codes([None if t is None else len(t) for _, t, _ in rows]), codes([s for _, _, s in rows])
     keyed = [
-        ((code(None if t is None else len(t)), code(s) if s is not None else 0, code("en")), -(1 << 62) if i is None else i, len((t or "").encode()) + 1)
+        ((lengths[None if t is None else len(t)], sources[s], 1), -(1 << 62) if i is None else i, len((t or "").encode()) + 1)
         for i, t, s in rows
     ]
     spans = [max(k[0][d] for k in keyed) - min(k[0][d] for k in keyed) for d in range(3)]
@@ -78,6 +81,28 @@ def test_target_bytes_and_reruns(spark):
     assert sorted(kd_shards(docs, shards=3).collect(), key=repr) == sorted(kd_shards(again, shards=3).collect(), key=repr)
 
 
+@pytest.mark.parametrize("limit", [8 << 20, 0])
+def test_text_that_differs_late_is_told_apart(spark, monkeypatch, limit):
+    monkeypatch.setattr(sharding, "_BROADCAST_BYTES", limit)
+    rows = [(i, "same words here", f"commoncrawl-{2020 + i * 7 % 4}") for i in range(400)]
+    got = kd_shards(documents(spark, rows), shards=4).collect()
+    source = {i: s for i, _, s in rows}
+    held = {shard: {source[r.doc_id] for r in got if r.shard == shard} for shard in range(4)}
+    assert [sorted(held[s]) for s in range(4)] == [[f"commoncrawl-{y}"] for y in range(2020, 2024)]
+
+
+def test_numbers_with_fractions_nulls_and_far_ends(spark):
+    values = [0.25, 0.5, 0.75, None, float("nan"), -3.5]
+    rows = [(i, "text", values[i % 6], [None, -1, -(1 << 63), (1 << 63) - 1][i % 4]) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, far long")
+    got = kd_shards(docs, shards=6, dimensions=["score"]).collect()
+    held = {shard: {repr(values[r.doc_id % 6]) for r in got if r.shard == shard} for shard in range(6)}
+    assert [held[s] for s in range(6)] == [{"None"}, {"-3.5"}, {"0.25"}, {"0.5"}, {"0.75"}, {"nan"}]
+    got = kd_shards(docs, shards=4, dimensions=["far"]).collect()
+    held = {shard: {rows[r.doc_id][3] for r in got if r.shard == shard} for shard in range(4)}
+    assert [held[s] for s in range(4)] == [{None}, {-(1 << 63)}, {-1}, {(1 << 63) - 1}]
+
+
 def test_empty_and_few_rows(spark):
     assert kd_shards(documents(spark, []), shards=8).collect() == []
     assert [r.slot for r in kd_shards(documents(spark, [(1, "x", "a")]), shards=8).collect()] == [0]
