@@ -190,12 +190,12 @@ def null_marker(spark, sf_dir):
 )
 def left_join_customer(spark, sf_dir):
     """Customers are broadcast once their size has been checked, else shuffled and salted."""
-    facts = _client_sales(views.acquisitions(spark, sf_dir))
+    facts = client_sales(views.acquisitions(spark, sf_dir))
     customers = views.clean_customers(spark, sf_dir).select("client_id", "cpf", "estado", "renda")
     return _sized_join(facts, customers, "client_id", _LAKE)
 
 
-def _client_sales(acquisitions):
+def client_sales(acquisitions):
     return acquisitions.select("id", F.col("cliente_id").alias("client_id"))
 
 
@@ -227,19 +227,21 @@ _SKEWED = (
 )
 
 
-def _skewed_sales(spark, sf_dir):
+def skewed_sales(spark, sf_dir):
     return spark.sql(_SKEWED, sales=views.acquisitions(spark, sf_dir))
 
 
-@query(
-    "left_join_customer_salted",
+SQL_LEFT_CUSTOMER_SKEWED = (
     "SELECT v.id, v.cliente_id AS client_id, c.cpf, c.estado, c.renda"
     f" FROM ({_SKEWED.format(sales='clientesxprod')}) v"
-    " LEFT JOIN clientes_limpos c ON v.cliente_id = c.client_id",
+    " LEFT JOIN clientes_limpos c ON v.cliente_id = c.client_id"
 )
+
+
+@query("left_join_customer_salted", SQL_LEFT_CUSTOMER_SKEWED)
 def left_join_customer_salted(spark, sf_dir):
     """The same join shuffled, over one heavy key and many rows without a key."""
-    facts = _client_sales(_skewed_sales(spark, sf_dir))
+    facts = client_sales(skewed_sales(spark, sf_dir))
     customers = views.clean_customers(spark, sf_dir).select("client_id", "cpf", "estado", "renda")
     return _sized_join(facts, customers, "client_id", _SHUFFLED)
 
@@ -253,7 +255,7 @@ def left_join_customer_salted(spark, sf_dir):
 def left_join_product_salted(spark, sf_dir):
     """Products above the broadcast limit: shuffled, with the heavy keys salted."""
     products = views.clean_products(spark, sf_dir).select(PRODUCT_INPUT)
-    facts = _skewed_sales(spark, sf_dir).select("id", "produto_id")
+    facts = skewed_sales(spark, sf_dir).select("id", "produto_id")
     return _sized_join(facts, products, "produto_id", _SHUFFLED)
 
 

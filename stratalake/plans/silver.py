@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from functools import reduce
 
@@ -28,7 +28,8 @@ from stratalake.operators.profile import (
     sampled_row_chars,
     unparsed_counts,
 )
-from stratalake.schemas import SILVER_COLUMNS
+from stratalake.schemas import LOAD_DATE, SILVER_COLUMNS
+from stratalake.sinks.buckets import BucketLayout, layout_scan
 from stratalake.sinks.runlog import RunLog, metrics_sink
 from stratalake.sinks.tables import audit_slice, write_slices
 from stratalake.sources.tables import slice_scan
@@ -133,9 +134,12 @@ class InputProfile:
 
 
 def profile_inputs(
-    lake: Lake, acquisitions: DataFrame, customers: DataFrame, products: DataFrame
+    lake: Lake, acquisitions: DataFrame, customers: DataFrame, products: DataFrame, co_located: bool = False
 ) -> InputProfile:
-    """Sizes of the lookups in one job; keys of the acquisitions only where a lookup is too large to broadcast."""
+    """Sizes of the lookups in one job; keys of the acquisitions only where a lookup is too large to broadcast.
+
+    Customers that are ``co_located`` with the acquisitions need no count of keys.
+    """
 
     def totals(df: DataFrame, name: str) -> DataFrame:
         return df.agg(
@@ -162,13 +166,39 @@ def profile_inputs(
         JoinPlan(
             broadcast_products=small_products,
             broadcast_customers=small_customers,
-            hot_customers=hot(small_customers, "cliente_id", "client_id"),
+            hot_customers=hot(small_customers or co_located, "cliente_id", "client_id"),
             hot_products=hot(small_products, "produto_id", "produto_id"),
         ),
         sum(row["chars"] / max(row["n"], 1) for row in rows.values()),
     )
 
 
+def co_located_parts(
+    spark: SparkSession, lake: Lake, load_date: str, layouts: tuple[BucketLayout, BucketLayout]
+) -> list[tuple[DataFrame, DataFrame, JoinPlan]]:
+    """Acquisitions of a load date, the customers they meet, and how, from layouts of both by the customer.
+
+    Buckets meet buckets without a shuffle. Acquisitions of hot customers meet those customers alone, which are
+    broadcast up to ``Lake.broadcast_chars``; beyond that they are shuffled and salted.
+    """
+    sales, masters = layouts
+    if (sales.key, masters.key) != ("cliente_id", "client_id") or sales.buckets != masters.buckets:
+        raise ValueError("the layouts are by cliente_id and client_id, in the same number of buckets")
+    if masters.split_hot:
+        raise ValueError("customers are a lookup: their layout holds each key in its bucket")
+    even, hot = layout_scan(spark, lake, sales, load_date)
+    customers = layout_scan(spark, lake, masters, load_date)[0].select(CUSTOMER_INPUT)
+    parts = [(even, customers.hint("merge"), JoinPlan())]
+    if hot is not None:
+        # At most rows/rows_per_task keys.
+        keys = hot.select(F.col("cliente_id").alias("client_id")).distinct()
+        met = customers.join(F.broadcast(keys), "client_id", "left_semi")
+        small = (met.agg(F.sum(row_chars(met.schema))).first()[0] or 0) <= lake.broadcast_chars
+        counted = None if small else find_hot_keys(hot.select(F.col("cliente_id").alias("client_id")), "client_id", lake.rows_per_task)
+        parts.append((hot, met, JoinPlan(broadcast_customers=small, hot_customers=counted)))
+    return parts
+
+
 #: Columns of the silver rows that are read as numbers, and how.
 _PARSED = {"renda": whole_number, "limite_credito": amount, "valor_prod_contratado": amount}
 
@@ -186,9 +216,12 @@ def silver_credit_customers(
     acquisitions_table: config.LakeTable = config.ACQUISITIONS,
     salt: str = "",
     unparsed: str | None = TOP_INCOME_CLASS,
+    layouts: tuple[BucketLayout, BucketLayout] | None = None,
 ) -> dict[str, object]:
     """Build the silver slice of one load date from the bronze slices of that date.
 
+    ``layouts`` are copies of the acquisitions and the customers in buckets of the customer; customers too large to
+    broadcast are then joined without a shuffle, as long as the products are small enough to broadcast.
     The three sources may be tables that arrivals fill. The acquisitions are read by the tasks of the join
     alone, which also count their text; values that do not parse as numbers are counted and logged.
     """
@@ -198,18 +231,28 @@ def silver_credit_customers(
             customers = slice_scan(spark, lake, customers_table, load_date, CUSTOMER_INPUT)
             products = slice_scan(spark, lake, products_table, load_date, PRODUCT_INPUT)
             acquisitions = slice_scan(spark, lake, acquisitions_table, load_date)
-        found = profile_inputs(lake, acquisitions, customers, products)
-        read = Observation()
-        size = F.coalesce(F.sum(row_chars(acquisitions.schema)), F.lit(0))
-        rows = credit_customers(
-            acquisitions.observe(read, size.alias("chars")),
-            customers,
-            products,
-            as_of or load_day(load_date),
-            found.joins,
-            salt=salt,
-            unparsed=unparsed,
-        )
+        found = profile_inputs(lake, acquisitions, customers, products, layouts is not None)
+        parts = [(acquisitions, customers, found.joins)]
+        if layouts and not found.joins.broadcast_customers:
+            parts = co_located_parts(spark, lake, load_date, layouts)
+        reads, built = [], []
+        for sales, masters, joins in parts:
+            reads.append(Observation())
+            size = F.coalesce(F.sum(row_chars(acquisitions.schema)), F.lit(0))
+            if LOAD_DATE not in sales.columns:
+                sales = sales.withColumn(LOAD_DATE, F.lit(load_date)).select(acquisitions.columns)
+            built.append(
+                credit_customers(
+                    sales.observe(reads[-1], size.alias("chars")),
+                    masters,
+                    products,
+                    as_of or load_day(load_date),
+                    replace(joins, broadcast_products=found.joins.broadcast_products, hot_products=found.joins.hot_products),
+                    salt=salt,
+                    unparsed=unparsed,
+                )
+            )
+        rows = reduce(DataFrame.unionByName, built)
         with run.timed("write_total_time"):
             totals = write_slices(
                 spark,
@@ -222,7 +265,7 @@ def silver_credit_customers(
                 rows_per_file=lake.rows_per_file(found.row_chars + sampled_row_chars(acquisitions)),
             )
         written = totals["rows"]
-        run.set(data_size_mb_formatted=megabytes(found.chars + read.get["chars"]))
+        run.set(data_size_mb_formatted=megabytes(found.chars + sum(read.get["chars"] for read in reads)))
         run.log_unparsed(totals, _PARSED)
         audit = audit_slice(spark, lake, table, load_date)
         run.set(
