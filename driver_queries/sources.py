@@ -18,6 +18,7 @@ from stratalake.plans.silver import CUSTOMER_INPUT
 from stratalake.schemas import FILE, LOAD_DATE
 from stratalake.sinks.stage import land_snapshot
 from stratalake.sources.stage import (
+    AVRO_SOURCE,
     add_load_date,
     inline_rows,
     list_files,
@@ -122,9 +123,9 @@ def reject_format(spark, sf_dir):
 
 @query("scan_avro", "SELECT * FROM produtos")
 def scan_avro_files(spark, sf_dir):
-    """The products through Avro files; fails where Spark's Avro package is not on the class path."""
+    """The products through Avro files."""
     path = stage_path(views.new_lake(spark).stage_root, "produtos", FIRST)
-    views.products(spark, sf_dir).write.format("avro").save(path)
+    views.products(spark, sf_dir).write.format(AVRO_SOURCE).save(path)
     return scan_stage(spark, path, "avro")
 
 

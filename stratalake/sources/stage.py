@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ FILE_TYPES = ("csv", "txt", "parquet", "avro")
 
 DELIMITED = ("csv", "txt")
 
+AVRO_SOURCE = "org.apache.spark.sql.avro.AvroFileFormat"
+"""Fixed value: Spark's Avro source by its class, which is found where the short name is not registered."""
+
 STAGE_FOLDER = "table_ingestion_files"
 
 
@@ -63,13 +67,15 @@ def scan_delimited(
 
 
 def scan_avro(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Avro files, where Spark's Avro package is on the class path."""
+    """Avro files, by the source that Spark holds, or by its Avro package where that is on the class path."""
     try:
-        return spark.read.format("avro").load(path)
-    except AnalysisException as error:
-        if "avro" in str(error).lower() and "data source" in str(error).lower():
+        return spark.read.format(AVRO_SOURCE).load(path)
+    except (AnalysisException, Py4JJavaError) as error:
+        # No source of that name, or none of its files is Avro.
+        if "data source" in str(error).lower() or "Could not read file" in str(error):
             raise MissingPackage(
-                "reading avro needs the org.apache.spark:spark-avro package on the class path"
+                f"{path} cannot be read as avro: that needs Avro files, and Spark 4.1 or the"
+                " org.apache.spark:spark-avro package on the class path"
             ) from error
         raise
 

@@ -13,7 +13,7 @@ from stratalake.operators.profile import data_size, null_counts, profile_load
 from stratalake.operators.quality import null_report, reconcile, required_not_null
 from stratalake.schemas import PRODUCTS_SOURCE
 from stratalake.sinks.stage import first_row_peek, land_snapshot, purge_stage, snapshot_export
-from stratalake.sources.stage import inline_rows, list_files, scan_stage, stage_path
+from stratalake.sources.stage import AVRO_SOURCE, inline_rows, list_files, scan_stage, stage_path
 from stratalake.sources.tables import slice_scan
 
 D1, D2 = "20250415", "20250416"
@@ -51,6 +51,15 @@ def test_avro_without_its_package(spark, stage):
         scan_stage(spark, stage("t", D1, "x"), "avro")
 
 
+def test_avro_keeps_rows_and_types(spark, lake):
+    path = stage_path(lake.stage_root, "t", D1)
+    rows = [(1, 'say "hi",\n', 2.5), (2, None, None), (None, "", -1.0), (None, "", -1.0)]
+    inline_rows(spark, rows, "id long, v string, x double").coalesce(2).write.format(AVRO_SOURCE).save(path)
+    found = scan_stage(spark, path, "avro")
+    assert dict(found.dtypes) == {"id": "bigint", "v": "string", "x": "double"}
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, rows))
+
+
 def test_unknown_format(spark, stage):
     with pytest.raises(UnsupportedFormat):
         scan_stage(spark, stage("t", D1, "{}"), "json")
