@@ -12,6 +12,7 @@ from stratalake.config import Lake, LakeTable
 from stratalake.errors import BadInput
 from stratalake.functions.text import sql_name, sql_text
 from stratalake.operators.joins import find_hot_keys
+from stratalake.operators.profile import sampled_row_chars
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.tables import TABLE_FORMAT, drop_partition, table_exists
 from stratalake.sources.tables import slice_of
@@ -71,7 +72,8 @@ def put_layout(spark: SparkSession, lake: Lake, layout: BucketLayout, load_date:
     """Lay out one load date of the source, in place of what the layout held of it; rows by ``HOT``.
 
     The rows are shuffled once, here, so that each bucket is one file; rows of hot keys are dealt by a hash of
-    the whole row to tasks of ``rows_per_task`` rows. Null is a key as any other. An empty slice leaves an empty layout.
+    the whole row to tasks of ``rows_per_task`` rows, but to no more tasks than a shuffle has, unless
+    their files would be larger than the target. Null is a key as any other. An empty slice leaves an empty layout.
     Columns that the source got since the layout was made are added to it.
     """
     create_layout(spark, lake, layout)
@@ -89,6 +91,10 @@ def put_layout(spark: SparkSession, lake: Lake, layout: BucketLayout, load_date:
     hot = find_hot_keys(rows, layout.key, lake.rows_per_task) if layout.split_hot else None
     tasks = hot.agg(F.sum("__salts")).first()[0] if hot is not None else None
     if tasks:
+        # A small rows_per_task makes no more files, and no more blocks of a shuffle, than the bytes ask for.
+        per_file = lake.rows_per_file(sampled_row_chars(rows))
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = min(tasks, max(shuffle, -(-tasks * lake.rows_per_task // per_file)))
         same = key.eqNullSafe(F.col("__hot"))
         parts = [
             even.join(F.broadcast(hot), same, "left_anti").repartition(layout.buckets, key),

@@ -69,6 +69,15 @@ def test_layout_holds_the_slice_with_hot_keys_apart(spark, small):
     assert most < 150
 
 
+def test_hot_rows_take_no_more_tasks_than_a_shuffle_has(spark, small):
+    put_layout(spark, replace(small, rows_per_task=1), LAYOUTS[0], DATE)
+    even, hot = layout_scan(spark, small, LAYOUTS[0], DATE)
+    assert even.count() + hot.count() == 600 and hot.count() > 100
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A task has a file for each bucket.
+    assert hot.select("_metadata.file_path").distinct().count() <= tasks * LAYOUTS[0].buckets
+
+
 def test_even_rows_join_without_an_exchange(spark, small):
     laid_out(spark, small)
     (even, customers, plan), (hot, met, near) = co_located_parts(spark, small, DATE, LAYOUTS)
