@@ -128,10 +128,9 @@ TELLING = (
     "distributed under",
 )
 
-#: Hashed features; prose documents and paragraphs that stand for the unknown class.
+#: Hashed features, and steps of the probability by which the threshold is set.
 FEATURES = 1 << 14
-PROSE_DOCUMENTS = 400
-PROSE_PARAGRAPHS = 1500
+STEPS = 1 << 16
 #: Share of unknown paragraphs that the calibrated threshold lets through at most.
 FALSE_SHARE = 0.01
 #: Words of a window, and from one window to the next: what is up to 48 words long lies whole in one of them.
@@ -200,54 +199,41 @@ class LicenseModel:
 
 
 def fit_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LicenseModel:
-    """A classifier of the templates' families and of prose.
-
-    Known rows are the templates, each with every single word left out, cut short, and set between prose;
-    unknown ones are paragraphs of at most ``PROSE_DOCUMENTS`` documents (those of least hash), windows of the
-    same documents that have a telling word but no shingle of any template, and small pieces of templates. A fifth of
-    the rows, by hash, and half of these windows are left out to calibrate: a family is named only from the probability on that all but
-    ``FALSE_SHARE`` of such windows left out stay below (of all unknown rows, where there is no such window).
+    """A classifier of the templates' families and of what is none of them, learned from all documents.
+
+    Known rows are the templates, each with every single word left out and cut short, and a template between the first
+    and last words of each unknown window; unknown ones are all windows of the documents that have a telling word but
+    no shingle of any template, and small pieces of templates. Text without a telling word is never classified, and
+    so not learned from. A fifth of the rows, by hash, and half of these windows are left out to calibrate: a family is named only
+    from the probability on that all but ``FALSE_SHARE`` of such windows left out stay below (of all unknown rows,
+    where there is no such window).
     """
     spark = docs.sparkSession
-    n = docs.count()
-    luck = F.xxhash64(F.col(id_col).cast("string"), F.lit(7)) / (2.0**64) + 0.5
-    sample = docs.where(luck < min(1.0, PROSE_DOCUMENTS / max(1, n)))
-    read = paragraphs(sample, id_col, text_col)
-    prose = stored(
-        read.where(~_may_match(F.col("line"))).withColumn("words", F.slice(words_of(F.col("line")), 1, 200))
-        .where(F.size("words") >= 4).orderBy(F.xxhash64("line")).limit(PROSE_PARAGRAPHS).select("words"),
-        "license-prose",
-    )
-    strays = _once(windows(sample, id_col, text_col), held=_held(F.col("words"), *_wanted(TEMPLATES, 5)))
-    strays = stored(
-        strays.where("size(held) = 0").orderBy(F.xxhash64("words")).limit(PROSE_PARAGRAPHS).select("words"),
-        "license-strays",
-    )
+    strays = _once(windows(docs, id_col, text_col), held=_held(F.col("words"), *_wanted(TEMPLATES, 5)))
+    # Equal windows are one.
+    strays = stored(strays.where("size(held) = 0").select("words").distinct(), "license-strays")
     templates = template_rows(spark).select("family", "words")
     size = F.size("words")
     at = templates.withColumn("j", F.explode(F.sequence(F.lit(0), size - 1)))
     without = at.select("family", F.concat(F.slice("words", F.lit(1), F.col("j")), F.slice("words", F.col("j") + 2, size)).alias("words"))
     short = at.where(F.col("j") >= 0.7 * size).select("family", F.slice("words", F.lit(1), F.col("j") + 1).alias("words"))
-    # Each template between a dozen pieces of prose, no more.
-    around = prose.select(F.slice("words", 1, 8).alias("before"), F.slice("words", -4, 4).alias("after")).limit(12).collect()
-    pieces_of = F.array(*[F.struct(F.lit(r.before).alias("before"), F.lit(r.after).alias("after")) for r in around])
-    between = templates.limit(0)
-    if around:
-        set_in = templates.withColumn("prose", F.explode(pieces_of))
-        between = set_in.select("family", F.concat("prose.before", "words", "prose.after").alias("words"))
+    # One row with all templates: a constant of this module. Each window gets one of them, by its hash.
+    every = templates.agg(F.sort_array(F.collect_list(F.struct("family", "words"))).alias("every"))
+    nth = F.pmod(F.xxhash64("words", F.lit(7)), F.size("every")).cast("int")
+    set_in = strays.crossJoin(F.broadcast(every)).withColumn("t", F.get("every", nth))
+    around = (F.slice("words", 1, 8), F.col("t.words"), F.slice("words", -F.least(F.lit(4), size), F.lit(4)))
+    between = set_in.select("t.family", F.concat(*around).alias("words"))
     quarter = F.greatest(F.lit(1), F.floor(size / 4)).cast("int")
     pieces = at.select(F.lit(UNKNOWN).alias("family"), F.slice("words", F.col("j") + 1, quarter).alias("words")).where(F.size("words") <= 3)
     known = templates.unionByName(without).unionByName(short).unionByName(between)
-    unknown = prose.select(F.lit(UNKNOWN).alias("family"), "words").unionByName(pieces)
-    known, unknown = (part.withColumn("stray", F.lit(False)) for part in (known, unknown))
+    known, unknown = (part.withColumn("stray", F.lit(False)) for part in (known, pieces))
     unknown = unknown.unionByName(strays.select(F.lit(UNKNOWN).alias("family"), "words", F.lit(True).alias("stray")))
     families = sorted(TEMPLATES)
     label = F.array_position(F.array(*map(F.lit, [*families, UNKNOWN])), F.col("family")) - 1
     rows = stored(
         known.unionByName(unknown).where(F.size("words") > 0)
         .groupBy("family", "words").agg(F.max("stray").alias("stray"))
-        .withColumn("label", label.cast("double")).withColumn("aside", F.pmod(F.xxhash64("words"), F.lit(10)) < F.when(F.col("stray"), 5).otherwise(2))
-        .coalesce(4),
+        .withColumn("label", label.cast("double")).withColumn("aside", F.pmod(F.xxhash64("words"), F.lit(10)) < F.when(F.col("stray"), 5).otherwise(2)),
         "license-rows",
     )
     hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
@@ -255,12 +241,28 @@ def fit_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classifier = LogisticRegression(maxIter=40, regParam=0.002, family="multinomial").fit(learned.select("label", "features"))
     model = LicenseModel(classifier, families, 0.0)
     aside = model.predict(rows.where(f"aside AND label = {len(families)}").select("words", "stray"))
-    through = F.percentile("probability", 1 - FALSE_SHARE)
-    found = {r.stray: r.through for r in aside.groupBy("stray").agg(through.alias("through")).collect()}
-    model.threshold = found.get(True, found.get(False, 0.5))
+    # Counts by steps of the probability: as many rows as there are steps, whatever the number of windows.
+    step = F.floor(F.col("probability") * STEPS).alias("step")
+    counts = {True: {}, False: {}}
+    for r in aside.groupBy("stray", step).count().collect():
+        counts[r.stray][r.step] = r["count"]
+    model.threshold = _threshold(counts[True] or counts[False])
     return model
 
 
+def _threshold(counts: dict[int, int]) -> float:
+    """The least step of the probability that at most ``FALSE_SHARE`` of the counted rows reach; 0.5 without rows."""
+    if not counts:
+        return 0.5
+    allowed, at = FALSE_SHARE * sum(counts.values()), STEPS + 1
+    for step in sorted(counts, reverse=True):
+        allowed -= counts[step]
+        if allowed < 0:
+            return (step + 1) / STEPS
+        at = step
+    return at / STEPS
+
+
 def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Runs of lines between blank ones: ``doc_id``, ``block``, ``first`` (its first line's number) and ``lines``."""
     lines = _once(docs.select(F.col(id_col).alias("doc_id"), F.split(F.col(text_col), r"\R").alias("all")), filled=F.transform("all", lambda line: line.rlike(r"\S")))

@@ -113,3 +113,24 @@ def test_fits_on_an_empty_table(spark):
     empty = documents(spark, [])
     model = licenses.fit_licenses(empty)
     assert licenses.scan_licenses(empty, model).collect() == []
+
+
+def test_all_windows_with_telling_words_are_learned_from(spark, monkeypatch):
+    rng = Random(11)
+    rows = [(i, f"the license of number{i} " + prose(rng, 6), "a") for i in range(2000)]
+    seen = {}
+
+    def kept(df, purpose):
+        seen[purpose] = df.count()
+        return stored(df, purpose)
+
+    stored = licenses.stored
+    monkeypatch.setattr(licenses, "stored", kept)
+    licenses.fit_licenses(documents(spark, rows))
+    assert seen["license-strays"] == 2000
+
+
+def test_threshold_lets_through_at_most_the_false_share():
+    counts = {s: 1 for s in range(1000)}
+    assert licenses._threshold(counts) == 990 / licenses.STEPS
+    assert licenses._threshold({}) == 0.5 and licenses._threshold({5: 10}) == 6 / licenses.STEPS
