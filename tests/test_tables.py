@@ -8,6 +8,7 @@ from stratalake.config import ACQUISITIONS, ALL_TABLES, CUSTOMERS, PRODUCT_TOTAL
 from stratalake.schemas import LOAD_DATE
 from stratalake.sinks.runlog import RunLog, metrics_sink, run_log
 from stratalake.sinks.tables import (
+    _open_files,
     audit_slice,
     create_lake,
     create_table,
@@ -91,6 +92,21 @@ def test_a_row_of_another_date_fails_the_write(spark, lake, dates):
     assert stored(spark, lake) == [("old", D1)]
 
 
+def test_slices_side_by_side_need_no_sort(spark, lake):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(name)
+    for n in (1, 3, 9):
+        with _open_files(spark, n):
+            seen.append(spark.conf.get(name))
+        assert spark.conf.get(name) == before
+    assert seen == [before, "3", before]
+    rows = products(spark, "a", "b", "c", "d").coalesce(1)
+    dates = F.array(*[F.lit(d) for d in (D1, D2, D3)])
+    write_slices(spark, lake, PRODUCTS, rows.withColumn(LOAD_DATE, F.explode(dates)), [D1, D2, D3])
+    assert stored(spark, lake) == sorted((n, d) for n in "abcd" for d in (D1, D2, D3))
+    assert all(audit_slice(spark, lake, PRODUCTS, d).files == 1 for d in (D1, D2, D3))
+
+
 def test_unknown_mode(spark, lake):
     with pytest.raises(ValueError, match="upsert"):
         write_slices(spark, lake, PRODUCTS, products(spark, "a"), [D1], "upsert")
