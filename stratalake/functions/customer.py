@@ -27,6 +27,15 @@ WHOLE = "decimal(38,0)"
 _WHOLE_AND_FRACTION = r"^\s*(?<sign>[+-]?)(?<digits>[0-9]*)\.[0-9]*\s*$"
 
 
+_NOT_WHOLE = r"[!-*,./:-~]"
+
+
+def _tried(text: Column) -> Column:
+    """``try_cast`` to a long. One that fails builds an error and drops it, so text with a printable ASCII character that
+    is neither digit nor sign, which no long has, is kept from it."""
+    return F.when(~text.rlike(_NOT_WHOLE), text.try_cast("long"))
+
+
 def whole_number(text: Column) -> Column:
     """Text as an integer, fraction cut off; null when it is no plain decimal number.
 
@@ -35,7 +44,7 @@ def whole_number(text: Column) -> Column:
     """
     without_fraction = F.regexp_replace(text, _WHOLE_AND_FRACTION, "${sign}0${digits}")
     wide = F.when(without_fraction.rlike(r"^\s*[+-]?[0-9]+\s*$"), without_fraction.try_cast(WHOLE))
-    return F.coalesce(text.try_cast("long"), without_fraction.try_cast("long"), wide)
+    return F.coalesce(_tried(text), _tried(without_fraction), wide)
 
 
 def income_class(income: Column, unparsed: str | None = TOP_INCOME_CLASS) -> Column:

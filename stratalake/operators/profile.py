@@ -69,6 +69,19 @@ def unparsed_counts(parsers: Mapping[str, Callable[[Column], Column]]) -> dict[s
     }
 
 
+def unparsed_marks(parsers: Mapping[str, Callable[[Column], Column]]) -> dict[str, Column]:
+    """The same as columns of each row, for writes that observe them: set where a value cannot be read, else null."""
+    return {
+        f"__unparsed_{name}": F.when(F.col(name).isNotNull() & parse(F.col(name)).isNull(), 1)
+        for name, parse in parsers.items()
+    }
+
+
+def marked_counts(parsers: Mapping[str, object]) -> dict[str, Column]:
+    """``unparsed_counts`` of rows that hold ``unparsed_marks``."""
+    return {f"unparsed_{name}": F.count(f"__unparsed_{name}") for name in parsers}
+
+
 def data_size(df: DataFrame, exact: bool = False) -> DataFrame:
     """One row: ``rows``, ``chars`` and ``size_mb`` of the rows written out as text."""
     totals = df.select(row_chars(df.schema, exact).alias("n")).agg(
@@ -193,17 +206,16 @@ def profile_totals(columns: Sequence[str], refuse_ragged: bool = False) -> dict[
     The files are counted by a sketch of bounded size, so a task sends the driver the same whatever their number.
     ``refuse_ragged`` fails the job, before a write commits anything, on a record that does not fit.
     """
-    misfit = F.col(RAGGED)
-    if refuse_ragged:
-        misfit = F.when(misfit, F.raise_error(RAGGED_RECORD).cast("boolean")).otherwise(False)
+    misfit = F.raise_error(RAGGED_RECORD).cast("int") if refuse_ragged else F.lit(1)
     totals = {
         "read": F.count(F.lit(1)),
-        "ragged": F.count_if(misfit),
+        "ragged": F.count(F.when(F.col(RAGGED), misfit)),
         "chars": F.coalesce(F.sum(_ROW_CHARS), F.lit(0)),
         "files": sketched_count(F.col(_SOURCE_FILE)),
     }
     for i, name in enumerate(columns):
-        totals[f"nulls_{i}"] = F.expr(f"count_if({sql_name(name)} IS NULL)")
+        # A plain count is the cheapest aggregate a write can observe for each column.
+        totals[f"nulls_{i}"] = F.expr(f"count(1) - count({sql_name(name)})")
     return totals
 
 

@@ -14,20 +14,24 @@ from stratalake.functions.text import sql_name
 def row_hash(values: Mapping[str, Column]) -> Column:
     """64 bits of a row: each value with its column's name, nulls left out.
 
-    A column that was added later, and so is null, changes nothing; nor does the order of the columns.
+    A column that was added later, and so is null, changes nothing; nor does the order of the columns. A hash of several
+    values passes over nulls, so no array without them is built for each row.
     """
     parts = [
         F.when(values[name].isNotNull(), F.xxhash64(F.lit(name.lower()), values[name]))
         for name in sorted(values, key=str.lower)
     ]
-    return F.xxhash64(F.array_compact(F.array(*parts)))
+    return F.xxhash64(*parts)
 
 
 def fingerprint_totals(values: Mapping[str, Column], kept: Column | None = None) -> list[Column]:
     """Aggregates that tell one multiset of rows from another: the sum and the exclusive or of their hashes."""
     hashed = row_hash(values)
-    if kept is not None:
-        hashed = F.when(kept, hashed)
+    return hash_totals(hashed if kept is None else F.when(kept, hashed))
+
+
+def hash_totals(hashed: Column) -> list[Column]:
+    """The same aggregates of hashes that rows hold already; a null hash counts for nothing."""
     return [
         F.sum(hashed.cast("decimal(20,0)")).alias("fingerprint_sum"),
         F.bit_xor(hashed).alias("fingerprint_xor"),

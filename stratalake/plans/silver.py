@@ -23,10 +23,11 @@ from stratalake.functions.customer import (
 from stratalake.functions.amounts import amount
 from stratalake.operators.joins import find_hot_keys, lookup_join
 from stratalake.operators.profile import (
+    marked_counts,
     megabytes,
     row_chars,
     sampled_row_chars,
-    unparsed_counts,
+    unparsed_marks,
 )
 from stratalake.schemas import LOAD_DATE, SILVER_COLUMNS
 from stratalake.sinks.buckets import BucketLayout, layout_scan
@@ -39,6 +40,7 @@ CUSTOMER_INPUT = [
     "tp_cliente",
 ]
 _KNOWN = "__known"
+_CHARS = "__chars"
 PRODUCT_INPUT = ["produto_id", "nome", "categoria", "limite_credito"]
 
 
@@ -238,9 +240,10 @@ def silver_credit_customers(
         reads, built = [], []
         for sales, masters, joins in parts:
             reads.append(Observation())
-            size = F.coalesce(F.sum(row_chars(acquisitions.schema)), F.lit(0))
+            size = F.coalesce(F.sum(_CHARS), F.lit(0))
             if LOAD_DATE not in sales.columns:
                 sales = sales.withColumn(LOAD_DATE, F.lit(load_date)).select(acquisitions.columns)
+            sales = sales.withColumn(_CHARS, row_chars(acquisitions.schema))
             built.append(
                 credit_customers(
                     sales.observe(reads[-1], size.alias("chars")),
@@ -252,7 +255,8 @@ def silver_credit_customers(
                     unparsed=unparsed,
                 )
             )
-        rows = reduce(DataFrame.unionByName, built)
+        # Once for each row in the generated code, and not in the aggregates that the write observes.
+        rows = reduce(DataFrame.unionByName, built).withColumns(unparsed_marks(_PARSED))
         with run.timed("write_total_time"):
             totals = write_slices(
                 spark,
@@ -261,7 +265,7 @@ def silver_credit_customers(
                 rows,
                 [load_date],
                 mode,
-                totals=unparsed_counts(_PARSED),
+                totals=marked_counts(_PARSED),
                 rows_per_file=lake.rows_per_file(found.row_chars + sampled_row_chars(acquisitions)),
             )
         written = totals["rows"]

@@ -79,6 +79,17 @@ def test_whole_number_agrees_with_a_lenient_cast(spark):
     assert got == want
 
 
+def test_text_that_is_no_whole_number_is_kept_from_the_cast(spark):
+    texts = ["n/d", "1,5", "7\t", "\x7f8", "9\x00", "é", "1_0", "+ 1", "12-", "a.5", "1.5.2", "~", "\u00a04", " ", "+", "-7"]
+    got = values(spark, texts, whole_number(F.col("v")))
+    assert got == values(spark, texts, F.coalesce(
+        F.col("v").try_cast("long"),
+        F.regexp_replace("v", r"^\s*(?<sign>[+-]?)(?<digits>[0-9]*)\.[0-9]*\s*$", "${sign}0${digits}").try_cast("long"),
+    ).cast("decimal(38,0)"))
+    # A cast that fails builds an error for each value: each of the two has a guard, beside the one of wide numbers.
+    assert str(whole_number(F.col("v"))).upper().count("RLIKE") == 3
+
+
 def test_age_by_mean_year(spark):
     births = ["2020-04-16", "1990-04-16", "2025-04-16", "x", None]
     ages = values(spark, births, age_years(F.col("v"), date(2025, 4, 16)))
