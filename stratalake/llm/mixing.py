@@ -173,15 +173,15 @@ def decided_copies(
         "whole": F.col("whole") + F.when(F.col("mass") == _ONE, 1).otherwise(0),
         "mass": F.when(F.col("mass") == _ONE, 0).otherwise(F.col("mass")).cast("long"),
     })
-    keyed = stored(
+    # Not stored: the units are read again for each use, for less than writing them a second time.
+    keyed = (
         units.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
         .drop("_source")
         # The probabilities of equal rows add up: so many rows for sure, and a probability that is left.
         .withColumns({
             "sure": F.shiftright(F.col("rows") * F.col("mass"), _BITS),
             "mass": F.pmod(F.col("rows") * F.col("mass"), F.lit(_ONE)),
-        }),
-        "mix-keyed",
+        })
     )
     decided = _rounded(keyed.where("mass > 0"), seed).join(
         sources.select("rank", "source", "source_size", "target", "whole"), "rank"

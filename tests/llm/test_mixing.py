@@ -3,8 +3,10 @@ import re
 from collections import defaultdict
 
 from helpers import AWKWARD, documents, prose
+from pyspark.sql import functions as F
 
 from stratalake.llm import mixing
+from stratalake.llm.common import stored, word_count
 
 
 def rows_of():
@@ -100,3 +102,18 @@ def test_equal_rows_share_the_copies(spark, monkeypatch):
     for r in got:
         decided[r.doc_id, r.source] += r.copies
     assert mixed == {k: n for k, n in decided.items() if n}
+
+
+def test_words_are_counted_without_a_list_of_them(spark):
+    texts = [None, "", " ", "\n\t ", "a", " a", "a ", " a  b\x0b\x0cc\r\n", "é ü   x", "x x", "\x00 \x1f\x20\U0001f600 b", "w " * 5000]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select("i", word_count(F.col("text")).alias("n"))
+    assert [r.n for r in rows.orderBy("i").collect()] == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
+    assert "regexp_extract_all" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_units_are_written_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(mixing, "stored", lambda df, purpose: written.append((purpose, set(df.columns))) or stored(df, purpose))
+    docs = documents(spark, rows_of())
+    assert mixing.mix_sources(docs).count() == docs.count()
+    assert [purpose for purpose, columns in written if "doc_id" in columns] == ["mix-units"]
