@@ -133,6 +133,8 @@ FEATURES = 1 << 14
 STEPS = 1 << 16
 #: Share of unknown paragraphs that the calibrated threshold lets through at most.
 FALSE_SHARE = 0.01
+#: Steps in which the tasks sum up a gradient: the driver gets some n^(1/4) sums of n tasks, each as large as the model.
+DEPTH = 4
 #: Words of a window, and from one window to the next: what is up to 48 words long lies whole in one of them.
 WINDOW = 64
 STEP = 16
@@ -238,7 +240,7 @@ def fit_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
     learned = hashed.transform(rows.where("NOT aside").withColumn("grams", _features(F.col("words"))))
-    classifier = LogisticRegression(maxIter=40, regParam=0.002, family="multinomial").fit(learned.select("label", "features"))
+    classifier = LogisticRegression(maxIter=40, regParam=0.002, family="multinomial", aggregationDepth=DEPTH).fit(learned.select("label", "features"))
     model = LicenseModel(classifier, families, 0.0)
     aside = model.predict(rows.where(f"aside AND label = {len(families)}").select("words", "stray"))
     # Counts by steps of the probability: as many rows as there are steps, whatever the number of windows.

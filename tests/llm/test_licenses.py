@@ -1,3 +1,4 @@
+import math
 import re
 import textwrap
 
@@ -134,3 +135,12 @@ def test_threshold_lets_through_at_most_the_false_share():
     counts = {s: 1 for s in range(1000)}
     assert licenses._threshold(counts) == 990 / licenses.STEPS
     assert licenses._threshold({}) == 0.5 and licenses._threshold({5: 10}) == 6 / licenses.STEPS
+
+
+def test_few_sums_of_a_gradient_reach_the_driver(corpus, monkeypatch):
+    asked = []
+    fit = licenses.LogisticRegression.fit
+    monkeypatch.setattr(licenses.LogisticRegression, "fit", lambda self, *a: asked.append(self.getAggregationDepth()) or fit(self, *a))
+    licenses.fit_licenses(corpus)
+    # Spark stops to sum once no more than about this many are left.
+    assert [math.ceil(211 ** (1 / depth)) for depth in asked] == [4]
